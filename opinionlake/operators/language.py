@@ -18,8 +18,11 @@ def detect_language(col: Column, profiles: Mapping[str, Iterable[str]] = fixed.L
     words = F.regexp_extract_all(F.lower(F.coalesce(col, F.lit(""))), F.lit(r"\p{L}+"), F.lit(0))
 
     def best(tokens: Column) -> Column:
-        hits = [F.struct(F.size(F.filter(tokens, lambda w, n=name: member(w, profiles[n]))).alias("hits"),
-                         F.lit(-i).alias("order"), F.lit(name).alias("lang")) for i, name in enumerate(names)]
+        def hits_of(i: int, name: str) -> Column:
+            known = F.filter(tokens, lambda w: member(w, profiles[name]))
+            return F.struct(F.size(known).alias("hits"), F.lit(-i).alias("order"), F.lit(name).alias("lang"))
+
+        hits = [hits_of(i, name) for i, name in enumerate(names)]
         return let(F.array_max(F.array(*hits)),
                    lambda top: F.when(top["hits"] > 0, top["lang"]).otherwise(F.lit("unknown")))
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from opinionlake import fixed
 from opinionlake.functions.lookup import let, lookup, member
 from opinionlake.functions.numbers import label
-from opinionlake.functions.text import is_blank, scoring_text, strip
+from opinionlake.functions.text import SPACE, is_blank, scoring_text, strip
 
 # Distance damping of a degree word one, two and three places before.
 DAMPING = (1.0, 0.95, 0.9)
@@ -51,16 +51,19 @@ def read_lexicon(spark: SparkSession, path: str) -> Rules:
 def _word_records(text: Column, rules: Rules) -> Column:
     """Words with everything their neighbours may ask about them."""
     def record(raw: Column) -> Column:
-        bare = F.btrim(raw, F.lit(string.punctuation))
-        return let(F.when(F.length(bare) > 2, bare).otherwise(raw), lambda word: let(F.lower(word), lambda low: F.struct(
-            low.alias("low"),
-            ((F.upper(word) == word) & (low != word)).alias("caps"),
-            lookup(low, rules.lexicon, "double").alias("value"),
-            lookup(low, rules.degrees, "double").alias("degree"),
-            (member(low, rules.negators) | F.contains(low, F.lit("n't"))).alias("negator"),
-        )))
-
-    pieces = F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
+        def parts(word: Column) -> Column:
+            return let(F.lower(word), lambda low: F.struct(
+                low.alias("low"),
+                ((low != word) & (F.upper(word) == word)).alias("caps"),
+                lookup(low, rules.lexicon, "double").alias("value"),
+                F.when(member(low, rules.degrees), lookup(low, rules.degrees, "double")).alias("degree"),
+                (member(low, rules.negators) | F.contains(low, F.lit("n't"))).alias("negator"),
+            ))
+
+        return let(F.btrim(raw, F.lit(string.punctuation)),
+                   lambda bare: let(F.when(F.length(bare) > 2, bare).otherwise(raw), parts))
+
+    pieces = F.filter(F.split(text, f"{SPACE}+"), lambda w: w != "")
     return F.transform(pieces, record)
 
 
@@ -123,8 +126,8 @@ def _valence(words: Column, item: Column, i: Column, mixed_case: Column) -> Colu
 def _contrast(values: Column, words: Column) -> Column:
     """Halve what stands before the first "but", raise what follows by half."""
     turn = F.array_position(F.transform(words, lambda w: w["low"]), "but")
-    return F.transform(values, lambda v, i: F.when((turn > 0) & (i + 1 < turn), v * 0.5)
-                       .when((turn > 0) & (i + 1 > turn), v * 1.5).otherwise(v))
+    return let(turn, lambda at: F.when(at > 0, F.transform(
+        values, lambda v, i: F.when(i + 1 < at, v * 0.5).when(i + 1 > at, v * 1.5).otherwise(v))).otherwise(values))
 
 
 def _occurrences(text: Column, mark: str) -> Column:
@@ -161,8 +164,8 @@ def score_text(text: Column, rules: Rules) -> Column:
         shouted = F.size(F.filter(words, lambda w: w["caps"]))
         mixed = (shouted > 0) & (shouted < F.size(words))
         return let(mixed, lambda m: let(
-            _contrast(F.transform(words, lambda item, i: _valence(words, item, i, m)), words),
-            lambda values: let(fold(values), lambda t: finish(t, emphasis))))
+            F.transform(words, lambda item, i: _valence(words, item, i, m)),
+            lambda values: let(fold(_contrast(values, words)), lambda t: finish(t, emphasis))))
 
     return let(_word_records(text, rules), scored)
 
@@ -189,7 +192,8 @@ def sentiment(text: Column, is_article: Column, rules: Rules | None = None,
         n = F.size(scores)
 
         def total(name: str) -> Column:
-            return F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + s[name]) / n
+            # the scores have at most four decimals, and so has their exact sum
+            return F.round(F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + s[name]), 4) / n
 
         return F.struct(*[total(name).alias(name) for name in ("compound", "pos", "neg", "neu")])
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opinionlake.fixed import (DOMAIN_STOPWORDS, ENGLISH_STOPWORDS, LEMMAS, MIN_LEMMA, SPANISH_STOPWORDS)
 from opinionlake.functions.lookup import lookup, member
+from opinionlake.functions.text import VISIBLE
 
 # A lemma table up to this size is put into the plan as a literal.
 LITERAL_LEMMAS = 50_000
@@ -22,7 +23,7 @@ DEFAULT_STOP = stop_words(ENGLISH_STOPWORDS, SPANISH_STOPWORDS, DOMAIN_STOPWORDS
 
 def raw_tokens(col: Column) -> Column:
     """The blank-separated pieces that consist of letters only, lower-cased."""
-    return F.regexp_extract_all(F.lower(col), F.lit(r"(?U)(?<!\S)\p{L}+(?!\S)"), F.lit(0))
+    return F.regexp_extract_all(F.lower(col), F.lit(rf"(?<!{VISIBLE})\p{{L}}+(?!{VISIBLE})"), F.lit(0))
 
 
 def tokenize(col: Column, base_stop: Iterable[str] = ENGLISH_STOPWORDS,

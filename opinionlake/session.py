@@ -29,6 +29,7 @@ def build_session(name: str = "opinionlake", cores: int | str | None = None, **c
             .config("spark.driver.memory", os.environ.get("OPINIONLAKE_DRIVER_MEMORY", "12g"))
             .config("spark.sql.shuffle.partitions", str(cores) if cores != "*" else "8")
             .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
         )
     for key, value in conf.items():
         builder = builder.config(key, value)
