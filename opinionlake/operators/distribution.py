@@ -64,10 +64,10 @@ def volume_by_period(df: DataFrame, ts: str, by: str, grain: str, groups: Sequen
         F.sum("n").alias("total"))
     names = (F.array(*[F.lit(g) for g in groups]) if groups is not None
              else df.filter(F.col(ts).isNotNull()).agg(F.sort_array(F.collect_set(by))).scalar())
-    cells = F.transform(names, lambda s: F.struct(
-        s.alias("source"), F.coalesce(F.try_element_at(F.col("m"), s), F.lit(0)).alias("n_records")))
-    total = F.array(F.struct(F.lit("all").alias("source"), F.col("total").alias("n_records")))
-    return per_period.select("period", F.inline(F.concat(cells, total)))
+    spread = per_period.withColumn("_names", F.array_append(names, "all")).select(
+        "period", F.explode("_names").alias("source"), "m", "total")
+    counted = F.when(F.col("source") == "all", F.col("total")).otherwise(F.try_element_at("m", F.col("source")))
+    return spread.select("period", "source", F.coalesce(counted, F.lit(0)).alias("n_records"))
 
 
 def compare_sources(df: DataFrame, by: str = "source", key: str = "url", score: str = "vader_compound",

@@ -71,20 +71,18 @@ def distinct_seen(col: Column) -> Column:
     return F.size(F.collect_set(col))
 
 
+TIME_COLUMNS = ("first_record_date", "last_record_date", "span_days", "weeks_covered", "days_covered",
+                "avg_records_per_week", "avg_records_per_day")
+
+
 def time_columns(ts: str) -> dict[str, Column]:
     """Aggregates of the time coverage; undated rows count in the averages' numerator."""
     rows, first, last = F.count(F.lit(1)), F.min(ts), F.max(ts)
     weeks, days = distinct_seen(week_label(F.col(ts))), distinct_seen(F.to_date(ts))
     span = F.floor((F.unix_micros(last.cast("timestamp")) - F.unix_micros(first.cast("timestamp"))) / 86_400_000_000)
-    return {
-        "first_record_date": F.to_date(first).cast("string"),
-        "last_record_date": F.to_date(last).cast("string"),
-        "span_days": span.cast("long"),
-        "weeks_covered": weeks,
-        "days_covered": days,
-        "avg_records_per_week": F.round(F.try_divide(rows, weeks), 2),
-        "avg_records_per_day": F.round(F.try_divide(rows, days), 2),
-    }
+    return dict(zip(TIME_COLUMNS, (
+        F.to_date(first).cast("string"), F.to_date(last).cast("string"), span.cast("long"), weeks, days,
+        F.round(F.try_divide(rows, weeks), 2), F.round(F.try_divide(rows, days), 2))))
 
 
 def time_coverage(df: DataFrame, ts: str = "published_at") -> DataFrame:

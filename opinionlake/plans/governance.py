@@ -11,7 +11,7 @@ from opinionlake.functions.numbers import pct, share
 from opinionlake.operators.dedup import key_counts
 from opinionlake.operators.language import looks_spanish
 from opinionlake.operators.outliers import iqr_outliers
-from opinionlake.operators.quality import compliance_columns, null_rate, schema_compliant, time_columns
+from opinionlake.operators.quality import TIME_COLUMNS, compliance_columns, null_rate, schema_compliant, time_columns
 
 OUTLIER_CHECKS = {"reading_time_min": fixed.ARTICLES, "score": fixed.POSTS, "num_comments": fixed.POSTS}
 
@@ -96,7 +96,7 @@ def governance_columns(sources: Sequence[str] = fixed.SOURCES, outliers: dict[st
         "pipeline_run_ts", "total_records", *[f"records_{s}" for s in sources],
         "body_text_missing_rate", "schema_compliance_rate",
         "records_before_dedup", "records_after_dedup", "duplicates_removed", "duplicate_rate",
-        *time_columns("published_at"), "pct_likely_spanish", "pct_likely_english",
+        *TIME_COLUMNS, "pct_likely_spanish", "pct_likely_english",
         *[f"null_rate_{c}" for c in fixed.NULL_CHECKED],
         "token_count_mean", "token_count_std", "token_count_min", "token_count_max",
         *[f"text_length_{s}" for s in stats], *[f"text_length_{s}_{src}" for src in reversed(sources) for s in stats],

@@ -196,8 +196,8 @@ emph AS (SELECT doc_id, CASE WHEN s > 0 THEN s + amp WHEN s < 0 THEN s - amp ELS
     CASE WHEN p > n THEN p + amp ELSE p END AS p, CASE WHEN p < n THEN n + amp ELSE n END AS n, u FROM amped),
 means AS (SELECT doc_id, round(sum(round(s / sqrt(s * s + 15), 4)), 4) / count(*) AS c, round(sum(round(p / (p + n + u), 3)), 4) / count(*) AS p,
     round(sum(round(n / (p + n + u), 3)), 4) / count(*) AS n, round(sum(round(u / (p + n + u), 3)), 4) / count(*) AS u FROM emph GROUP BY doc_id),
-scores AS (SELECT t.doc_id, round(coalesce(c, 0.0), 4) AS vader_compound, round(coalesce(p, 0.0), 4) AS vader_pos,
-    round(coalesce(n, 0.0), 4) AS vader_neg, round(coalesce(u, 1.0), 4) AS vader_neu,
+scores AS (SELECT t.doc_id, CAST(round(CAST(coalesce(c, 0.0) AS DECIMAL(18, 10)), 4) AS DOUBLE) AS vader_compound, CAST(round(CAST(coalesce(p, 0.0) AS DECIMAL(18, 10)), 4) AS DOUBLE) AS vader_pos,
+    CAST(round(CAST(coalesce(n, 0.0) AS DECIMAL(18, 10)), 4) AS DOUBLE) AS vader_neg, CAST(round(CAST(coalesce(u, 1.0) AS DECIMAL(18, 10)), 4) AS DOUBLE) AS vader_neu,
     CASE WHEN t.t = '' THEN 'neutral'
          WHEN c >= CASE WHEN article THEN 0.20 ELSE 0.05 END THEN 'positive'
          WHEN c <= CASE WHEN article THEN -0.20 ELSE -0.05 END THEN 'negative' ELSE 'neutral' END AS sentiment_label
