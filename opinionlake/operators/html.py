@@ -73,13 +73,14 @@ def metas(html: Column) -> Column:
         attribute(t, "content").alias("value"))),
         lambda e: (F.coalesce(e["key"], F.lit("")) != "") & (F.coalesce(e["value"], F.lit("")) != ""))
 
-    def last_of_key(all_entries: Column) -> Column:
-        keys = F.transform(all_entries, lambda e: e["key"])
-        return F.filter(all_entries, lambda e, i: ~F.array_contains(
-            F.slice(keys, i + 2, F.greatest(F.size(keys), F.lit(1))), e["key"]))
+    contents = _decoded(F.transform(entries, lambda e: e["value"]))
+    pairs = F.zip_with(entries, contents, lambda e, v: F.struct(e["key"].alias("key"), v.alias("value")))
 
-    pairs = let(entries, last_of_key)
-    return F.map_from_arrays(F.transform(pairs, lambda e: e["key"]), _decoded(F.transform(pairs, lambda e: e["value"])))
+    def last_of_key(all_pairs: Column) -> Column:
+        return let(F.transform(all_pairs, lambda e: e["key"]), lambda keys: F.filter(all_pairs, lambda e, i: ~F.array_contains(
+            F.slice(keys, i + 2, F.greatest(F.size(keys), F.lit(1))), e["key"])))
+
+    return F.map_from_entries(let(pairs, last_of_key))
 
 
 def times(html: Column) -> Column:
@@ -253,6 +254,6 @@ def extract_pages(df: DataFrame, html: str = "html", url: str = "url", ingested_
         hrefs(page).alias("all_hrefs"), srcs(page).alias("all_src"), classes(page).alias("all_classes"),
         meta.alias("all_meta"), F.col("_t.author").alias("author"),
         F.coalesce(F.nullif(F.col("_t.byline_date"), F.lit("")), F.try_element_at(meta, F.lit(fixed.META_PUBLISHED))).alias("published_time"),
-        F.lit(ingested_at).alias("ingestion_timestamp"),
+        F.lit(ingested_at).cast("string").alias("ingestion_timestamp"),
         F.when(missing, "no content").alias("error"), F.when(missing, "error").alias("status"),
         times(page).alias("time_all"))

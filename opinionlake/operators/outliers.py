@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,30 +12,16 @@ from opinionlake.operators.quantiles import median, quantiles, same_group_join
 
 
 def iqr_bounds(df: DataFrame, value: str, by: Sequence[str] = (), k: float = IQR_FACTOR,
-               small_domain: bool = False) -> DataFrame:
+               small_domain: bool = False, few_groups: bool = False) -> DataFrame:
     """Per group: n, q1, q3, iqr, lower, upper."""
     q1, q3 = F.get("q", F.lit(0)), F.get("q", F.lit(1))
-    return (quantiles(df, value, [0.25, 0.75], by, small_domain)
+    return (quantiles(df, value, [0.25, 0.75], by, small_domain, few_groups)
             .select(*by, "n", q1.alias("q1"), q3.alias("q3"))
             .withColumn("iqr", F.col("q3") - F.col("q1"))
             .withColumn("lower", F.col("q1") - k * F.col("iqr"))
             .withColumn("upper", F.col("q3") + k * F.col("iqr")))
 
 
-def with_bounds(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "_bounds",
-                small_domain: bool = False) -> DataFrame:
-    """Attach the bounds of the row's group as a struct column."""
-    fields = ["q1", "q3", "iqr", "lower", "upper"]
-    bounds = iqr_bounds(df, value, by, small_domain=small_domain).select(*by, F.struct(*fields).alias(name))
-    if not by:
-        return df.withColumn(name, bounds.scalar())
-    return same_group_join(df, bounds, by)
-
-
-def is_outlier(value: Column, bounds: Column) -> Column:
-    return (value < bounds["lower"]) | (value > bounds["upper"])
-
-
 def cap_outliers(df: DataFrame, values: Sequence[str], by: Sequence[str] = (), small_domain: bool = False) -> DataFrame:
     """Clip each column to the interquartile bounds of its group (a batch, a file).
 
@@ -43,7 +29,7 @@ def cap_outliers(df: DataFrame, values: Sequence[str], by: Sequence[str] = (), s
     """
     stacked = df.select(*by, F.inline(F.array(*[
         F.struct(F.lit(v).alias("_column"), F.col(v).cast("double").alias("_value")) for v in values])))
-    bounds = iqr_bounds(stacked, "_value", [*by, "_column"], small_domain=small_domain)
+    bounds = iqr_bounds(stacked, "_value", [*by, "_column"], small_domain=small_domain, few_groups=not by)
     wide = bounds.groupBy(*by).agg(*[
         F.max(F.when(F.col("_column") == v, F.struct("lower", "upper"))).alias(f"_b_{v}") for v in values])
     if by:
@@ -59,18 +45,33 @@ def cap_outliers(df: DataFrame, values: Sequence[str], by: Sequence[str] = (), s
 def impute_median(df: DataFrame, value: str, by: Sequence[str] = (), small_domain: bool = False) -> DataFrame:
     """Replace nulls by the median of the group."""
     mid = median(df, value, by, small_domain).select(*by, F.col("median").alias("_median"))
-    joined = same_group_join(df, mid, by) if by else df.withColumn("_median", mid.scalar())
+    joined = same_group_join(df, mid, by) if by else df.withColumn("_median", mid.select("_median").scalar())
     return joined.withColumn(value, F.coalesce(F.col(value).cast("double"), F.col("_median"))).drop("_median")
 
 
-def iqr_outliers(df: DataFrame, value: str, where: Column | None = None, k: float = IQR_FACTOR,
-                 small_domain: bool = False) -> DataFrame:
-    """One row: size, bounds, number and rate of outliers of one column over the chosen rows."""
-    rows = (df if where is None else df.filter(where)).select(F.col(value).cast("double").alias("v"))
-    bounds = iqr_bounds(rows, "v", (), k, small_domain).select(F.struct("q1", "q3", "iqr", "lower", "upper").alias("b"))
-    return (rows.filter(F.col("v").isNotNull()).withColumn("b", bounds.scalar())
+def outlier_stats(df: DataFrame, checks: Mapping[str, Column | None], k: float = IQR_FACTOR) -> DataFrame:
+    """One row per checked column: values, outliers, their rate, quartiles and bounds.
+
+    ``checks`` maps a column to the condition that selects its rows.  The columns
+    are stacked, so one job serves all of them; a column without values has no row.
+    """
+    def value(name: str, where: Column | None) -> Column:
+        number = F.col(name).cast("double")
+        return number if where is None else F.when(where, number)
+
+    stacked = df.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("column_name"), value(name, where).alias("v")) for name, where in checks.items()
+    ]))).filter(F.col("v").isNotNull())
+    bounds = iqr_bounds(stacked, "v", ["column_name"], k, few_groups=True)
+    placed = stacked.join(F.broadcast(bounds.drop("n")), "column_name")
+    parts = ["q1", "q3", "iqr", "lower", "upper"]
+    return (placed.groupBy("column_name")
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.coalesce(F.sum(F.when(is_outlier(F.col("v"), F.col("b")), 1).otherwise(0)), F.lit(0)).alias("n_outliers"),
-                 F.first("b").alias("b"))
-            .select("n", "n_outliers", F.round(pct(F.col("n_outliers"), F.col("n")), 2).alias("outlier_rate"),
-                    "b.q1", "b.q3", "b.iqr", "b.lower", "b.upper"))
+                 F.sum(F.when((F.col("v") < F.col("lower")) | (F.col("v") > F.col("upper")), 1).otherwise(0)).alias("n_outliers"),
+                 *[F.max(c).alias(c) for c in parts])
+            .select("column_name", "n", "n_outliers", F.round(pct(F.col("n_outliers"), F.col("n")), 2).alias("outlier_rate"), *parts))
+
+
+def iqr_outliers(df: DataFrame, value: str, where: Column | None = None, k: float = IQR_FACTOR) -> DataFrame:
+    """The outlier statistics of one column over the chosen rows."""
+    return outlier_stats(df, {value: where}, k).drop("column_name")

@@ -10,7 +10,6 @@ from opinionlake import fixed
 from opinionlake.functions.numbers import pct, share
 from opinionlake.functions.text import is_blank
 from opinionlake.functions.timeparts import week_label
-from opinionlake.operators.outliers import iqr_outliers
 from opinionlake.operators.quantiles import quantiles, same_group_join
 
 
@@ -171,8 +170,8 @@ def batch_metrics_posts(df: DataFrame, duplicates: DataFrame, by: str = "bronze_
     stats = df.groupBy(by).agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.when(F.col("body_text_missing"), 1).otherwise(0)).alias("empty_bodies"),
-        F.round(F.percentile("score", F.lit(0.5)), 2).alias("score_median"),
-        F.round(F.percentile("num_comments", F.lit(0.5)), 2).alias("num_comments_median"))
+        F.percentile("score", F.lit(0.5)).alias("score_median"),
+        F.percentile("num_comments", F.lit(0.5)).alias("num_comments_median"))
     return same_group_join(stats, duplicates, [by])
 
 
@@ -184,15 +183,3 @@ def batch_duplicates(df: DataFrame, key: str = "url", by: str = "bronze_source")
 
 def missing_body(col: str) -> Column:
     return is_blank(F.col(col))
-
-
-
-def outlier_table(df: DataFrame, checks: dict[str, str], by: str = "source") -> DataFrame:
-    """Outlier rate of each ``{column: source}``, one row per column."""
-    parts = [iqr_outliers(df, column, F.col(by) == source)
-             .select(F.lit(column).alias("column_name"), "n", "n_outliers", "outlier_rate", "lower", "upper")
-             for column, source in checks.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out

@@ -21,26 +21,29 @@ MARGIN = 10 / ACCURACY
 SMALL_GROUP = 1_000_000
 
 
-def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-              small_domain: bool = False, small_group: int = SMALL_GROUP) -> DataFrame:
-    """One row per group: ``n`` non-null values and ``q``, one quantile per probability."""
+def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), small_domain: bool = False,
+              few_groups: bool = False, small_group: int = SMALL_GROUP) -> DataFrame:
+    """One row per group: ``n`` non-null values and ``q``, one quantile per probability.
+
+    ``few_groups`` says that the number of groups is fixed by the code (a list of
+    columns, no grouping at all), so the per-group sketches may be broadcast.
+    """
     by = list(by)
     base = df.select(*by, F.col(value).cast("double").alias("_v"))
     if small_domain:
         return base.groupBy(*by).agg(
             F.count("_v").alias("n"), F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("q"))
+    if not by:
+        # one group, under a key that the optimizer does not fold away
+        keyed = base.select(F.inline(F.array(F.struct(F.lit(0).alias("_g"), "_v"))))
+        return quantiles(keyed, "_v", probs, ["_g"], few_groups=True, small_group=small_group).drop("_g")
 
     marks = [m for p in probs for m in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))]
     sketch = base.groupBy(*by).agg(
         F.count("_v").alias("_n"),
         F.percentile_approx("_v", F.array(*[F.lit(m) for m in marks]), F.lit(ACCURACY)).alias("_m"),
     )
-    values = base.filter(F.col("_v").isNotNull())
-    if by:
-        placed = same_group_join(values, sketch, by)
-    else:
-        one = sketch.select(F.struct("_n", "_m").alias("s")).scalar()
-        placed = values.withColumn("_s", one).select("_v", "_s._n", "_s._m")
+    placed = same_group_join(base.filter(F.col("_v").isNotNull()), F.broadcast(sketch) if few_groups else sketch, by)
 
     narrowed = F.col("_n") > small_group
 
@@ -71,10 +74,8 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
         F.raise_error(F.lit("quantile bracket missed the wanted rank; raise ACCURACY")).cast("double"))
     result = picked.withColumn("x", exact).groupBy(*by).agg(
         F.array(*[F.max(F.when(F.col("i") == i, F.col("x"))) for i in range(len(probs))]).alias("_q"))
-    if by:
-        return (same_group_join(sketch.select(*by, F.col("_n").alias("n")), result, by, "left")
-                .select(*by, "n", F.col("_q").alias("q")))
-    return sketch.select(F.col("_n").alias("n")).withColumn("q", result.scalar())
+    counted = sketch.select(*by, F.col("_n").alias("n"))
+    return same_group_join(counted, result, by).select(*by, "n", F.col("_q").alias("q"))
 
 
 def same_group_join(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:

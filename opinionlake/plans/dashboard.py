@@ -13,7 +13,8 @@ from opinionlake.operators import aspects as A
 from opinionlake.operators import distribution as D
 from opinionlake.operators import tokens as K
 from opinionlake.operators.conform import scope
-from opinionlake.operators.quality import null_rates_long, outlier_table
+from opinionlake.operators.outliers import outlier_stats
+from opinionlake.operators.quality import null_rates_long
 from opinionlake.plans.governance import OUTLIER_CHECKS, governance, kpi_table
 
 
@@ -40,8 +41,8 @@ def null_view(gold: DataFrame, source: str = "all") -> DataFrame:
 
 def outlier_view(gold: DataFrame, source: str = "all") -> DataFrame:
     """Outlier rates of the numeric fields that exist in the scope, highest first."""
-    checks = {c: s for c, s in OUTLIER_CHECKS.items() if source in ("all", s)}
-    rates = outlier_table(gold, checks).filter(F.col("n") > 0)
+    checks = {c: F.col("source") == s for c, s in OUTLIER_CHECKS.items() if source in ("all", s)}
+    rates = outlier_stats(gold, checks)
     return rates.select("column_name", "outlier_rate", severity(F.col("outlier_rate")).alias("severity")).orderBy(
         F.desc("outlier_rate"), "column_name")
 

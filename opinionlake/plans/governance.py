@@ -10,7 +10,7 @@ from opinionlake import fixed
 from opinionlake.functions.numbers import pct, share
 from opinionlake.operators.dedup import key_counts
 from opinionlake.operators.language import looks_spanish
-from opinionlake.operators.outliers import iqr_outliers
+from opinionlake.operators.outliers import outlier_stats
 from opinionlake.operators.quality import TIME_COLUMNS, compliance_columns, null_rate, schema_compliant, time_columns
 
 OUTLIER_CHECKS = {"reading_time_min": fixed.ARTICLES, "score": fixed.POSTS, "num_comments": fixed.POSTS}
@@ -78,14 +78,14 @@ def governance(df: DataFrame, run_ts: str, before: DataFrame | None = None,
             "records_before_dedup": absent, "records_after_dedup": absent, "duplicates_removed": absent,
             "duplicate_rate": F.round(pct(F.col("_k.rows") - F.col("_k.distinct_keys"), F.col("_k.rows")), 2)}).drop("_k")
 
-    for column, source in outliers.items():
-        found = iqr_outliers(df, column, F.col("source") == source, small_domain=column == "reading_time_min").select(
-            F.struct("outlier_rate", "lower", "upper").alias("o"))
-        one = one.withColumn("_o", found.scalar()).withColumns({
-            f"outlier_rate_{column}": F.col("_o.outlier_rate"),
-            f"outlier_iqr_lower_{column}": F.round("_o.lower", 2),
-            f"outlier_iqr_upper_{column}": F.round("_o.upper", 2)}).drop("_o")
-
+    found = outlier_stats(df, {c: F.col("source") == s for c, s in outliers.items()})
+    per_column = found.agg(*[F.max(F.when(F.col("column_name") == c, F.struct("outlier_rate", "lower", "upper"))).alias(c)
+                             for c in outliers])
+    one = one.withColumn("_o", per_column.select(F.struct(*outliers)).scalar())
+    for c in outliers:
+        one = one.withColumns({f"outlier_rate_{c}": F.col(f"_o.{c}.outlier_rate"),
+                               f"outlier_iqr_lower_{c}": F.round(f"_o.{c}.lower", 2),
+                               f"outlier_iqr_upper_{c}": F.round(f"_o.{c}.upper", 2)})
     return one.select(*governance_columns(sources, outliers))
 
 

@@ -1 +1,258 @@
-QUERIES = []
+"""Sources, sinks, incremental reading and streaming over data derived from the tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F, types as T
+
+from opinionlake import fixed
+from opinionlake.operators.dedup import insert_counts, insert_ignore
+from opinionlake.operators.html import extract_pages
+from opinionlake.plans.silver import silver_articles, silver_posts
+from opinionlake.registry.base import Query, scratch, table
+from opinionlake.registry.views import sql_clean, values
+from opinionlake.sources import readers as R
+from opinionlake.sources import tables as S
+from opinionlake.streaming import ingest as I
+
+
+def _bronze_posts(spark, sf):
+    """Raw post records out of documents and events; scores are text and partly unreadable."""
+    e = table(spark, sf, "events").select("event_id", "ts", "event_type", "value", "props")
+    d = table(spark, sf, "documents").join(e, F.col("event_id") == F.col("doc_id") * 10, "left")
+    return d.select(
+        F.lit("q").alias("api_query"), F.concat(F.lit("https://posts.example/"), F.md5(F.col("text").cast("binary"))).alias("url"),
+        F.lit("").alias("permalink"), F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("selftext"),
+        F.when(F.col("event_type") != "click", F.col("event_type")).alias("author"),
+        F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string")).alias("score"),
+        F.get_json_object("props", "$.k").alias("num_comments"),
+        F.unix_timestamp(F.col("ts").cast("timestamp")).cast("string").alias("created_utc"),
+        F.col("source").alias("subreddit"), F.lit("2024-02-01T00:00:00").alias("retrieved_at"), "lang", "doc_id")
+
+
+def bronze_roundtrip(spark, sf):
+    """Bronze posts written as JSON and read back with the declared schema."""
+    root = scratch(spark, "bronze")
+    S.write_bronze(_bronze_posts(spark, sf), root, "posts", "20240201_000000")
+    back = R.read_posts(spark, f"{root}/posts", lines=True)
+    return back.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("url").alias("urls"), F.sum(F.length("selftext")).alias("chars"),
+        F.count(F.col("score").try_cast("double")).alias("scores"), F.count("author").alias("authors"))
+
+
+def silver_posts_table(spark, sf):
+    """Bronze posts to silver: dedup per batch, capping per batch, cleaning."""
+    bronze = _bronze_posts(spark, sf).withColumns({"bronze_source": F.concat("lang", F.lit(".json")), "row_order": F.col("doc_id")})
+    out = silver_posts(bronze, ["row_order"])
+    return out.select("url", "title", "author", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published_at"),
+                      "body_text_clean", "body_text_missing", F.round("score", 4).alias("score"),
+                      F.round("num_comments", 4).alias("num_comments"), "subreddit", "source", "bronze_source")
+
+
+def _bronze_articles(spark, sf):
+    """Page records out of documents: metadata map, paragraphs by line."""
+    e = table(spark, sf, "events").select("event_id", "ts", "event_type")
+    d = table(spark, sf, "documents").join(e, F.col("event_id") == F.col("doc_id") * 10, "left")
+    iso = F.when(F.col("event_type") != "view", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    minutes = F.when(F.col("event_type") != "error", F.concat(F.ceil(F.col("n_chars") / 1000).cast("string"), F.lit(" minutes")))
+    meta = F.map_filter(F.create_map(
+        F.lit(fixed.META_TITLE), F.substring_index("text", "\n", 1), F.lit(fixed.META_PUBLISHED), iso,
+        F.lit(fixed.META_READING_TIME), minutes), lambda k, v: v.isNotNull())
+    return d.select(
+        F.concat(F.lit("https://news.example/"), F.md5(F.col("text").cast("binary"))).alias("url"), meta.alias("all_meta"),
+        F.split("text", "\n").alias("p_all_texts"), F.date_format("ts", "d/M/yyyy").alias("published_time"),
+        F.concat("source", F.lit(".json")).alias("bronze_source"), F.col("doc_id").alias("row_order"))
+
+
+def silver_articles_table(spark, sf):
+    out = silver_articles(_bronze_articles(spark, sf), ["row_order"])
+    return out.select("url", "title", "author", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published_at"),
+                      F.round("reading_time_min", 4).alias("reading_time_min"), "body_text", "body_text_missing", "source", "bronze_source")
+
+
+def csv_roundtrip(spark, sf):
+    """Page records written as CSV (lists and maps as text) and read back."""
+    path = scratch(spark, "csv")
+    pages = extract_pages(table(spark, sf, "pages")).drop("time_all")
+    S.write_csv(pages, path)
+    back = R.read_pages(spark, path, "csv")
+    return back.select("url", F.size("all_hrefs").cast("long").alias("n_hrefs"), F.size("h1_all_texts").cast("long").alias("n_h1"),
+                       F.array_join("all_classes", " ").alias("classes"))
+
+
+def latest_snapshot(spark, sf):
+    """Two runs of a table; the newest one is read."""
+    root = scratch(spark, "runs")
+    counts = table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    S.write_table(counts.withColumn("n", F.col("n") * 2), root, "counts", "20240101_000000")
+    S.write_table(counts, root, "counts", "20240108_000000")
+    return S.latest(spark, root, "counts")
+
+
+def snapshot_inventory(spark, sf):
+    """Families and runs of the stored aggregate tables."""
+    root = scratch(spark, "inventory")
+    e = table(spark, sf, "events")
+    tables = {"by_type": e.groupBy("event_type").count(), "by_user": e.groupBy("user_id").count()}
+    for run in ("20240101_000000", "20240108_000000"):
+        S.write_tables(tables, root, run)
+    runs = S.read_table(spark, root, "by_user").groupBy("run_ts").agg(F.count(F.lit(1)).alias("rows"))
+    return runs.withColumn("schema_cols", S.schema_table(S.latest(spark, root, "by_user")).agg(F.count(F.lit(1))).scalar())
+
+
+def file_stamps(spark, sf):
+    name = F.when(F.col("event_type") == "error", F.concat("event_type", F.lit(".parquet"))).otherwise(
+        F.concat("event_type", F.lit("_"), F.date_format("ts", "yyyyMMdd_HHmmss"), F.lit(".parquet")))
+    return table(spark, sf, "events").select("event_id", R.file_stamp(name).alias("stamp"), R.family(name).alias("family"))
+
+
+def _daily_files(spark, sf):
+    return table(spark, sf, "events").withColumn("file", F.concat(F.lit("posts_"), F.date_format("ts", "yyyyMMdd"), F.lit("_000000.json")))
+
+
+def pending_files(spark, sf):
+    return R.pending(_daily_files(spark, sf), "20240110_000000", "file").groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+
+
+def pending_latest(spark, sf):
+    return R.pending(_daily_files(spark, sf), "20240110_000000", "file", latest_only=True).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+
+
+def high_mark(spark, sf):
+    return R.high_mark(_daily_files(spark, sf), "file")
+
+
+def flatten_payload(spark, sf):
+    """API answers, one per conversation, to post records."""
+    turns = table(spark, sf, "conversations")
+    child = F.struct(F.struct(
+        F.col("role").alias("title"), F.col("text").alias("selftext"),
+        F.concat(F.lit("/c/"), F.col("conv_id"), F.lit("/"), F.col("role")).alias("permalink"), F.lit("x").alias("url"),
+        F.lit("u").alias("author"), F.col("turn").cast("string").alias("score"), F.lit("0").alias("num_comments"),
+        F.lit("0").alias("created_utc"), F.lit("s").alias("subreddit")).alias("data"))
+    payload = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", child.alias("child")))).alias("c")).select(
+        "conv_id", F.struct(F.transform("c", lambda x: x["child"]).alias("children")).alias("data"))
+    out = R.flatten_payload(payload, "q", "now", "https://site.example", "en", ("conv_id",))
+    return out.select("conv_id", "url", "title", "score", F.length("selftext").cast("long").alias("chars"))
+
+
+def _split(spark, sf):
+    """A stored table and a batch that overlaps it and repeats keys."""
+    d = table(spark, sf, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("key"), "lang")
+    return d.filter(F.col("lang") == "en"), d.filter(F.col("lang") != "fr")
+
+
+def insert_new(spark, sf):
+    existing, batch = _split(spark, sf)
+    return insert_ignore(existing, batch, "key", ["doc_id"]).select("doc_id", "lang")
+
+
+def insert_outcome(spark, sf):
+    existing, batch = _split(spark, sf)
+    return insert_counts(existing, batch, "key", ["doc_id"])
+
+
+# --- streaming --------------------------------------------------------------
+_EVENTS = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType()),
+                        T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
+
+
+def stream_weekly_volume(spark, sf):
+    """Events replayed as files through the windowed stream; every window is written on the final pass."""
+    root = scratch(spark, "stream")
+    rows = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    rows.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(_EVENTS).parquet(f"{root}/in")
+    weekly = I.weekly_counts(stream, "ts", "event_type", "value", mean="mean_value")
+
+    def keep(batch, _):
+        batch.write.mode("overwrite").parquet(f"{root}/out")
+
+    query = (weekly.writeStream.outputMode("complete").foreachBatch(keep)
+             .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.parquet(f"{root}/out").withColumn("mean_value", F.round("mean_value", 3))
+
+
+def stream_insert(spark, sf):
+    """Documents arriving in two rounds with repeated keys; the table keeps the first of each key."""
+    root = scratch(spark, "insert")
+    posts = _bronze_posts(spark, sf)
+    for lang in ("en", "fr"):
+        (posts.filter(F.col("lang") == lang).select("url", "title", "selftext", "lang").write.json(f"{root}/in/{lang}"))
+        files = spark.readStream.schema("url string, title string, selftext string, lang string").json(f"{root}/in/*")
+        I.run_insert(I.with_file_block(files), f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("url").alias("urls"))
+
+
+_PROFILES = values([(lang, w) for lang, ws in fixed.LANGUAGE_PROFILES.items() for w in ws])
+_POSTS = f"""
+raw AS (SELECT d.*, e.ts, e.event_type, e.value, e.props, 'https://posts.example/' || md5(d.text) AS url,
+    CASE WHEN e.event_type = 'error' THEN NULL ELSE e.value END AS score, CAST(json_extract_string(e.props, '$.k') AS DOUBLE) AS k
+  FROM documents d LEFT JOIN events e ON e.event_id = d.doc_id * 10)"""
+
+
+def _cap(col: str, name: str) -> str:
+    lo, hi = f"{name}1 - 1.5 * ({name}3 - {name}1)", f"{name}3 + 1.5 * ({name}3 - {name}1)"
+    return f"round(CASE WHEN {col} < {lo} THEN {lo} WHEN {col} > {hi} THEN {hi} ELSE {col} END, 4)"
+
+
+QUERIES = [
+    Query("bronze_roundtrip", bronze_roundtrip, f"""WITH {_POSTS}
+SELECT lang, count(*) AS n, count(DISTINCT url) AS urls, sum(length(text)) AS chars, count(score) AS scores,
+  count(CASE WHEN event_type <> 'click' THEN 1 END) AS authors FROM raw GROUP BY lang"""),
+    Query("silver_posts", silver_posts_table, f"""WITH {_POSTS},
+kept AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY lang, url ORDER BY doc_id) = 1),
+q AS (SELECT lang, quantile_cont(score, 0.25) AS s1, quantile_cont(score, 0.75) AS s3, quantile_cont(k, 0.25) AS k1, quantile_cont(k, 0.75) AS k3
+  FROM kept GROUP BY lang)
+SELECT url, split_part(text, chr(10), 1) AS title, CASE WHEN event_type <> 'click' THEN event_type ELSE 'Unknown' END AS author,
+  strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS published_at, {sql_clean('text')} AS body_text_clean,
+  NOT regexp_matches(text, '\\S') AS body_text_missing, {_cap('score', 's')} AS score, {_cap('k', 'k')} AS num_comments,
+  source AS subreddit, 'reddit' AS source, lang || '.json' AS bronze_source FROM kept JOIN q USING (lang)"""),
+    Query("silver_articles", silver_articles_table, f"""WITH {_POSTS},
+kept AS (SELECT *, CASE WHEN event_type <> 'error' THEN ceil(n_chars / 1000.0) END AS r FROM raw
+  QUALIFY row_number() OVER (PARTITION BY source, url ORDER BY doc_id) = 1),
+f AS (SELECT *, coalesce(r, quantile_cont(r, 0.5) OVER (PARTITION BY source)) AS rt FROM kept),
+q AS (SELECT source, quantile_cont(rt, 0.25) AS s1, quantile_cont(rt, 0.75) AS s3 FROM f GROUP BY source),
+b AS (SELECT *, nullif(array_to_string(list_filter(list_transform(string_split(text, chr(10)),
+  lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))), lambda x: length(x) >= 80), ' '), '') AS body FROM f)
+SELECT 'https://news.example/' || md5(text) AS url, split_part(text, chr(10), 1) AS title, 'Unknown' AS author,
+  CASE WHEN event_type <> 'view' THEN strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S')
+       ELSE strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') END AS published_at,
+  {_cap('rt', 's')} AS reading_time_min, body AS body_text, body IS NULL AS body_text_missing, 'scraping' AS source,
+  source || '.json' AS bronze_source FROM b JOIN q USING (source)"""),
+    Query("csv_roundtrip", csv_roundtrip, """
+SELECT url, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)[1:20]) AS n_hrefs, len(regexp_extract_all(html, '<h1>[^<]+</h1>')) AS n_h1,
+  array_to_string(list_sort(list_distinct(regexp_extract_all(html, 'class="([^" ]+)"', 1))), ' ') AS classes FROM pages"""),
+    Query("latest_snapshot", latest_snapshot, "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"),
+    Query("snapshot_inventory", snapshot_inventory, """
+SELECT r AS run_ts, (SELECT count(DISTINCT user_id) FROM events) AS rows, 2 AS schema_cols
+FROM (VALUES ('20240101_000000'), ('20240108_000000')) v(r)"""),
+    Query("file_stamps", file_stamps, """
+SELECT event_id, CASE WHEN event_type = 'error' THEN '00000000_000000' ELSE strftime(date_trunc('second', ts), '%Y%m%d_%H%M%S') END AS stamp,
+  CASE WHEN event_type = 'error' THEN 'error.parquet' ELSE event_type END AS family FROM events"""),
+    Query("pending_files", pending_files, """
+SELECT 'posts_' || strftime(ts, '%Y%m%d') || '_000000.json' AS file, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-11' GROUP BY 1"""),
+    Query("pending_latest", pending_latest, """
+SELECT 'posts_' || strftime(ts, '%Y%m%d') || '_000000.json' AS file, count(*) AS n FROM events
+WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY 1"""),
+    Query("high_mark", high_mark, "SELECT strftime(max(ts), '%Y%m%d') || '_000000' AS mark FROM events"),
+    Query("flatten_payload", flatten_payload, f"""WITH first AS (SELECT *, trim(role || ' ' || text) AS t FROM conversations
+  QUALIFY row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) = 1),
+w AS (SELECT conv_id, role, unnest(regexp_extract_all(lower(t), '\\p{{L}}+')) AS w FROM first),
+h AS (SELECT conv_id, role, lang, count(*) AS n FROM w JOIN (VALUES {_PROFILES}) p(lang, word) ON word = w GROUP BY ALL),
+best AS (SELECT conv_id, role, lang FROM h QUALIFY row_number() OVER (PARTITION BY conv_id, role ORDER BY n DESC, lang) = 1)
+SELECT conv_id, 'https://site.example/c/' || conv_id || '/' || role AS url, role AS title, CAST(turn AS VARCHAR) AS score, length(text) AS chars
+FROM first JOIN best USING (conv_id, role) WHERE lang = 'en'"""),
+    Query("insert_ignore", insert_new, """
+SELECT doc_id, lang FROM (SELECT * FROM documents WHERE lang <> 'fr' QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1)
+WHERE text NOT IN (SELECT text FROM documents WHERE lang = 'en')"""),
+    Query("insert_outcome", insert_outcome, """
+SELECT count(*) AS processed, count(DISTINCT text) FILTER (WHERE NOT en) AS inserted, count(*) - count(DISTINCT text) FILTER (WHERE NOT en) AS skipped
+FROM (SELECT text, text IN (SELECT text FROM documents WHERE lang = 'en') AS en FROM documents WHERE lang <> 'fr')"""),
+    Query("stream_weekly_volume", stream_weekly_volume, """
+SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') || '/' || strftime(date_trunc('week', ts) + INTERVAL 6 DAY, '%Y-%m-%d') AS week,
+  event_type, count(*) AS n_records, round(round(avg(value), 4), 3) AS mean_value FROM events GROUP BY ALL"""),
+    Query("stream_insert", stream_insert, """
+SELECT lang, count(DISTINCT text) AS n, count(DISTINCT text) AS urls FROM documents
+WHERE lang = 'en' OR (lang = 'fr' AND text NOT IN (SELECT text FROM documents WHERE lang = 'en')) GROUP BY lang"""),
+]

@@ -175,7 +175,8 @@ def batch_metrics(spark, sf):
 def batch_metrics_posts(spark, sf):
     rows = records(spark, sf).filter(F.col("source") == fixed.POSTS)
     kept = U.dedup_first(rows, ["bronze_source", "url"], ["doc_id"])
-    return Q.batch_metrics_posts(kept, Q.batch_duplicates(rows))
+    return Q.batch_metrics_posts(kept, Q.batch_duplicates(rows)).withColumns(
+        {c: F.round(c, 4) for c in ("score_median", "num_comments_median")})
 
 
 # --- governance -------------------------------------------------------------
@@ -382,8 +383,8 @@ a AS (SELECT * FROM records WHERE source = 'scraping'),
 u AS (SELECT bronze_source, url, min(reading_time_min) AS v FROM a GROUP BY ALL),
 q AS (SELECT bronze_source, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM u GROUP BY bronze_source)""")),
     Query("batch_metrics_posts", batch_metrics_posts, records_sql("""
-SELECT bronze_source, count(*) AS rows, count(*) FILTER (WHERE body_text_missing) AS empty_bodies, round(quantile_cont(score, 0.5), 2) AS score_median,
-  round(quantile_cont(num_comments, 0.5), 2) AS num_comments_median, any_value(duplicates) AS duplicates
+SELECT bronze_source, count(*) AS rows, count(*) FILTER (WHERE body_text_missing) AS empty_bodies, round(quantile_cont(score, 0.5), 4) AS score_median,
+  round(quantile_cont(num_comments, 0.5), 4) AS num_comments_median, any_value(duplicates) AS duplicates
 FROM (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY bronze_source, url ORDER BY doc_id) = 1)
 JOIN (SELECT bronze_source, count(*) - count(DISTINCT url) AS duplicates FROM a GROUP BY bronze_source) USING (bronze_source) GROUP BY bronze_source""",
         "a AS (SELECT * FROM records WHERE source = 'reddit')")),

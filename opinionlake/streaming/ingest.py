@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from opinionlake.functions.timeparts import week_label
 from opinionlake.operators.dedup import insert_ignore
 from opinionlake.schemas import BRONZE_PAGE_TEXT, BRONZE_POST
-from opinionlake.sources.readers import with_file_position
 
 
 def stream_posts(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -26,7 +25,13 @@ def _stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int
     reader = spark.readStream.schema(schema).option("multiLine", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return with_file_position(reader.json(path))
+    return with_file_block(reader.json(path))
+
+
+def with_file_block(stream: DataFrame) -> DataFrame:
+    """File name and split start; the row number is added per batch (a stream cannot number rows)."""
+    return stream.select("*", F.col("_metadata.file_name").alias("bronze_source"),
+                         F.col("_metadata.file_block_start").alias("_file_block"))
 
 
 def insert_batch(target: str, key: str, order: Sequence[str],
@@ -39,13 +44,16 @@ def insert_batch(target: str, key: str, order: Sequence[str],
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if "_file_block" in batch.columns:
+            position = F.struct("_file_block", F.monotonically_increasing_id())
+            batch = batch.withColumn("row_order", position).drop("_file_block")
         rows = transform(batch) if transform else batch
         try:
             existing = spark.read.parquet(target).filter(F.col("batch") != batch_id)
         except AnalysisException:  # first batch: nothing there yet
             existing = spark.createDataFrame([], T.StructType([rows.schema[key]]))
         fresh = insert_ignore(existing, rows, key, order)
-        fresh.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={batch_id}")
+        fresh.drop("row_order").write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={batch_id}")
 
     return write
 
