@@ -14,10 +14,8 @@ from pyspark.sql import Column, functions as F, types as T
 from opinionlake.fixed import BOILERPLATE, MIN_PARAGRAPH, TYPOGRAPHIC_MARKS, UNKNOWN_AUTHOR
 from opinionlake.functions.lookup import let
 
-# The white-space characters of Unicode and the separators U+001C..U+001F, spelled
-# out: an explicit class is several times faster than \s in Unicode mode.
-_SPACES = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-SPACE, VISIBLE = f"[{_SPACES}]", f"[^{_SPACES}]"
+# White space and its opposite in the sense of Unicode.
+SPACE, VISIBLE = r"(?U)\s", r"(?U)\S"
 _DELETED = string.punctuation + TYPOGRAPHIC_MARKS
 
 
@@ -52,7 +50,7 @@ def strip_tags(col: Column) -> Column:
 
 
 def drop_urls(col: Column) -> Column:
-    return _replace_where(col, ["http", "www"], f"http{VISIBLE}+|www{VISIBLE}+", "")
+    return _replace_where(col, ["http", "www"], r"(?U)http\S+|www\S+", "")
 
 
 def drop_social(col: Column, anchored: bool = False) -> Column:
@@ -76,7 +74,7 @@ def squash(col: Column) -> Column:
 
 
 def strip(col: Column) -> Column:
-    return F.regexp_replace(col, f"^{SPACE}+|{SPACE}+$", "")
+    return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
 
 
 def is_blank(col: Column) -> Column:

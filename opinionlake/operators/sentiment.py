@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from opinionlake import fixed
 from opinionlake.functions.lookup import let, lookup, member
 from opinionlake.functions.numbers import label
-from opinionlake.functions.text import SPACE, is_blank, scoring_text, strip
+from opinionlake.functions.text import is_blank, scoring_text, squash, strip
 
 # Distance damping of a degree word one, two and three places before.
 DAMPING = (1.0, 0.95, 0.9)
@@ -48,32 +48,50 @@ def read_lexicon(spark: SparkSession, path: str) -> Rules:
     return Rules(lexicon={r["word"].lower(): r["value"] for r in rows})
 
 
-def _word_records(text: Column, rules: Rules) -> Column:
-    """Words with everything their neighbours may ask about them."""
-    def record(raw: Column) -> Column:
-        def parts(word: Column) -> Column:
-            return let(F.lower(word), lambda low: F.struct(
-                low.alias("low"),
-                ((low != word) & (F.upper(word) == word)).alias("caps"),
-                lookup(low, rules.lexicon, "double").alias("value"),
-                F.when(member(low, rules.degrees), lookup(low, rules.degrees, "double")).alias("degree"),
-                (member(low, rules.negators) | F.contains(low, F.lit("n't"))).alias("negator"),
-            ))
+def _words(text: Column, rules: Rules) -> Column:
+    """Struct of parallel arrays: the words as written, their bare lower-case form, their lexicon value.
 
-        return let(F.btrim(raw, F.lit(string.punctuation)),
-                   lambda bare: let(F.when(F.length(bare) > 2, bare).otherwise(raw), parts))
+    The text is lower-cased once and split in parallel with the original.
+    """
+    def bare(low: Column) -> Column:
+        return let(F.btrim(low, F.lit(string.punctuation)), lambda b: F.when(F.length(b) > 2, b).otherwise(low))
+
+    def pieces(t: Column) -> Column:
+        return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
+
+    def arrays(t: Column) -> Column:
+        return let(F.transform(pieces(F.lower(t)), bare), lambda lows: F.struct(
+            pieces(t).alias("raw"), lows.alias("low"),
+            F.transform(lows, lambda w: lookup(w, rules.lexicon, "double")).alias("value")))
+
+    return let(squash(text), arrays)
 
-    pieces = F.filter(F.split(text, f"{SPACE}+"), lambda w: w != "")
-    return F.transform(pieces, record)
 
+def _is_caps(raw: Column) -> Column:
+    # punctuation has no case: the untrimmed word answers for the trimmed one
+    return (F.lower(raw) != raw) & (F.upper(raw) == raw)
 
-def _valence(words: Column, item: Column, i: Column, mixed_case: Column) -> Column:
-    """Valence of one word in its context."""
-    def at(offset: int) -> Column:
-        return F.get(words, i + F.lit(offset))
 
+def _valence(words: Column, i: Column, mixed_case: Column, rules: Rules) -> Column:
+    """Valence in its context of a word that is in the lexicon.
+
+    Degree words, negators and capitals are only looked up here, for the three
+    words before a hit.
+    """
     def low(offset: int) -> Column:
-        return at(offset)["low"]
+        return F.get(words["low"], i + F.lit(offset))
+
+    def value_of(offset: int) -> Column:
+        return F.get(words["value"], i + F.lit(offset))
+
+    def caps(offset: int) -> Column:
+        return mixed_case & _is_caps(F.get(words["raw"], i + F.lit(offset)))
+
+    def degree(offset: int) -> Column:
+        return F.when(member(low(offset), rules.degrees), lookup(low(offset), rules.degrees, "double"))
+
+    def negator(offset: int) -> Column:
+        return member(low(offset), rules.negators) | F.contains(low(offset), F.lit("n't"))
 
     def is_no(offset: int) -> Column:
         return F.coalesce(low(offset) == "no", F.lit(False))
@@ -81,18 +99,21 @@ def _valence(words: Column, item: Column, i: Column, mixed_case: Column) -> Colu
     def toward(value: Column, amount: float) -> Column:
         return F.when(value > 0, value + amount).otherwise(value - amount)
 
-    own = item["value"]
-    standing_no = (item["low"] == "no") & at(1)["value"].isNotNull()
+    own = value_of(0)
+    standing_no = (low(0) == "no") & value_of(1).isNotNull()
     after_no = is_no(-1) | is_no(-2) | (is_no(-3) & low(-1).isin("or", "nor"))
     start = F.when(after_no, own * fixed.NEGATION).when(standing_no, F.lit(0.0)).otherwise(own)
 
-    def degree_shift(value: Column, before: Column) -> Column:
-        scalar = F.when(value < 0, -before["degree"]).otherwise(before["degree"])
-        loud = F.when(value > 0, scalar + fixed.CAPS_BOOST).otherwise(scalar - fixed.CAPS_BOOST)
-        return F.coalesce(F.when(before["caps"] & mixed_case, loud).otherwise(scalar), F.lit(0.0))
+    def shift(value: Column, offset: int) -> Column:
+        def scaled(d: Column) -> Column:
+            scalar = F.when(value < 0, -d).otherwise(d)
+            loud = F.when(value > 0, scalar + fixed.CAPS_BOOST).otherwise(scalar - fixed.CAPS_BOOST)
+            return F.when(d.isNull(), F.lit(0.0)).when(caps(offset), loud).otherwise(scalar)
+
+        return let(degree(offset), scaled)
 
     def negated(value: Column, distance: int) -> Column:
-        flipped = F.when(at(-distance)["negator"], value * fixed.NEGATION).otherwise(value)
+        flipped = F.when(negator(-distance), value * fixed.NEGATION).otherwise(value)
         if distance == 1:
             return flipped
         between = [low(-d) for d in range(1, distance)]
@@ -106,28 +127,35 @@ def _valence(words: Column, item: Column, i: Column, mixed_case: Column) -> Colu
                 .otherwise(flipped))
 
     def step(value: Column, distance: int) -> Column:
-        before = at(-distance)
         # a neighbour that has a valence of its own does not modify this word
-        applies = (i >= distance) & before["value"].isNull()
-        shifted = value + degree_shift(value, before) * DAMPING[distance - 1]
+        applies = (i >= distance) & value_of(-distance).isNull()
+        shifted = value + shift(value, -distance) * DAMPING[distance - 1]
         return F.when(applies, let(shifted, lambda v: negated(v, distance))).otherwise(value)
 
     def least(value: Column) -> Column:
-        plain = at(-1)["value"].isNull() & (low(-1) == "least")
+        plain = value_of(-1).isNull() & (low(-1) == "least")
         exempt = F.coalesce(low(-2).isin("at", "very"), F.lit(False))
         return F.when(plain & ~exempt, value * fixed.NEGATION).otherwise(value)
 
-    loud = F.when(item["caps"] & mixed_case, toward(start, fixed.CAPS_BOOST)).otherwise(start)
-    in_context = let(loud, lambda a: let(step(a, 1), lambda b: let(step(b, 2), lambda c: let(step(c, 3), least))))
-    kind_of = (item["low"] == "kind") & F.coalesce(low(1) == "of", F.lit(False))
-    return (F.when(own.isNull() | item["degree"].isNotNull() | kind_of, F.lit(0.0)).otherwise(in_context))
+    def emphasised(value: Column) -> Column:
+        loud = F.when(value > 0, value + fixed.CAPS_BOOST).otherwise(value - fixed.CAPS_BOOST)
+        return F.when(caps(0), loud).otherwise(value)
+
+    in_context = let(let(start, emphasised), lambda a: let(step(a, 1), lambda b: let(step(b, 2), lambda c: let(step(c, 3), least))))
+    kind_of = (low(0) == "kind") & F.coalesce(low(1) == "of", F.lit(False))
+    return F.when(member(low(0), rules.degrees) | kind_of, F.lit(0.0)).otherwise(in_context)
 
 
-def _contrast(values: Column, words: Column) -> Column:
+def _contrast(hits: Column, words: Column, text: Column) -> Column:
     """Halve what stands before the first "but", raise what follows by half."""
-    turn = F.array_position(F.transform(words, lambda w: w["low"]), "but")
-    return let(turn, lambda at: F.when(at > 0, F.transform(
-        values, lambda v, i: F.when(i + 1 < at, v * 0.5).when(i + 1 > at, v * 1.5).otherwise(v))).otherwise(values))
+    def weigh(turn: Column) -> Column:
+        def weighed(h: Column) -> Column:
+            factor = F.when(h["i"] + 1 < turn, 0.5).when(h["i"] + 1 > turn, 1.5).otherwise(1.0)
+            return F.struct(h["i"].alias("i"), (h["v"] * factor).alias("v"))
+
+        return F.when(turn > 0, F.transform(hits, weighed)).otherwise(hits)
+
+    return F.when(F.contains(F.lower(text), F.lit("but")), let(F.array_position(words["low"], "but"), weigh)).otherwise(hits)
 
 
 def _occurrences(text: Column, mark: str) -> Column:
@@ -140,14 +168,16 @@ def score_text(text: Column, rules: Rules) -> Column:
     emphasis = (F.least(_occurrences(text, "!"), F.lit(4)) * fixed.EXCLAMATION
                 + F.when(marks <= 1, 0.0).when(marks <= 3, marks * fixed.QUESTION).otherwise(fixed.QUESTION_MAX))
 
-    def fold(values: Column) -> Column:
-        zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("p"), F.lit(0.0).alias("n"), F.lit(0.0).alias("u"))
-        return F.aggregate(values, zero, lambda acc, v: F.struct(
-            (acc["s"] + v).alias("s"),
-            (acc["p"] + F.when(v > 0, v + 1).otherwise(0.0)).alias("p"),
-            (acc["n"] + F.when(v < 0, 1 - v).otherwise(0.0)).alias("n"),
-            (acc["u"] + F.when(v == 0, 1.0).otherwise(0.0)).alias("u"),
-        ))
+    def fold(hits: Column, n_words: Column) -> Column:
+        # most words are neutral: they are counted, and only the others are summed
+        zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("p"), F.lit(0.0).alias("n"))
+        return let(F.filter(hits, lambda h: h["v"] != 0), lambda charged: let(
+            F.aggregate(charged, zero, lambda acc, h: F.struct(
+                (acc["s"] + h["v"]).alias("s"),
+                (acc["p"] + F.when(h["v"] > 0, h["v"] + 1).otherwise(0.0)).alias("p"),
+                (acc["n"] + F.when(h["v"] < 0, 1 - h["v"]).otherwise(0.0)).alias("n"))),
+            lambda acc: F.struct(acc["s"].alias("s"), acc["p"].alias("p"), acc["n"].alias("n"),
+                                 (n_words - F.size(charged)).cast("double").alias("u"))))
 
     def finish(t: Column, amp: Column) -> Column:
         total = F.when(t["s"] > 0, t["s"] + amp).when(t["s"] < 0, t["s"] - amp).otherwise(t["s"])
@@ -161,13 +191,14 @@ def score_text(text: Column, rules: Rules) -> Column:
         ))
 
     def scored(words: Column) -> Column:
-        shouted = F.size(F.filter(words, lambda w: w["caps"]))
-        mixed = (shouted > 0) & (shouted < F.size(words))
-        return let(mixed, lambda m: let(
-            F.transform(words, lambda item, i: _valence(words, item, i, m)),
-            lambda values: let(fold(_contrast(values, words)), lambda t: finish(t, emphasis))))
-
-    return let(_word_records(text, rules), scored)
+        n_words = F.size(words["raw"])
+        shouted = F.size(F.filter(words["raw"], _is_caps))
+        where = F.filter(F.transform(words["value"], lambda v, i: F.when(v.isNotNull(), i)), lambda i: i.isNotNull())
+        return let((shouted > 0) & (shouted < n_words), lambda mixed: let(
+            F.transform(where, lambda i: F.struct(i.alias("i"), _valence(words, i, mixed, rules).alias("v"))),
+            lambda hits: let(fold(_contrast(hits, words, text), n_words), lambda t: finish(t, emphasis))))
+
+    return let(_words(text, rules), scored)
 
 
 def _paragraphs(text: Column, max_chars: int) -> Column:

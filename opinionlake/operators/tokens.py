@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opinionlake.fixed import (DOMAIN_STOPWORDS, ENGLISH_STOPWORDS, LEMMAS, MIN_LEMMA, SPANISH_STOPWORDS)
 from opinionlake.functions.lookup import lookup, member
-from opinionlake.functions.text import VISIBLE
 
 # A lemma table up to this size is put into the plan as a literal.
 LITERAL_LEMMAS = 50_000
@@ -22,8 +21,13 @@ DEFAULT_STOP = stop_words(ENGLISH_STOPWORDS, SPANISH_STOPWORDS, DOMAIN_STOPWORDS
 
 
 def raw_tokens(col: Column) -> Column:
-    """The blank-separated pieces that consist of letters only, lower-cased."""
-    return F.regexp_extract_all(F.lower(col), F.lit(rf"(?<!{VISIBLE})\p{{L}}+(?!{VISIBLE})"), F.lit(0))
+    """The blank-separated pieces of a cleaned text; null gives none."""
+    return F.split(F.lower(F.coalesce(col, F.lit(""))), " ")
+
+
+def _is_word(piece: Column, base_stop: Iterable[str]) -> Column:
+    """Letters only and not in the base list (the hash test comes first, it is the cheaper one)."""
+    return ~member(piece, base_stop) & (piece != "") & ~piece.rlike(r"\P{L}")
 
 
 def tokenize(col: Column, base_stop: Iterable[str] = ENGLISH_STOPWORDS,
@@ -34,8 +38,7 @@ def tokenize(col: Column, base_stop: Iterable[str] = ENGLISH_STOPWORDS,
     Words of the base list go first; the rest are replaced by their lemma
     (unknown forms stay), and lemmas that are too short or in a stop list go.
     """
-    words = F.filter(F.coalesce(raw_tokens(col), F.array().cast("array<string>")),
-                     lambda w: ~member(w, base_stop))
+    words = F.filter(raw_tokens(col), lambda w: _is_word(w, base_stop))
     if lemmas:
         # the hash-set test keeps the table scan away from words that have no entry
         words = F.transform(words, lambda w: F.when(member(w, lemmas), lookup(w, lemmas, "string")).otherwise(w))
@@ -82,10 +85,8 @@ def _with_joined_lemmas(df: DataFrame, body: str, title: str, lemma_table: DataF
     Distinct forms are resolved once and grouped back per record as a form-to-lemma
     map, so only the words of one record ever meet in one group.
     """
-    forms = F.array_distinct(F.filter(
-        F.concat(F.coalesce(raw_tokens(F.col(body)), F.array().cast("array<string>")),
-                 F.coalesce(raw_tokens(F.col(title)), F.array().cast("array<string>"))),
-        lambda w: ~member(w, base_stop)))
+    forms = F.array_distinct(F.filter(F.concat(raw_tokens(F.col(body)), raw_tokens(F.col(title))),
+                                      lambda w: _is_word(w, base_stop)))
     table = lemma_table.select(F.col("form").alias("_form"), F.col("lemma").alias("_lemma")).dropDuplicates(["_form"])
     known = (df.select(F.col(key).alias("_key"), F.explode(forms).alias("_form")).distinct()
              .join(table, "_form")
@@ -93,8 +94,7 @@ def _with_joined_lemmas(df: DataFrame, body: str, title: str, lemma_table: DataF
     joined = df.join(known, df[key].eqNullSafe(known["_key"]), "left").drop("_key")
 
     def tokens(name: str) -> Column:
-        words = F.filter(F.coalesce(raw_tokens(F.col(name)), F.array().cast("array<string>")),
-                         lambda w: ~member(w, base_stop))
+        words = F.filter(raw_tokens(F.col(name)), lambda w: _is_word(w, base_stop))
         words = F.transform(words, lambda w: F.coalesce(F.try_element_at(F.col("_map"), w), w))
         return F.filter(words, lambda w: (F.length(w) >= min_len) & ~member(w, lemma_stop))
 

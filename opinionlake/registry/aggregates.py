@@ -11,7 +11,7 @@ from opinionlake.plans import dashboard as B
 from opinionlake.plans import story
 from opinionlake.operators import tokens as K
 from opinionlake.registry.base import Query, table
-from opinionlake.registry.views import ASPECTS, WEEK, gold, gold_sql, matches_cte, quoted, values
+from opinionlake.registry.views import ASPECTS, WEEK, gold, gold_sql, matches_cte, quoted, stored_gold, values
 
 
 def events(spark, sf):
@@ -107,15 +107,16 @@ def source_comparison(spark, sf):
 
 
 def matches(spark, sf):
-    return A.match_aspects(gold(spark, sf), aspects=ASPECTS)
+    """Record-aspect pairs for queries that use them more than once: over the stored gold base."""
+    return A.match_aspects(stored_gold(spark, sf), aspects=ASPECTS)
 
 
 def aspect_matches(spark, sf):
-    return matches(spark, sf).select("url", "aspect")
+    return A.match_aspects(gold(spark, sf), aspects=ASPECTS).select("url", "aspect")
 
 
 def aspect_summary(spark, sf):
-    return A.aspect_summary(matches(spark, sf))
+    return A.aspect_summary(A.match_aspects(gold(spark, sf), aspects=ASPECTS))
 
 
 _SUMMARY = """
@@ -188,7 +189,7 @@ def drilldown_cowords(spark, sf):
 
 
 def run_summary(spark, sf):
-    docs = gold(spark, sf)
+    docs = stored_gold(spark, sf)
     one = story.run_summary(docs, K.top_tokens(docs, k=50), "20240201_000000", aspects=ASPECTS)
     return one.withColumns({c: F.array_join(c, ",") for c in ("sources", "aggregations_saved", "aspects_analyzed")}).withColumn(
         "weeks_covered", F.col("weeks_covered").cast("long"))

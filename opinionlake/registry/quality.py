@@ -16,7 +16,7 @@ from opinionlake.operators.quantiles import quantiles
 from opinionlake.plans import dashboard as B
 from opinionlake.plans import governance as G
 from opinionlake.registry.base import Query, table
-from opinionlake.registry.views import gold, gold_sql, quoted, records, records_sql
+from opinionlake.registry.views import gold, gold_sql, quoted, records, records_sql, stored_gold
 from opinionlake.schemas import GOLD_INPUT, SILVER_ARTICLE, SILVER_POST
 
 RUN = "20240201_000000"
@@ -164,7 +164,7 @@ def impute_median(spark, sf):
 
 
 def outlier_rates(spark, sf):
-    return B.outlier_view(gold(spark, sf))
+    return B.outlier_view(stored_gold(spark, sf))
 
 
 def batch_metrics(spark, sf):
@@ -181,7 +181,7 @@ def batch_metrics_posts(spark, sf):
 
 # --- governance -------------------------------------------------------------
 def governance_row(spark, sf):
-    return _plain_gov(G.governance(gold(spark, sf), RUN, before=records(spark, sf)))
+    return _plain_gov(G.governance(stored_gold(spark, sf), RUN, before=records(spark, sf)))
 
 
 def governance_scoped(spark, sf):
@@ -193,16 +193,16 @@ def _plain_gov(df):
 
 
 def kpi_table(spark, sf):
-    return G.kpi_table(G.governance(gold(spark, sf), RUN, before=records(spark, sf))).drop("KPI")
+    return G.kpi_table(G.governance(stored_gold(spark, sf), RUN, before=records(spark, sf))).drop("KPI")
 
 
 def kpi_names(spark, sf):
     """Category, readable name and raw name of every KPI of a scope."""
-    return B.governance_view(gold(spark, sf), RUN, fixed.ARTICLES).select("Category", "RawMetric", "status")
+    return B.governance_view(stored_gold(spark, sf), RUN, fixed.ARTICLES).select("Category", "RawMetric", "status")
 
 
 def kpi_matrix(spark, sf):
-    return G.kpi_matrix(G.kpis_long(G.governance(gold(spark, sf), RUN)))
+    return G.kpi_matrix(G.kpis_long(G.governance(stored_gold(spark, sf), RUN)))
 
 
 def null_view(spark, sf):

@@ -14,7 +14,7 @@ from opinionlake.operators.language import detect_language, language_hint_share
 from opinionlake.operators.sentiment import with_sentiment
 from opinionlake.registry.base import Query, table
 from opinionlake.registry.views import (RULES, MATCH_WORDS, gold_sql, gold, quoted, records, records_sql, scores_cte,
-                                        scored, sql_clean, tokens_cte, values)
+                                        scored, sql_clean, stored_gold, tokens_cte, values)
 
 
 def clean_text(spark, sf):
@@ -110,7 +110,7 @@ def tokens_with_joined_lemmas(spark, sf):
 
 
 def token_score(spark, sf):
-    docs = gold(spark, sf)
+    docs = stored_gold(spark, sf)
     return K.term_sentiment(docs, K.top_tokens(docs, k=20))
 
 
@@ -123,7 +123,7 @@ _TOKEN_SCORE = """SELECT h.token AS keyword, count(*) AS n_mentions, round(avg(v
 
 
 def keywords_scored(spark, sf):
-    docs = gold(spark, sf)
+    docs = stored_gold(spark, sf)
     top = K.top_tokens(docs, k=50)
     return K.top_terms_scored(top, K.term_sentiment(docs, K.top_n(top, "frequency", 10, "keyword")), 20)
 

@@ -15,7 +15,8 @@ from opinionlake.functions.text import clean_text, is_blank
 from opinionlake.operators.sentiment import Rules, with_sentiment
 from opinionlake.operators.tokens import DEFAULT_STOP
 from opinionlake.plans.gold import dedup_global, enrich
-from opinionlake.registry.base import table
+from opinionlake.registry.base import scratch, table
+from opinionlake.sources.tables import latest, write_table
 
 # Words that occur in the test documents take the part of the sentiment words.
 LEXICON = {
@@ -70,6 +71,13 @@ def gold(spark: SparkSession, sf_dir: str, dedup: bool = True) -> DataFrame:
     return enrich(rows, RULES)
 
 
+def stored_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold base written once and read back, for queries that use it more than once."""
+    root = scratch(spark, "gold")
+    write_table(gold(spark, sf_dir), root, "gold_base", "20240201_000000")
+    return latest(spark, root, "gold_base")
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its sentiment, keyed by doc_id."""
     return with_sentiment(records(spark, sf_dir), rules=RULES)
