@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 ACCURACY = 100_000
 MARGIN = 10 / ACCURACY
 # Below this many rows the bracket is the whole group.
-SMALL_GROUP = 1_000_000
+SMALL_GROUP = 100_000
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), small_domain: bool = False,
