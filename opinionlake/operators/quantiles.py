@@ -14,15 +14,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# The sketch error is 1/ACCURACY of the rows; MARGIN is ten times that.
+# The sketch errs by at most 1/ACCURACY of the rows; the bracket is ten times wider.
+# A group of at most ACCURACY rows is not narrowed: its bracket is the whole group.
 ACCURACY = 100_000
-MARGIN = 10 / ACCURACY
-# Below this many rows the bracket is the whole group.
-SMALL_GROUP = 100_000
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), small_domain: bool = False,
-              few_groups: bool = False, small_group: int = SMALL_GROUP) -> DataFrame:
+              few_groups: bool = False, accuracy: int = ACCURACY) -> DataFrame:
     """One row per group: ``n`` non-null values and ``q``, one quantile per probability.
 
     ``few_groups`` says that the number of groups is fixed by the code (a list of
@@ -36,16 +34,17 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
     if not by:
         # one group, under a key that the optimizer does not fold away
         keyed = base.select(F.inline(F.array(F.struct(F.lit(0).alias("_g"), "_v"))))
-        return quantiles(keyed, "_v", probs, ["_g"], few_groups=True, small_group=small_group).drop("_g")
+        return quantiles(keyed, "_v", probs, ["_g"], few_groups=True, accuracy=accuracy).drop("_g")
 
-    marks = [m for p in probs for m in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))]
+    margin = 10 / accuracy
+    marks = [m for p in probs for m in (max(p - margin, 0.0), min(p + margin, 1.0))]
     sketch = base.groupBy(*by).agg(
         F.count("_v").alias("_n"),
-        F.percentile_approx("_v", F.array(*[F.lit(m) for m in marks]), F.lit(ACCURACY)).alias("_m"),
+        F.percentile_approx("_v", F.array(*[F.lit(m) for m in marks]), F.lit(accuracy)).alias("_m"),
     )
     placed = same_group_join(base.filter(F.col("_v").isNotNull()), F.broadcast(sketch) if few_groups else sketch, by)
 
-    narrowed = F.col("_n") > small_group
+    narrowed = F.col("_n") > accuracy
 
     def cell(i: int, p: float) -> Column:
         low, high = F.get(F.col("_m"), F.lit(2 * i)), F.get(F.col("_m"), F.lit(2 * i + 1))
@@ -71,7 +70,7 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
     )
     held = F.col("hi").isNotNull() & (F.coalesce(F.col("below"), F.lit(0)) <= F.floor("pos"))
     exact = F.when(held, F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))).otherwise(
-        F.raise_error(F.lit("quantile bracket missed the wanted rank; raise ACCURACY")).cast("double"))
+        F.raise_error(F.lit("quantile bracket missed the wanted rank; raise the accuracy")).cast("double"))
     result = picked.withColumn("x", exact).groupBy(*by).agg(
         F.array(*[F.max(F.when(F.col("i") == i, F.col("x"))) for i in range(len(probs))]).alias("_q"))
     counted = sketch.select(*by, F.col("_n").alias("n"))

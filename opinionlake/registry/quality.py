@@ -138,7 +138,7 @@ def length_histogram(spark, sf):
 # --- quantiles and outliers -------------------------------------------------
 def price_quantiles(spark, sf):
     """Exact quantiles of a free number, by bracketing."""
-    q = quantiles(table(spark, sf, "lineitem"), "l_extendedprice", [0.1, 0.5, 0.9], ["l_returnflag"], small_group=1000)
+    q = quantiles(table(spark, sf, "lineitem"), "l_extendedprice", [0.1, 0.5, 0.9], ["l_returnflag"], accuracy=1000)
     return q.select("l_returnflag", "n", *[F.round(F.get("q", F.lit(i)), 4).alias(f"q{i}") for i in range(3)])
 
 
