@@ -21,7 +21,7 @@ ACCURACY = 100_000
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), small_domain: bool = False,
               few_groups: bool = False, accuracy: int = ACCURACY) -> DataFrame:
-    """One row per group: ``n`` non-null values and ``q``, one quantile per probability.
+    """One row per group that has values: ``n`` non-null values and ``q``, one quantile per probability.
 
     ``few_groups`` says that the number of groups is fixed by the code (a list of
     columns, no grouping at all), so the per-group sketches may be broadcast.
@@ -30,7 +30,7 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
     base = df.select(*by, F.col(value).cast("double").alias("_v"))
     if small_domain:
         return base.groupBy(*by).agg(
-            F.count("_v").alias("n"), F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("q"))
+            F.count("_v").alias("n"), F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("q")).filter("n > 0")
     if not by:
         # one group, under a key that the optimizer does not fold away
         keyed = base.select(F.inline(F.array(F.struct(F.lit(0).alias("_g"), "_v"))))
@@ -53,17 +53,18 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
         return F.when(~above, F.struct(
             F.lit(i).alias("i"),
             F.when(~below, F.col("_v")).alias("key"),
-            (F.lit(float(p)) * (F.col("_n") - 1)).alias("pos"),
+            F.col("_n").alias("n"),
         ))
 
     cells = (placed
              .select(*by, F.explode(F.array_compact(F.array(*[cell(i, p) for i, p in enumerate(probs)]))).alias("c"))
-             .groupBy(*by, "c.i", "c.key").agg(F.count(F.lit(1)).alias("cnt"), F.max("c.pos").alias("pos")))
+             .groupBy(*by, "c.i", "c.key").agg(F.count(F.lit(1)).alias("cnt"), F.max("c.n").alias("n")))
+    at = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1) * (F.col("n") - 1)
     upto = F.sum("cnt").over(
         Window.partitionBy(*by, "i").orderBy(F.col("key").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    picked = cells.withColumn("upto", upto).groupBy(*by, "i").agg(
-        F.max("pos").alias("pos"),
+    picked = cells.withColumns({"upto": upto, "pos": at}).groupBy(*by, "i").agg(
+        F.max("n").alias("n"), F.max("pos").alias("pos"),
         F.max(F.when(F.col("key").isNull(), F.col("upto"))).alias("below"),
         F.min(F.when(F.col("upto") > F.floor("pos"), F.col("key"))).alias("lo"),
         F.min(F.when(F.col("upto") > F.ceil("pos"), F.col("key"))).alias("hi"),
@@ -71,10 +72,8 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
     held = F.col("hi").isNotNull() & (F.coalesce(F.col("below"), F.lit(0)) <= F.floor("pos"))
     exact = F.when(held, F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))).otherwise(
         F.raise_error(F.lit("quantile bracket missed the wanted rank; raise the accuracy")).cast("double"))
-    result = picked.withColumn("x", exact).groupBy(*by).agg(
-        F.array(*[F.max(F.when(F.col("i") == i, F.col("x"))) for i in range(len(probs))]).alias("_q"))
-    counted = sketch.select(*by, F.col("_n").alias("n"))
-    return same_group_join(counted, result, by).select(*by, "n", F.col("_q").alias("q"))
+    return picked.withColumn("x", exact).groupBy(*by).agg(
+        F.max("n").alias("n"), F.array(*[F.max(F.when(F.col("i") == i, F.col("x"))) for i in range(len(probs))]).alias("q"))
 
 
 def same_group_join(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:

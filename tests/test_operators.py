@@ -89,7 +89,7 @@ def test_quantiles_equal_numpy(spark, kind, accuracy):
 
 
 def test_quantiles_edges(spark):
-    assert quantiles(spark.createDataFrame([(None,)], "v double"), "v", [0.5]).first().q is None
+    assert quantiles(spark.createDataFrame([(None,)], "v double"), "v", [0.5]).count() == 0
     assert quantiles(spark.createDataFrame([(4.0,)], "v double"), "v", [0.25, 0.75]).first().q == [4.0, 4.0]
 
 
