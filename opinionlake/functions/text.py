@@ -175,8 +175,10 @@ def any_word(col: Column, words: Iterable[str]) -> Column:
 
 def hint_count(col: Column, hints: Iterable[str]) -> Column:
     """Non-overlapping occurrences of each padded hint in the lower-cased, padded text."""
-    padded = F.concat(F.lit(" "), F.lower(col), F.lit(" "))
-    total = F.lit(0)
-    for hint in hints:
-        total = total + (F.length(padded) - F.length(F.replace(padded, F.lit(hint), F.lit("")))) / len(hint)
-    return total.cast("int")
+    def counted(padded: Column) -> Column:
+        total = F.lit(0)
+        for hint in hints:
+            total = total + (F.length(padded) - F.length(F.replace(padded, F.lit(hint), F.lit("")))) / len(hint)
+        return total.cast("int")
+
+    return let(F.concat(F.lit(" "), F.lower(col), F.lit(" ")), counted)
