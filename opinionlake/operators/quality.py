@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opinionlake import fixed
 from opinionlake.functions.numbers import pct, share
-from opinionlake.functions.text import is_blank
 from opinionlake.functions.timeparts import week_label
 from opinionlake.operators.quantiles import quantiles, same_group_join
 
@@ -181,5 +180,3 @@ def batch_duplicates(df: DataFrame, key: str = "url", by: str = "bronze_source")
             .groupBy(by).agg(F.sum(F.col("copies") - 1).alias("duplicates")))
 
 
-def missing_body(col: str) -> Column:
-    return is_blank(F.col(col))

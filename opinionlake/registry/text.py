@@ -13,7 +13,7 @@ from opinionlake.operators.conform import filter_counts, keep_language
 from opinionlake.operators.language import detect_language, language_hint_share
 from opinionlake.operators.sentiment import with_sentiment
 from opinionlake.registry.base import Query, table
-from opinionlake.registry.views import (RULES, MATCH_WORDS, gold_sql, gold, quoted, records, records_sql, scores_cte,
+from opinionlake.registry.views import (RULES, MATCH_WORDS, gold_sql, gold, records, records_sql, scores_cte,
                                         scored, sql_clean, stored_gold, tokens_cte, values)
 
 
