@@ -178,5 +178,3 @@ def batch_duplicates(df: DataFrame, key: str = "url", by: str = "bronze_source")
     """Rows beyond the first of each key, per input file; null keys are equal to each other."""
     return (df.groupBy(by, key).agg(F.count(F.lit(1)).alias("copies"))
             .groupBy(by).agg(F.sum(F.col("copies") - 1).alias("duplicates")))
-
-
