@@ -1,14 +1,14 @@
-"""What a registered query is, and the scratch folder of queries that write files."""
+"""What a registered query is, and how it reads a table."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from opinionlake.session import scratch_folder as scratch
+
 
 @dataclass(frozen=True)
 class Query:
@@ -37,17 +37,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _input_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder for intermediate files.
-
-    On a cluster: below the shared folder named in ``spark.checkpoint.dir``.  A
-    local temporary folder is used only where that is unset and the master is local.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/opinionlake/{name}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix=f"opinionlake-{name}-")

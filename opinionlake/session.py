@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -34,3 +35,17 @@ def build_session(name: str = "opinionlake", cores: int | str | None = None, **c
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for intermediate tables, below the shared folder the cluster names.
+
+    That is ``spark.checkpoint.dir``.  Only a session inside one process, which
+    shares every folder with itself, gets a setting of its own where it is unset.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith(("local[", "local,")) and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        shared = "file:/tmp/checkpoints"
+    return f"{shared.rstrip('/')}/opinionlake/{name}-{uuid.uuid4().hex}"
