@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinionlake.llm import rules, sharding
+from opinionlake.llm import bpe, huffman, rules, sharding, wordpiece
 from opinionlake.registry.base import Query
 from opinionlake.session import scratch_folder
 
@@ -13,6 +14,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        model = file.read()
+    manifest = huffman.write_corpus(spark, _table(spark, sf_dir, "documents"), model, scratch_folder(spark, "ids"))
+    read = huffman.read_files(manifest.repartition(spark.sparkContext.defaultParallelism * 4))
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op2_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, following = wordpiece.byte_level_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    counted = wordpiece.count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"), first, following)
+    return counted.select("doc_id", "n_words", "n_tokens", "n_unknown")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = rules.ledger(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = rules.Policy(0, rules.BASE)
@@ -40,6 +55,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 """
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks)
+    decoded = bpe.decode(encoded.select("doc_id", "ids"), ranks)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_folder(spark, "shards")
     placed, current = sharding.shard(_table(spark, sf_dir, "documents"), 40)
@@ -49,7 +74,10 @@ def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (
+    Query("op1_huffman_files", op1_huffman_files),
+    Query("op2_piece_counts", op2_piece_counts),
     Query("op5_quality_rules", op5_quality_rules, OP5_SQL),
+    Query("op8_byte_bpe", op8_byte_bpe),
     Query("op9_virtual_slots", op9_virtual_slots),
 )
 
