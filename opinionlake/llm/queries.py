@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinionlake.llm import bpe, huffman, rules, sharding, wordpiece
+from opinionlake.llm import bpe, decontam, huffman, rules, secret_scan, sharding, wordpiece
 from opinionlake.registry.base import Query
 from opinionlake.session import scratch_folder
 
@@ -55,6 +55,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 """
 
 
+def op6_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(spark, docs, scratch_folder(spark, "secrets"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
+        F.sha2(secret_scan.listing(F.col("spans"), secret_scan.RULES, len(secret_scan.BASE)), 256).alias("base_sha256"),
+        secret_scan.listing(F.col("spans"), secret_scan.RULES).alias("spans"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     encoded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks)
@@ -73,12 +83,40 @@ def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(spark, _table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                  _table(spark, sf_dir, "benchmark"), scratch_folder(spark, "decontam"))
+
+
+# Words of both tables, distinct windows of the items, and the document words at which a window begins.
+OP10_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+w AS (SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + 9], ' ') AS window_text
+      FROM (SELECT *, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+s AS (SELECT DISTINCT n FROM w),
+p AS (SELECT r, n, i, array_to_string(ws[i:i + n - 1], ' ') AS window_text
+      FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, s WHERE len(ws) >= n)),
+f AS (SELECT p.r, p.i, w.n, w.item_id FROM p JOIN w ON p.n = w.n AND p.window_text = w.window_text),
+h AS (SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS pos FROM (SELECT DISTINCT r, i, n FROM f)) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
+      FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM f) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
+"""
+
+
 QUERIES = (
     Query("op1_huffman_files", op1_huffman_files),
     Query("op2_piece_counts", op2_piece_counts),
     Query("op5_quality_rules", op5_quality_rules, OP5_SQL),
+    Query("op6_secret_index", op6_secret_index),
     Query("op8_byte_bpe", op8_byte_bpe),
     Query("op9_virtual_slots", op9_virtual_slots),
+    Query("op10_decontamination", op10_decontamination, OP10_SQL),
 )
 
 
