@@ -30,7 +30,7 @@ class Output:
         system, path = filesystem(uri)
         system.create_dir(path.rpartition("/")[0], recursive=True)
         self.uri, self.size = uri, 0
-        self._stream = system.open_output_stream(path)
+        self._stream = system.open_output_stream(path, compression=None)
 
     def write(self, data: bytes) -> int:
         at = self.size
