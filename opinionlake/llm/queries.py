@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinionlake.llm import bpe, chat, decontam, huffman, rules, secret_scan, sharding, warc, wordpiece
+import corpus_pipeline
+from opinionlake.llm import bpe, chat, decontam, huffman, jaccard, rules, secret_scan, sharding, warc, wordpiece
 from opinionlake.registry.base import Query
 from opinionlake.session import scratch_folder
 
@@ -48,6 +49,12 @@ SELECT page_id, payload_bytes, payload_digest,
 """
 
 
+def op4_count_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = jaccard.similar(spark, docs, scratch_folder(spark, "jaccard"), jaccard.Match(3, 90, 100))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = rules.ledger(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = rules.Policy(0, rules.BASE)
@@ -155,12 +162,14 @@ QUERIES = (
     Query("op1_huffman_files", op1_huffman_files),
     Query("op2_piece_counts", op2_piece_counts),
     Query("op3_warc_index", op3_warc_index, OP3_SQL),
+    Query("op4_count_tree_join", op4_count_tree_join),
     Query("op5_quality_rules", op5_quality_rules, OP5_SQL),
     Query("op6_secret_index", op6_secret_index),
     Query("op7_chat_parts", op7_chat_parts, OP7_SQL),
     Query("op8_byte_bpe", op8_byte_bpe),
     Query("op9_virtual_slots", op9_virtual_slots),
     Query("op10_decontamination", op10_decontamination, OP10_SQL),
+    Query("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 )
 
 
