@@ -18,7 +18,6 @@ POST_SITE = "https://www.reddit.com"
 # --- thresholds -------------------------------------------------------------
 SHORT_TEXT_THRESHOLD = 0.05
 ARTICLE_THRESHOLD = 0.20
-ARTICLE_CHARS = 1000
 IQR_FACTOR = 1.5
 EXPECTED_RUNS = 7
 MIN_PARAGRAPH = 80
@@ -38,9 +37,6 @@ NULL_CHECKED = (
 
 # --- HTML -------------------------------------------------------------------
 PAGE_TAGS = ("h1", "h2", "h3", "h4", "h5", "p", "span", "div", "a", "li", "strong", "em", "time")
-TEXTS_PER_TAG = 10
-HREFS_PER_PAGE = 20
-SRCS_PER_PAGE = 10
 BYLINE_MARK = "Posted by"
 LINK_CONTAINER = "post-container"
 

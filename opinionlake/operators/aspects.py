@@ -69,22 +69,22 @@ def aspect_summary(matches: DataFrame, score: str = "vader_compound", label: str
                           *[f"pct_{name}" for name in LABELS], "sentiment_mode")
 
 
-def aspect_cowords(matches: DataFrame, aspects: Mapping[str, Iterable[str]] = ASPECTS, pool: int = 25, k: int = 10,
+def aspect_cowords(matches: DataFrame, aspects: Mapping[str, Iterable[str]] = ASPECTS, pool: int | None = None, k: int = 10,
                    blocklist: Iterable[str] = COWORD_BLOCKLIST, processed: str = "text_processed",
                    label: str = "sentiment_label", min_len: int = 3) -> DataFrame:
     """Words of the records of each aspect and label.
 
-    The filter comes after the first cut: of the ``pool`` most frequent words,
-    those that are no aspect keyword, not blocked and long enough; then ``k``.
+    The ``k`` most frequent of those that are no aspect keyword, not blocked and
+    long enough; with ``pool``, only of the ``pool`` most frequent words of all.
     """
     rows = matches.select("aspect", F.col(label).alias("sentiment"), processed)
     counts = (rows.withColumn("word", F.explode(processed_tokens(F.col(processed))))
               .groupBy("aspect", "sentiment", "word").agg(F.count(F.lit(1)).alias("frequency")))
     order = [F.desc("frequency"), F.asc("word")]
-    pooled = top_per_group(counts, ["aspect", "sentiment"], order, pool)
+    pooled = counts if pool is None else top_per_group(counts, ["aspect", "sentiment"], order, pool).drop("rank")
     own_words = F.coalesce(*[F.when((F.col("aspect") == a) & member(F.lower("word"), words), True)
                              for a, words in aspects.items()], F.lit(False))
-    kept = pooled.drop("rank").filter(
+    kept = pooled.filter(
         ~own_words & ~member(F.lower("word"), blocklist) & (F.length("word") >= min_len))
     best = top_per_group(kept, ["aspect", "sentiment"], order, k).drop("rank")
     docs = rows.groupBy("aspect", "sentiment").agg(F.count(F.lit(1)).alias("n_docs"))
@@ -116,8 +116,8 @@ def extremes(summary: DataFrame, score: str = "compound_mean") -> DataFrame:
     """The best and the worst aspect over all sources; equal scores go to the first name."""
     rows = summary.filter(F.col("source") == "all")
     return (
-        rows.orderBy(F.desc(score), "aspect").limit(1).withColumn("kind", F.lit("best"))
-        .unionByName(rows.orderBy(F.asc(score), "aspect").limit(1).withColumn("kind", F.lit("worst")))
+        rows.orderBy(F.desc_nulls_last(score), "aspect").limit(1).withColumn("kind", F.lit("best"))
+        .unionByName(rows.orderBy(F.asc_nulls_last(score), "aspect").limit(1).withColumn("kind", F.lit("worst")))
         .select("kind", "aspect", score, "n_mentions", "pct_positive", "pct_negative"))
 
 

@@ -51,13 +51,19 @@ def _decoded(values: Column) -> Column:
     return F.when(F.size(values) > 0, F.split(unescape(F.array_join(values, mark)), mark)).otherwise(values)
 
 
-def hrefs(html: Column, n: int = fixed.HREFS_PER_PAGE) -> Column:
-    return _decoded(F.slice(F.array_compact(F.transform(tags(html, "a"), lambda t: attribute(t, "href"))), 1, n))
+def _first(values: Column, n: int | None) -> Column:
+    return values if n is None else F.slice(values, 1, n)
 
 
-def srcs(html: Column, n: int = fixed.SRCS_PER_PAGE) -> Column:
+def hrefs(html: Column, n: int | None = None) -> Column:
+    """All link targets, or the first ``n``."""
+    return _decoded(_first(F.array_compact(F.transform(tags(html, "a"), lambda t: attribute(t, "href"))), n))
+
+
+def srcs(html: Column, n: int | None = None) -> Column:
+    """All image sources, or the first ``n``."""
     found = F.transform(tags(html, "img"), lambda t: F.coalesce(attribute(t, "src"), F.lit("")))
-    return _decoded(F.slice(found, 1, n))
+    return _decoded(_first(found, n))
 
 
 def classes(html: Column) -> Column:
@@ -176,7 +182,7 @@ def _element_texts(page: _Outline) -> dict[str, list[str]]:
     found: dict[str, list[str]] = {tag: [] for tag in fixed.PAGE_TAGS}
     for element in page.elements:
         texts = found.get(element.tag)
-        if texts is not None and len(texts) < fixed.TEXTS_PER_TAG:
+        if texts is not None:
             text = "".join(page.lines(element))
             if text:
                 texts.append(text)
@@ -197,29 +203,36 @@ def _byline(page: _Outline) -> tuple[str | None, str | None]:
 
 _TEXTS_TYPE = T.StructType(
     [T.StructField(f"{tag}_all_texts", T.ArrayType(T.StringType())) for tag in fixed.PAGE_TAGS]
-    + [T.StructField("author", T.StringType()), T.StructField("byline_date", T.StringType())])
+    + [T.StructField("author", T.StringType()), T.StructField("byline_date", T.StringType()), T.StructField("error", T.StringType())])
 
 
 @F.pandas_udf(_TEXTS_TYPE)
 def page_texts(pages: pd.Series) -> pd.DataFrame:
-    """Texts of the tracked elements and the byline of each page."""
+    """Texts of the tracked elements and the byline of each page; a page that cannot be parsed gives its error only."""
     rows = []
     for page in pages:
         if page is None:
             rows.append([None] * len(_TEXTS_TYPE))
             continue
-        parsed = outline(page)
-        rows.append([*_element_texts(parsed).values(), *_byline(parsed)])
+        try:
+            parsed = outline(page)
+        except (AssertionError, ValueError) as broken:  # what the parser raises on malformed declarations
+            rows.append([*[None] * (len(_TEXTS_TYPE) - 1), str(broken) or type(broken).__name__])
+            continue
+        rows.append([*_element_texts(parsed).values(), *_byline(parsed), None])
     return pd.DataFrame(rows, columns=_TEXTS_TYPE.names)
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def container_links(pages: pd.Series) -> pd.Series:
-    """First link of each listing container of each page."""
+    """First link of each listing container of each page; null where the page cannot be parsed."""
     def links(page: str | None) -> list[str] | None:
         if page is None:
             return None
-        elements = outline(page).elements
+        try:
+            elements = outline(page).elements
+        except (AssertionError, ValueError):
+            return None
         found = []
         for at, element in enumerate(elements):
             if element.tag == "div" and fixed.LINK_CONTAINER in (element.attrs.get("class") or "").split():
@@ -243,7 +256,7 @@ def listing_links(df: DataFrame, html: str, site: str, order: list[str]) -> Data
 
 
 def extract_pages(df: DataFrame, html: str = "html", url: str = "url", ingested_at: str | None = None) -> DataFrame:
-    """Bronze page records; a page without content becomes an error record."""
+    """Bronze page records; a page without content, or one that cannot be parsed, becomes an error record."""
     page = F.col(html)
     texts = df.withColumn("_t", page_texts(page))
     meta = metas(page)
@@ -255,5 +268,6 @@ def extract_pages(df: DataFrame, html: str = "html", url: str = "url", ingested_
         meta.alias("all_meta"), F.col("_t.author").alias("author"),
         F.coalesce(F.nullif(F.col("_t.byline_date"), F.lit("")), F.try_element_at(meta, F.lit(fixed.META_PUBLISHED))).alias("published_time"),
         F.lit(ingested_at).cast("string").alias("ingestion_timestamp"),
-        F.when(missing, "no content").alias("error"), F.when(missing, "error").alias("status"),
+        F.when(missing, "no content").otherwise(F.col("_t.error")).alias("error"),
+        F.when(missing | F.col("_t.error").isNotNull(), "error").alias("status"),
         times(page).alias("time_all"))

@@ -20,8 +20,6 @@ from opinionlake.functions.text import is_blank, scoring_text, squash, strip
 
 # Distance damping of a degree word one, two and three places before.
 DAMPING = (1.0, 0.95, 0.9)
-# A lexicon is a model of fixed size; refuse to plan with something that is not one.
-MAX_LEXICON = 200_000
 
 
 @dataclass(frozen=True)
@@ -39,13 +37,15 @@ class Rules:
 
 
 def read_lexicon(spark: SparkSession, path: str) -> Rules:
-    """Rules with a lexicon file: token, mean valence, then ignored columns, tab-separated."""
+    """Rules with a lexicon file: token, mean valence, then ignored columns, tab-separated.
+
+    The whole lexicon becomes part of the rules; words that differ in case only share their mean.
+    """
+    # one value per lower-cased word, whatever the order of the lines
     rows = (spark.read.option("sep", "\t").option("quote", "").csv(path)
-            .select(F.col("_c0").alias("word"), F.col("_c1").try_cast("double").alias("value"))
-            .dropna().limit(MAX_LEXICON + 1).collect())
-    if len(rows) > MAX_LEXICON:
-        raise ValueError(f"{path} has more than {MAX_LEXICON} entries; this is not a lexicon")
-    return Rules(lexicon={r["word"].lower(): r["value"] for r in rows})
+            .select(F.lower("_c0").alias("word"), F.col("_c1").try_cast("double").alias("value"))
+            .dropna().groupBy("word").agg(F.avg("value").alias("value")).collect())
+    return Rules(lexicon={r["word"]: r["value"] for r in rows})
 
 
 def _words(text: Column, rules: Rules) -> Column:
@@ -201,18 +201,18 @@ def score_text(text: Column, rules: Rules) -> Column:
     return let(_words(text, rules), scored)
 
 
-def _paragraphs(text: Column, max_chars: int) -> Column:
-    head = F.substring(text, 1, max_chars)
+def _paragraphs(text: Column, max_chars: int | None) -> Column:
+    head = text if max_chars is None else F.substring(text, 1, max_chars)
     parts = F.filter(F.transform(F.split(head, "\n"), strip), lambda p: ~is_blank(p))
     return F.when(F.size(parts) > 0, parts).otherwise(F.array(head))
 
 
 def sentiment(text: Column, is_article: Column, rules: Rules | None = None,
-              max_chars: int = fixed.ARTICLE_CHARS) -> Column:
+              max_chars: int | None = None) -> Column:
     """Struct (compound, pos, neg, neu, label) of a record's scoring text.
 
-    Articles: the mean over the paragraphs of the first ``max_chars`` characters
-    and the wider label band.  Other records: one score for the whole text.
+    Articles: the mean over all paragraphs (of the first ``max_chars`` characters
+    only if that is given) and the wider label band.  Other records: one score for the whole text.
     """
     rules = rules or Rules()
     # a row flag of null counts as "not an article"
@@ -230,7 +230,9 @@ def sentiment(text: Column, is_article: Column, rules: Rules | None = None,
 
     def labelled(m: Column) -> Column:
         band = F.when(article, fixed.ARTICLE_THRESHOLD).otherwise(fixed.SHORT_TEXT_THRESHOLD)
-        return F.struct(*[F.round(m[name], 4).alias(name) for name in ("compound", "pos", "neg", "neu")],
+        # means such as 0.02995 have no exact double, so halves are rounded as decimals
+        rounded = [F.round(m[name].cast("decimal(18,10)"), 4).cast("double").alias(name) for name in ("compound", "pos", "neg", "neu")]
+        return F.struct(*rounded,
                         label(m["compound"], band).alias("label"))
 
     empty = F.struct(F.lit(0.0).alias("compound"), F.lit(0.0).alias("pos"), F.lit(0.0).alias("neg"),
@@ -240,10 +242,10 @@ def sentiment(text: Column, is_article: Column, rules: Rules | None = None,
 
 
 def with_sentiment(df: DataFrame, body: str = "body_text", title: str = "title", source: str = "source",
-                   articles: str = fixed.ARTICLES, rules: Rules | None = None) -> DataFrame:
+                   articles: str = fixed.ARTICLES, rules: Rules | None = None, max_chars: int | None = None) -> DataFrame:
     """Add vader_compound, vader_pos, vader_neg, vader_neu and sentiment_label."""
     scored = df.withColumn("_s", sentiment(
-        scoring_text(F.col(body), F.col(title)), F.col(source) == articles, rules))
+        scoring_text(F.col(body), F.col(title)), F.col(source) == articles, rules, max_chars))
     return scored.withColumns({
         "vader_compound": F.col("_s.compound"), "vader_pos": F.col("_s.pos"), "vader_neg": F.col("_s.neg"),
         "vader_neu": F.col("_s.neu"), "sentiment_label": F.col("_s.label"),

@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from opinionlake.fixed import (DOMAIN_STOPWORDS, ENGLISH_STOPWORDS, LEMMAS, MIN_LEMMA, SPANISH_STOPWORDS)
 from opinionlake.functions.lookup import lookup, member
 
-# A lemma table up to this size is put into the plan as a literal.
-LITERAL_LEMMAS = 50_000
-
 
 def stop_words(*lists: Iterable[str]) -> tuple[str, ...]:
     return tuple(dict.fromkeys(word for words in lists for word in words))
@@ -46,20 +43,25 @@ def tokenize(col: Column, base_stop: Iterable[str] = ENGLISH_STOPWORDS,
 
 
 def with_tokens(df: DataFrame, body: str = "body_text_clean", title: str = "title_clean",
-                lemma_table: DataFrame | None = None, key: str = "url", **rules) -> DataFrame:
+                lemma_table: DataFrame | None = None, key: str = "url", join_lemmas: bool = False, **rules) -> DataFrame:
     """Add text_processed, title_processed and token_count.
 
-    ``lemma_table(form, lemma)`` replaces the default forms.  Up to
-    ``LITERAL_LEMMAS`` rows it becomes a literal; a larger table is joined.
+    ``lemma_table(form, lemma)`` replaces the default forms.  It becomes part of
+    the plan, or is joined if ``join_lemmas`` says so; the result is the same.
     """
     if lemma_table is not None:
-        rows = lemma_table.select("form", "lemma").limit(LITERAL_LEMMAS + 1).collect()
-        if len(rows) > LITERAL_LEMMAS:
-            return _with_joined_lemmas(df, body, title, lemma_table, key, **rules)
-        rules["lemmas"] = {r["form"]: r["lemma"] for r in rows}
+        table = one_lemma(lemma_table)
+        if join_lemmas:
+            return _with_joined_lemmas(df, body, title, table, key, **rules)
+        rules["lemmas"] = {r["form"]: r["lemma"] for r in table.collect()}
     return _finish(df, tokenize(F.col(body), **rules), tokenize(F.col(title), **rules))
 
 
+def one_lemma(table: DataFrame) -> DataFrame:
+    """One lemma per form, the first by name; entries without form or lemma are dropped."""
+    return table.select("form", "lemma").dropna().groupBy("form").agg(F.min("lemma").alias("lemma"))
+
+
 def _finish(df: DataFrame, body_tokens: Column, title_tokens: Column) -> DataFrame:
     # the count is taken from the stored text, so the token array is built once
     text = df.withColumns({"text_processed": F.array_join(body_tokens, " "),
@@ -87,7 +89,7 @@ def _with_joined_lemmas(df: DataFrame, body: str, title: str, lemma_table: DataF
     """
     forms = F.array_distinct(F.filter(F.concat(raw_tokens(F.col(body)), raw_tokens(F.col(title))),
                                       lambda w: _is_word(w, base_stop)))
-    table = lemma_table.select(F.col("form").alias("_form"), F.col("lemma").alias("_lemma")).dropDuplicates(["_form"])
+    table = lemma_table.select(F.col("form").alias("_form"), F.col("lemma").alias("_lemma"))
     known = (df.select(F.col(key).alias("_key"), F.explode(forms).alias("_form")).distinct()
              .join(table, "_form")
              .groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("_form", "_lemma"))).alias("_map")))

@@ -139,14 +139,13 @@ def aspect_cowords(spark, sf):
     return A.aspect_cowords(matches(spark, sf), ASPECTS, blocklist=_BLOCKED)
 
 
-# blocks words that do reach the first 25, so that fewer than ten may be left
+# blocks some of the most frequent words
 _BLOCKED = fixed.COWORD_BLOCKLIST + ("thth", "thon", "erin", "thin", "than", "ther", "ion", "ment", "den", "eux")
 _OWN = values([(a, w) for a, ws in ASPECTS.items() for w in ws])
 _COWORDS = f"""
 words AS (SELECT m.aspect, m.sentiment_label AS sentiment, t.token AS word, count(*) AS frequency
   FROM matches m JOIN toks t USING (doc_id) GROUP BY ALL),
-pooled AS (SELECT * FROM words QUALIFY row_number() OVER (PARTITION BY aspect, sentiment ORDER BY frequency DESC, word) <= 25),
-kept AS (SELECT p.* FROM pooled p LEFT JOIN (VALUES {_OWN}) o(aspect, word) ON o.aspect = p.aspect AND o.word = p.word
+kept AS (SELECT p.* FROM words p LEFT JOIN (VALUES {_OWN}) o(aspect, word) ON o.aspect = p.aspect AND o.word = p.word
   WHERE o.word IS NULL AND p.word NOT IN ({quoted(_BLOCKED)}) AND length(p.word) >= 3),
 cowords AS (SELECT * FROM kept QUALIFY row_number() OVER (PARTITION BY aspect, sentiment ORDER BY frequency DESC, word) <= 10),
 docs AS (SELECT aspect, sentiment_label AS sentiment, count(*) AS n_docs FROM matches GROUP BY ALL)"""

@@ -19,21 +19,16 @@ class Query:
 
 # Text tables: every row costs far more CPU than IO.
 _TEXT_TABLES = ("documents", "pages", "conversations")
-_ONE_SPLIT = 256 * 1024 * 1024
+# Into how many tasks text tables are dealt; unset, as on a cluster, a table is read as it is stored.
+DEAL = "spark.opinionlake.dealTextTables"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table.
 
-    A small text file is a single row group, which only one task can read; its
-    rows are dealt out to all cores.  Larger tables have a row group per task and
-    are left as they are.
+    The small test files are single row groups, which only one task can read; who
+    runs them on many cores may ask for their rows to be dealt out (``DEAL``).
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if name in _TEXT_TABLES and _input_bytes(df) < _ONE_SPLIT:
-        return df.repartition(spark.sparkContext.defaultParallelism)
-    return df
-
-
-def _input_bytes(df: DataFrame) -> int:
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    parts = spark.conf.get(DEAL, None)
+    return df.repartition(int(parts)) if parts and name in _TEXT_TABLES else df

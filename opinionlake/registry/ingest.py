@@ -221,7 +221,7 @@ SELECT 'https://news.example/' || md5(text) AS url, split_part(text, chr(10), 1)
   {_cap('rt', 's')} AS reading_time_min, body AS body_text, body IS NULL AS body_text_missing, 'scraping' AS source,
   source || '.json' AS bronze_source FROM b JOIN q USING (source)"""),
     Query("csv_roundtrip", csv_roundtrip, """
-SELECT url, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)[1:20]) AS n_hrefs, len(regexp_extract_all(html, '<h1>[^<]+</h1>')) AS n_h1,
+SELECT url, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS n_hrefs, len(regexp_extract_all(html, '<h1>[^<]+</h1>')) AS n_h1,
   array_to_string(list_sort(list_distinct(regexp_extract_all(html, 'class="([^" ]+)"', 1))), ' ') AS classes FROM pages"""),
     Query("latest_snapshot", latest_snapshot, "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"),
     Query("snapshot_inventory", snapshot_inventory, """

@@ -90,19 +90,19 @@ QUERIES = [
     Query("page_links", page_links, f"""
 SELECT page_id, i - 1 AS position, {_DEC.format('h')} AS href FROM (
   SELECT page_id, unnest(hs) AS h, generate_subscripts(hs, 1) AS i
-  FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1)[1:20] AS hs FROM pages))"""),
+  FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hs FROM pages))"""),
     Query("page_classes", page_classes, """
 SELECT page_id, coalesce(array_to_string(list_sort(list_distinct(regexp_extract_all(html, 'class="([^" ]+)"', 1))), ' '), '') AS classes FROM pages"""),
     Query("page_metas", page_metas, f"""
 SELECT page_id, 2 AS n, '9 min' AS reading_time, length({_DEC.format("replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), chr(34), '')")}) AS title_chars
 FROM pages"""),
     Query("page_media", page_media, f"""
-SELECT page_id, array_to_string(list_transform(h[1:10], lambda x: {_DEC.format('x')}), '|') AS srcs, len(h) AS n_times, t[1] AS first_text,
+SELECT page_id, array_to_string(list_transform(h, lambda x: {_DEC.format('x')}), '|') AS srcs, len(h) AS n_times, t[1] AS first_text,
   '2024-01-0' || h[1] AS first_datetime, 'b+a' AS first_class
 FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)">', 1) AS h, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)<', 1) AS t FROM pages)"""),
     *[Query(f"page_texts_{tag}", _tag_texts(tag), f"""
 SELECT page_id, coalesce(array_to_string(list_filter(list_transform(regexp_extract_all(html, '<{tag}(?: [^>]*)?>((?:[^<]|<a[^>]*>|</a>)*)</{tag}>', 1),
-  lambda x: trim({_DEC.format("regexp_replace(x, '<[^>]+>', '', 'g')")})), lambda x: x <> '')[1:10], '|'), '') AS texts FROM pages""") for tag in ("h1", "a", "li")],
+  lambda x: trim({_DEC.format("regexp_replace(x, '<[^>]+>', '', 'g')")})), lambda x: x <> ''), '|'), '') AS texts FROM pages""") for tag in ("h1", "a", "li")],
     Query("page_paragraphs", page_paragraphs),
     Query("flat_paragraphs", flat_paragraphs, f"""
 SELECT page_id, nullif(array_to_string(list_filter(list_transform(regexp_extract_all(html, '<p>([^<]*)</p>', 1),

@@ -167,10 +167,10 @@ texts AS (SELECT doc_id, source = 'scraping' AS article,
          WHEN regexp_matches(title, '\\S') THEN title ELSE '' END AS t FROM {src}),
 paras AS (SELECT doc_id, p, k FROM (
     SELECT doc_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS k
-    FROM (SELECT doc_id, string_split(substr(t, 1, 1000), chr(10)) AS ps FROM texts WHERE article AND t <> '')) WHERE trim(p) <> ''),
+    FROM (SELECT doc_id, string_split(t, chr(10)) AS ps FROM texts WHERE article AND t <> '')) WHERE trim(p) <> ''),
 units AS (SELECT doc_id, trim(p) AS t, k FROM paras
   UNION ALL SELECT doc_id, t, 1 FROM texts WHERE NOT article AND t <> ''
-  UNION ALL SELECT doc_id, substr(t, 1, 1000), 1 FROM texts
+  UNION ALL SELECT doc_id, t, 1 FROM texts
     WHERE article AND t <> '' AND doc_id NOT IN (SELECT doc_id FROM paras)),
 raw AS (SELECT doc_id, k, unnest(ws) AS r, generate_subscripts(ws, 1) AS i
   FROM (SELECT doc_id, k, string_split_regex(t, '\\s+') AS ws FROM units)),

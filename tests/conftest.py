@@ -5,7 +5,7 @@ from opinionlake.session import build_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", cores=4)
+    session = build_session("tests", cores=4, **{"spark.opinionlake.dealTextTables": "4"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

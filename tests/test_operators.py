@@ -159,8 +159,9 @@ def test_cowords_filter_after_the_pool(spark):
     text = " ".join(w for i, w in enumerate(words) for _ in range(40 - i))
     df = spark.createDataFrame([("key", "positive", text)], "aspect string, sentiment_label string, text_processed string")
     blocked = words[:20]
-    got = [r.word for r in A.aspect_cowords(df, {"key": ("kw",)}, blocklist=blocked).orderBy(F.desc("frequency")).collect()]
+    got = [r.word for r in A.aspect_cowords(df, {"key": ("kw",)}, pool=25, blocklist=blocked).orderBy(F.desc("frequency")).collect()]
     assert got == words[20:25]  # the 26th word is outside the pool although only five are left
+    assert A.aspect_cowords(df, {"key": ("kw",)}, blocklist=blocked).count() == 6
 
 
 def test_summary_adds_up_and_std_of_one_is_null(spark):

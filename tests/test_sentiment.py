@@ -98,7 +98,9 @@ def test_record_scores(spark):
     parts = [round(plain_score(p)[0], 4) for p in ("good", "bad", "nothing")]
     assert got[5].vader_compound == pytest.approx(sum(parts) / 3, abs=1e-4)
     assert got[6].sentiment_label == "positive"
-    assert got[7].sentiment_label == "neutral"  # only the first thousand characters of an article count
+    assert got[7].sentiment_label == "positive"  # the whole article counts
+    cut = with_sentiment(df.filter("id = 7"), max_chars=1000).first()
+    assert cut.sentiment_label == "neutral"
 
 
 def test_read_lexicon(spark, tmp_path):
