@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from opinionlake import fixed
-from opinionlake.operators.dedup import insert_counts, insert_ignore
+from opinionlake.operators.conform import keep_language
+from opinionlake.operators.dedup import dedup_first, insert_counts, insert_ignore
 from opinionlake.operators.html import extract_pages
 from opinionlake.plans.silver import silver_articles, silver_posts
 from opinionlake.registry.base import Query, scratch, table
@@ -177,13 +178,84 @@ def stream_insert(spark, sf):
     """Documents arriving in two rounds with repeated keys; the table keeps the first of each key."""
     root = scratch(spark, "insert")
     posts = _bronze_posts(spark, sf)
-    for lang in ("en", "fr"):
+    for lang in ("en", "fr", "de", "es"):
         (posts.filter(F.col("lang") == lang).select("url", "title", "selftext", "lang").write.json(f"{root}/in/{lang}"))
         files = spark.readStream.schema("url string, title string, selftext string, lang string").json(f"{root}/in/*")
         I.run_insert(I.with_file_block(files), f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("url").alias("urls"))
 
 
+def bronze_stream_roundtrip(spark, sf):
+    """What ``write_bronze`` wrote, streamed back; each text is inserted once, under its first language."""
+    root = scratch(spark, "bronze_stream")
+    S.write_bronze(_bronze_posts(spark, sf).drop("doc_id"), root, "posts", "20240201_000000")
+    I.run_insert(I.stream_posts(spark, f"{root}/posts"), f"{root}/out", f"{root}/checkpoint", order=("lang", "bronze_source", "row_order"))
+    return spark.read.parquet(f"{root}/out").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("selftext")).alias("chars"))
+
+
+def posts_from_json_array(spark, sf):
+    """Posts stored as one JSON array per file."""
+    root = scratch(spark, "arrays")
+    posts = _bronze_posts(spark, sf).withColumn("file", F.pmod(F.xxhash64("doc_id"), F.lit(16)))
+    arrays = posts.groupBy("file").agg(F.to_json(F.collect_list(F.struct("url", "selftext", "lang"))).alias("value"))
+    arrays.select("value").repartition(16, "value").write.option("lineSep", "\n").option("maxRecordsPerFile", 1).text(root)
+    return R.read_posts(spark, root, lines=False).groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("selftext")).alias("chars"))
+
+
+def pages_from_json(spark, sf):
+    """Page records written as JSON lines and read back; lists travel as text."""
+    root = scratch(spark, "page_json")
+    pages = table(spark, sf, "pages")
+    keyed = pages.withColumn("url", F.concat_ws("|", "page_id", "url"))
+    records = extract_pages(keyed).drop("time_all")
+    flat = records.withColumns({f.name: F.to_json(f.name) for f in records.schema.fields if f.dataType.simpleString().startswith(("array", "map"))})
+    S.write_bronze(flat, root, "pages", "20240201_000000")
+    back = R.read_pages(spark, f"{root}/pages")
+    return back.select(F.substring_index("url", "|", 1).cast("long").alias("page_id"), F.size("all_hrefs").cast("long").alias("n_hrefs"))
+
+
+def insert_into_stored(spark, sf):
+    """A table of ``write_table`` that a batch adds to: no key comes twice."""
+    root = scratch(spark, "stored")
+    rows = _bronze_posts(spark, sf).select("url", "title", "doc_id", "lang")
+    S.write_table(dedup_first(rows.filter("lang = 'en'"), "url", ["doc_id"]), root, "posts", "20240101_000000")
+    I.insert_batch(f"{root}/posts", "url", ["doc_id"])(rows, 0)
+    return S.read_table(spark, root, "posts").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("url").alias("keys"))
+
+
+def mark_advances(spark, sf):
+    """Daily files newer than the stored mark are read, then the mark moves on."""
+    root = scratch(spark, "marks")
+    daily = _daily_files(spark, sf).select("event_id", F.regexp_extract("file", r"(\d{8}_\d{6})", 1).alias("run_ts"))
+    daily.write.partitionBy("run_ts").json(f"{root}/events")
+    R.save_mark(spark, root, "events", "20240110_000000")
+    paths = [p for p in R.pending_paths(spark, f"{root}/events", R.read_mark(spark, root, "events"), by_folder=True)]
+    new = spark.read.schema("event_id long").json(paths).withColumn("stamp", R.file_stamp(F.input_file_name()))
+    counts = new.groupBy("stamp").agg(F.count(F.lit(1)).alias("n"))
+    R.save_mark(spark, root, "events", counts.agg(F.max("stamp")).first()[0])
+    return counts.withColumn("mark", F.lit(R.read_mark(spark, root, "events")))
+
+
+def stored_files(spark, sf):
+    """The inventory of a stored table, and its newest complete run by the declared schema."""
+    root = scratch(spark, "files")
+    counts = table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).coalesce(1)
+    for run in ("20240101_000000", "20240108_000000"):
+        S.write_table(counts, root, "counts", run)
+    files = R.inventory(spark, f"{root}/counts").withColumn("family", F.lit("counts"))
+    totals = files.agg(F.count(F.lit(1)).alias("runs"), F.countDistinct("family").alias("families"))
+    return totals.withColumn("rows", R.read_silver(spark, root, "counts", counts.schema).agg((F.count(F.lit(1)) / 2).cast("long")).scalar())
+
+
+def filter_counters(spark, sf):
+    """What a language filter keeps and what it skips."""
+    posts = table(spark, sf, "documents")
+    kept = keep_language(posts, "lang", "en").agg(F.count(F.lit(1))).scalar()
+    return posts.agg(F.count(F.lit(1)).alias("n")).select(kept.alias("kept"), (F.col("n") - kept).alias("skipped"))
+
+
 _PROFILES = values([(lang, w) for lang, ws in fixed.LANGUAGE_PROFILES.items() for w in ws])
 _POSTS = f"""
 raw AS (SELECT d.*, e.ts, e.event_type, e.value, e.props, 'https://posts.example/' || md5(d.text) AS url,
@@ -253,6 +325,18 @@ FROM (SELECT text, text IN (SELECT text FROM documents WHERE lang = 'en') AS en
 SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') || '/' || strftime(date_trunc('week', ts) + INTERVAL 6 DAY, '%Y-%m-%d') AS week,
   event_type, count(*) AS n_records, round(round(avg(value), 4), 3) AS mean_value FROM events GROUP BY ALL"""),
     Query("stream_insert", stream_insert, """
-SELECT lang, count(DISTINCT text) AS n, count(DISTINCT text) AS urls FROM documents
-WHERE lang = 'en' OR (lang = 'fr' AND text NOT IN (SELECT text FROM documents WHERE lang = 'en')) GROUP BY lang"""),
+SELECT lang, count(DISTINCT text) AS n, count(DISTINCT text) AS urls FROM (SELECT lang, text FROM documents
+  QUALIFY rank() OVER (PARTITION BY text ORDER BY list_position(['en', 'fr', 'de', 'es'], lang)) = 1) GROUP BY lang"""),
+    Query("bronze_stream_roundtrip", bronze_stream_roundtrip, """
+SELECT lang, count(DISTINCT text) AS n, sum(length(text)) AS chars FROM (SELECT min(lang) AS lang, text FROM documents GROUP BY text) GROUP BY lang"""),
+    Query("posts_from_json_array", posts_from_json_array, "SELECT lang, count(*) AS n, sum(length(text)) AS chars FROM documents GROUP BY lang"),
+    Query("pages_from_json", pages_from_json, """
+SELECT page_id, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS n_hrefs FROM pages"""),
+    Query("insert_into_stored", insert_into_stored, "SELECT count(DISTINCT text) AS rows, count(DISTINCT text) AS keys FROM documents"),
+    Query("mark_advances", mark_advances, """
+SELECT strftime(CAST(ts AS DATE), '%Y%m%d') || '_000000' AS stamp, count(*) AS n, (SELECT strftime(max(ts), '%Y%m%d') || '_000000' FROM events) AS mark
+FROM events WHERE ts >= TIMESTAMP '2024-01-11' GROUP BY ALL"""),
+    Query("stored_files", stored_files, "SELECT 2 AS runs, 1 AS families, count(DISTINCT event_type) AS rows FROM events"),
+    Query("filter_counters", filter_counters, """
+SELECT count(*) FILTER (lang = 'en') AS kept, count(*) FILTER (lang <> 'en' OR lang IS NULL) AS skipped FROM documents"""),
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from opinionlake import schemas
@@ -10,6 +11,7 @@ from opinionlake.functions.text import meta_from_text, post_url
 from opinionlake.operators.conform import conform, keep_language
 from opinionlake.operators.dedup import dedup_first
 from opinionlake.operators.language import detect_language
+from opinionlake.sources.tables import complete_runs, table_path
 
 _STAMP = r"(\d{8}_\d{6})"
 
@@ -35,16 +37,16 @@ def with_file_position(df: DataFrame) -> DataFrame:
                      F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("row_order"))
 
 
-def read_posts(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:
-    """Post records from JSON arrays, or from JSON lines (which Spark can split).
+def read_posts(spark: SparkSession, path: str | list[str], lines: bool = True) -> DataFrame:
+    """Post records from JSON lines, as ``write_bronze`` writes them, or from JSON arrays (``lines=False``).
 
     Fields that older files lack are null.
     """
     return with_file_position(spark.read.schema(schemas.BRONZE_POST).option("multiLine", not lines).json(path))
 
 
-def read_pages(spark: SparkSession, path: str | list[str], fmt: str = "json", lines: bool = False) -> DataFrame:
-    """Page records from JSON arrays, JSON lines or the CSV form."""
+def read_pages(spark: SparkSession, path: str | list[str], fmt: str = "json", lines: bool = True) -> DataFrame:
+    """Page records from JSON lines, JSON arrays (``lines=False``) or the CSV form."""
     if fmt == "json":
         raw = spark.read.schema(schemas.BRONZE_PAGE_TEXT).option("multiLine", not lines).json(path)
     elif fmt == "csv":
@@ -80,17 +82,18 @@ def unparsed_metas(pages: DataFrame) -> DataFrame:
 def read_silver(spark: SparkSession, path: str, prefix: str, schema=None) -> DataFrame:
     """All silver files of one source; an empty table when there is none.
 
-    Files of one run partition each; columns are reconciled over all files.
+    Only complete runs are read.  A declared schema fills the columns that older
+    runs lack; without one the columns of all files are merged.
     """
-    from pyspark.errors import AnalysisException
-
-    try:
-            table = spark.read.option("mergeSchema", True).parquet(f"{path.rstrip('/')}/{prefix}")
-    except AnalysisException as missing:
-        if schema is None or missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    runs = complete_runs(spark, path, prefix)
+    if not runs:
+        if schema is None:
+            raise FileNotFoundError(f"no run of {prefix} under {path}")
         return spark.createDataFrame([], schema)
-    return conform(table, schema) if schema is not None else table
+    base = table_path(path, prefix)
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
+    table = reader.option("basePath", base).parquet(*[f"{base}/run_ts={run}" for run in runs])
+    return conform(table, schema) if schema is not None else table.withColumn("run_ts", F.col("run_ts").cast("string"))
 
 
 def read_silver_files(spark: SparkSession, path: str, prefix: str, schema=None) -> DataFrame:
@@ -143,6 +146,47 @@ def pending(df: DataFrame, mark: str, lineage: str = "bronze_source", latest_onl
     return stamped.drop("_stamp")
 
 
+class NoSourceFile(FileNotFoundError):
+    """There is no file at all, new or old."""
+
+
+def pending_paths(spark: SparkSession, folder: str, mark: str, pattern: str = "*.json", latest_only: bool = False,
+                  by_folder: bool = False) -> list[str]:
+    """Paths of files whose stamp is newer than the mark, from the listing alone; no file is opened.
+
+    An empty list means that nothing is new.  Without any file ``NoSourceFile`` is
+    raised.  The list has one name per new file.  ``by_folder`` takes the stamp from
+    anywhere in the path, for runs that have a folder each.
+    """
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+             .load(folder).select("path"))
+    stamped = files.withColumn("stamp", file_stamp(F.col("path") if by_folder else F.element_at(F.split("path", "/"), -1)))
+    found = stamped.filter(F.col("stamp") > mark).orderBy("stamp", "path").collect()
+    if not found and not files.limit(1).count():
+        raise NoSourceFile(f"no {pattern} under {folder}")
+    return [row["path"] for row in (found[-1:] if latest_only else found)]
+
+
+def save_mark(spark: SparkSession, root: str, name: str, mark: str) -> None:
+    """Store the mark of a source; to be called after its batch is saved.  Marks never go back."""
+    known = read_mark(spark, root, name)
+    value = max(mark, known)
+    spark.createDataFrame([(name, value)], "source string, mark string").coalesce(1).write.mode("overwrite").parquet(
+        f"{root.rstrip('/')}/marks/source={name}/mark={value}")
+
+
+def read_mark(spark: SparkSession, root: str, name: str) -> str:
+    """The highest stored mark of a source; a fixed first one when there is none."""
+    try:
+        stored = spark.read.schema("source string, mark string").option("recursiveFileLookup", True).parquet(
+            f"{root.rstrip('/')}/marks/source={name}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return FIRST_RUN
+    return stored.agg(F.max("mark")).first()[0] or FIRST_RUN
+
+
 def high_mark(df: DataFrame, lineage: str = "bronze_source") -> DataFrame:
     """One row: the highest file stamp in the batch."""
     return df.agg(F.coalesce(F.max(file_stamp(F.col(lineage))), F.lit(FIRST_RUN)).alias("mark"))

@@ -48,21 +48,29 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All runs; the stamp stays text."""
-    return (spark.read.option("mergeSchema", True).parquet(table_path(root, table))
-            .withColumn("run_ts", F.col("run_ts").cast("string")))
+    """All complete runs; the stamp stays text."""
+    runs, base = complete_runs(spark, root, table), table_path(root, table)
+    if not runs:
+        raise FileNotFoundError(f"no run of {table} under {root}")
+    found = spark.read.option("mergeSchema", True).option("basePath", base).parquet(*[f"{base}/run_ts={run}" for run in runs])
+    return found.withColumn("run_ts", F.col("run_ts").cast("string"))
 
 
-def latest_run(spark: SparkSession, root: str, table: str) -> str | None:
-    """Stamp of the newest complete run, from the partition folders (no data is read)."""
+def complete_runs(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Stamps of the complete runs in order, from the folders (no data is read)."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(table_path(root, table))
     fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(hadoop):
-        return None
+        return []
     stamps = [s.getPath().getName()[7:] for s in fs.listStatus(hadoop)
               if s.isDirectory() and s.getPath().getName().startswith("run_ts=")
               and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    return max(stamps, default=None)
+    return sorted(stamps)
+
+
+def latest_run(spark: SparkSession, root: str, table: str) -> str | None:
+    """Stamp of the newest complete run."""
+    return max(complete_runs(spark, root, table), default=None)
 
 
 def latest(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None) -> DataFrame:

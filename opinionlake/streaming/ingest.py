@@ -4,25 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from opinionlake.functions.timeparts import week_label
 from opinionlake.operators.dedup import insert_ignore
 from opinionlake.schemas import BRONZE_PAGE_TEXT, BRONZE_POST
+from opinionlake.sources.tables import complete_runs, write_table
 
 
-def stream_posts(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Post files as they arrive; the checkpoint remembers files, so late ones are read too."""
-    return _stream(spark, path, BRONZE_POST, max_files)
+def stream_posts(spark: SparkSession, path: str, max_files: int | None = None, lines: bool = True) -> DataFrame:
+    """Post files as they arrive, JSON lines or arrays; the checkpoint remembers files, so late ones are read too."""
+    return _stream(spark, path, BRONZE_POST, max_files, lines)
 
 
-def stream_pages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    return _stream(spark, path, BRONZE_PAGE_TEXT, max_files)
+def stream_pages(spark: SparkSession, path: str, max_files: int | None = None, lines: bool = True) -> DataFrame:
+    return _stream(spark, path, BRONZE_PAGE_TEXT, max_files, lines)
 
 
-def _stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("multiLine", True)
+def _stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None, lines: bool) -> DataFrame:
+    reader = spark.readStream.schema(schema).option("multiLine", not lines)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return with_file_block(reader.json(path))
@@ -38,9 +38,10 @@ def insert_batch(target: str, key: str, order: Sequence[str],
                  transform: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that adds the rows whose key the table lacks.
 
-    Every batch owns the folder ``batch=<id>``.  A batch that is repeated after a
-    lost executor or driver compares with the other folders only and overwrites
-    its own, so the table ends up the same.
+    Every batch owns the folder ``run_ts=batch_<id>``, in the layout of any other
+    stored table, so a table of ``write_table`` can be added to.  A batch that is
+    repeated after a lost executor or driver compares with the other complete runs
+    only and overwrites its own, so the table ends up the same.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -48,12 +49,12 @@ def insert_batch(target: str, key: str, order: Sequence[str],
             position = F.struct("_file_block", F.monotonically_increasing_id())
             batch = batch.withColumn("row_order", position).drop("_file_block")
         rows = transform(batch) if transform else batch
-        try:
-            existing = spark.read.parquet(target).filter(F.col("batch") != batch_id)
-        except AnalysisException:  # first batch: nothing there yet
-            existing = spark.createDataFrame([], T.StructType([rows.schema[key]]))
-        fresh = insert_ignore(existing, rows, key, order)
-        fresh.drop("row_order").write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={batch_id}")
+        root, _, table = target.rstrip("/").rpartition("/")
+        run = f"batch_{batch_id:012d}"
+        others = [f"{target.rstrip('/')}/run_ts={r}" for r in complete_runs(spark, root, table) if r != run]
+        held = T.StructType([rows.schema[key]])
+        existing = spark.read.schema(held).parquet(*others) if others else spark.createDataFrame([], held)
+        write_table(insert_ignore(existing, rows, key, order).drop("row_order"), root, table, run)
 
     return write
 

@@ -40,7 +40,7 @@ def bronze(tmp_path):
 
 
 def test_posts_to_silver(spark, bronze):
-    raw = R.read_posts(spark, bronze)
+    raw = R.read_posts(spark, bronze, lines=False)
     assert raw.count() == 37 and raw.filter("lang is null").count() == 25
     out = silver_posts(raw, ["row_order"])
     assert out.schema.names == schemas.SILVER_POST.names and out.count() == 35
@@ -73,7 +73,7 @@ def test_pages_to_silver_from_json_and_csv(spark, tmp_path):
         page(18, "9 minutes"), page(19, None), page(0), {"url": "https://n/bad", "error": "timeout", "status": "error"},
         page(20, all_meta="{'author': None, 'og:title': 'N'}"), page(21, all_meta="{broken")]
     write_json(tmp_path / "pages", "pages_20260409_000909.json", records)
-    pages = R.read_pages(spark, str(tmp_path / "pages"))
+    pages = R.read_pages(spark, str(tmp_path / "pages"), lines=False)
     out = silver_articles(pages, ["row_order"])
     rows = {r.url: r for r in out.collect()}
     assert len(rows) == 23 and rows["https://n/0"].body_text == "x" * 85
@@ -92,7 +92,7 @@ def test_pages_to_silver_from_json_and_csv(spark, tmp_path):
 
 
 def test_incremental_reading(spark, bronze):
-    raw = R.read_posts(spark, bronze)
+    raw = R.read_posts(spark, bronze, lines=False)
     assert R.pending(raw, "20260524_211808").count() == 12
     assert R.pending(raw, fixed.FIRST_RUN, latest_only=True).count() == 12
     assert R.pending(raw, "20260525_000015").count() == 0
@@ -130,7 +130,7 @@ def test_snapshots(spark, tmp_path):
 
 
 def test_gold_and_everything_after(spark, bronze, tmp_path):
-    posts = silver_posts(R.read_posts(spark, bronze), ["row_order"])
+    posts = silver_posts(R.read_posts(spark, bronze, lines=False), ["row_order"])
     articles = spark.createDataFrame([("https://n/1", "Mourinho signs a deal", "Ann", "z" * 90, "scraping", "n.json", 3.0)],
                                      "url string, title string, author string, body_text string, source string, bronze_source string, reading_time_min double")
     root = str(tmp_path / "gold")
@@ -160,9 +160,9 @@ def test_gold_and_everything_after(spark, bronze, tmp_path):
 def test_stream_inserts_each_key_once(spark, tmp_path):
     source, target, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     write_json(source, "a_20260102_000000.json", [post(1), post(2), post(2, title="repeat")])
-    I.run_insert(I.stream_posts(spark, str(source)), target, state)
+    I.run_insert(I.stream_posts(spark, str(source), lines=False), target, state)
     write_json(source, "b_20260101_000000.json", [post(2, title="late"), post(3)])  # older stamp, still read
-    I.run_insert(I.stream_posts(spark, str(source)), target, state)
+    I.run_insert(I.stream_posts(spark, str(source), lines=False), target, state)
     rows = {r.url: r.title for r in spark.read.parquet(target).collect()}
     assert rows == {f"https://p/{i}": f"Title {i}" for i in (1, 2, 3)} and spark.read.parquet(target).count() == 3
 
@@ -177,6 +177,39 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
     assert sorted((r.url, r.n) for r in spark.read.parquet(target).collect()) == [("a", 1), ("b", 2), ("c", 4)]
 
 
+def test_batches_extend_a_stored_table(spark, tmp_path):
+    root = str(tmp_path)
+    S.write_table(spark.createDataFrame([("a", 1), ("b", 2)], "url string, n int"), root, "posts", "20260101_000000")
+    (tmp_path / "posts" / "run_ts=20260102_000000").mkdir()  # a run that never finished
+    I.insert_batch(f"{root}/posts", "url", ["n"])(spark.createDataFrame([("a", 9), ("c", 4), (None, 5)], "url string, n int"), 0)
+    assert sorted((r.url, r.n) for r in S.read_table(spark, root, "posts").collect()) == [("a", 1), ("b", 2), ("c", 4)]
+    assert sorted(r.url for r in R.read_silver(spark, root, "posts", schemas.SILVER_POST).collect()) == ["a", "b", "c"]
+    assert R.read_silver(spark, root, "none", schemas.SILVER_POST).count() == 0
+
+
+def test_bronze_round_trip_keeps_every_row(spark, tmp_path):
+    rows = spark.createDataFrame([(f"u{i}", "t") for i in range(20)], "url string, title string").repartition(2)
+    path = S.write_bronze(rows, str(tmp_path), "posts", "20260101_000000")
+    assert R.read_posts(spark, path).count() == 20
+    I.run_insert(I.stream_posts(spark, path), str(tmp_path / "out"), str(tmp_path / "state"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 20
+
+
+def test_new_files_are_chosen_from_the_listing(spark, bronze, tmp_path):
+    root = str(tmp_path / "lake")
+    assert R.read_mark(spark, root, "posts") == fixed.FIRST_RUN
+    paths = R.pending_paths(spark, bronze, "20260524_211808")
+    assert [p.rsplit("/", 1)[1] for p in paths] == ["posts_20260525_000015.json"]
+    plan = R.read_posts(spark, paths, lines=False)
+    assert len(plan.inputFiles()) == 1  # the other file is not even opened
+    R.save_mark(spark, root, "posts", "20260525_000015")
+    R.save_mark(spark, root, "posts", "20260524_000000")  # an older batch does not set the mark back
+    assert R.read_mark(spark, root, "posts") == "20260525_000015"
+    assert R.pending_paths(spark, bronze, R.read_mark(spark, root, "posts")) == []
+    with pytest.raises(R.NoSourceFile):
+        R.pending_paths(spark, bronze, "", pattern="*.csv")
+
+
 def test_weekly_stream_equals_batch(spark, tmp_path):
     rows = spark.range(2000).select(
         (F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 1500)).alias("published_at"),

@@ -30,9 +30,17 @@ def test_attributes(spark):
 
 def test_limits(spark):
     many = "".join(f"<a href='/{i}'>t{i}</a><img src='{i}'>" for i in range(30))
-    assert len(one(spark, H.hrefs(F.col("html")), many)) == 20
-    assert len(one(spark, H.srcs(F.col("html")), many)) == 10
-    assert one(spark, H.page_texts(F.col("html")), many).a_all_texts == [f"t{i}" for i in range(10)]
+    assert len(one(spark, H.hrefs(F.col("html")), many)) == 30 and len(one(spark, H.hrefs(F.col("html"), 20), many)) == 20
+    assert len(one(spark, H.srcs(F.col("html")), many)) == 30 and len(one(spark, H.srcs(F.col("html"), 10), many)) == 10
+    assert one(spark, H.page_texts(F.col("html")), many).a_all_texts == [f"t{i}" for i in range(30)]
+
+
+def test_a_page_that_cannot_be_parsed_is_an_error_record(spark):
+    df = spark.createDataFrame([("u1", "<p>x<![foo[bar]]></p>"), ("u2", "<p>fine</p>"), ("u3", None)], "url string, html string").coalesce(1)
+    got = {r.url: r for r in H.extract_pages(df).collect()}
+    assert got["u1"].status == "error" and got["u1"].error and got["u1"].p_all_texts is None
+    assert got["u2"].status is None and got["u2"].p_all_texts == ["fine"] and got["u3"].error == "no content"
+    assert one(spark, H.container_links(F.col("html")), "<p>x<![foo[bar]]></p>") is None
 
 
 def test_element_texts(spark):
