@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opinionlake.fixed import IQR_FACTOR
 from opinionlake.functions.numbers import clip, pct
-from opinionlake.operators.quantiles import median, quantiles, same_group_join
+from opinionlake.operators.quantiles import group_lookup, median, quantiles
 
 
 def iqr_bounds(df: DataFrame, value: str, by: Sequence[str] = (), k: float = IQR_FACTOR,
@@ -33,7 +33,7 @@ def cap_outliers(df: DataFrame, values: Sequence[str], by: Sequence[str] = (), s
     wide = bounds.groupBy(*by).agg(*[
         F.max(F.when(F.col("_column") == v, F.struct("lower", "upper"))).alias(f"_b_{v}") for v in values])
     if by:
-        joined = same_group_join(df, wide, by)
+        joined = group_lookup(df, wide, by)
     else:
         joined = df.withColumn("_b", wide.select(F.struct(*wide.columns)).scalar())
     prefix = "" if by else "_b."
@@ -45,7 +45,7 @@ def cap_outliers(df: DataFrame, values: Sequence[str], by: Sequence[str] = (), s
 def impute_median(df: DataFrame, value: str, by: Sequence[str] = (), small_domain: bool = False) -> DataFrame:
     """Replace nulls by the median of the group."""
     mid = median(df, value, by, small_domain).select(*by, F.col("median").alias("_median"))
-    joined = same_group_join(df, mid, by) if by else df.withColumn("_median", mid.select("_median").scalar())
+    joined = group_lookup(df, mid, by) if by else df.withColumn("_median", mid.select("_median").scalar())
     return joined.withColumn(value, F.coalesce(F.col(value).cast("double"), F.col("_median"))).drop("_median")
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from opinionlake import fixed
 from opinionlake.functions.numbers import pct, share
 from opinionlake.functions.timeparts import week_label
-from opinionlake.operators.quantiles import quantiles, same_group_join
+from opinionlake.operators.dedup import dedup_first
+from opinionlake.operators.outliers import impute_median
+from opinionlake.operators.quantiles import group_lookup, median, quantiles, same_group_join
 
 
 def null_rate(col: str) -> Column:
@@ -65,7 +67,7 @@ def schema_compliance(df: DataFrame, required: Sequence[str] = fixed.REQUIRED) -
 
 
 def distinct_seen(col: Column) -> Column:
-    """Distinct values of a column with a small domain (days, weeks, runs), without a second shuffle."""
+    """Distinct values of a column with a small domain (days, weeks), without a second shuffle."""
     return F.size(F.collect_set(col))
 
 
@@ -88,7 +90,8 @@ def time_coverage(df: DataFrame, ts: str = "published_at") -> DataFrame:
 
 
 def compliance_columns(lineage: str, by: str, sources: Sequence[str], expected: int) -> dict[str, Column]:
-    runs = {s: distinct_seen(F.when(F.col(by) == s, F.col(lineage))) for s in sources}
+    # files are many: they are counted by a shuffle, not gathered in a set
+    runs = {s: F.count_distinct(F.when(F.col(by) == s, F.col(lineage))) for s in sources}
     out = {f"actual_runs_{s}": n for s, n in runs.items()}
     out["expected_runs_weekly"] = F.lit(expected)
     for s, n in runs.items():
@@ -139,22 +142,24 @@ def histogram(df: DataFrame, col: str, bins: int = 40, clip_q: float = 0.99) ->
 
 
 def batch_metrics_articles(df: DataFrame, value: str = "reading_time_min", key: str = "url",
-                           by: str = "bronze_source") -> DataFrame:
+                           by: str = "bronze_source", order: Sequence[str] = ("row_order",)) -> DataFrame:
     """One row per input file: rows kept, repeats removed, outliers and bounds.
 
-    ``df`` holds the imputed but not yet capped values, before deduplication.
+    The first row of a key (``order``) counts and null keys do not; missing values
+    are the median of the file, and nothing is capped yet.
     """
     per_key = (df.groupBy(by, key).agg(F.count(F.lit(1)).alias("copies")))
     sizes = per_key.groupBy(by).agg(
         F.sum(F.when(F.col(key).isNotNull(), 1).otherwise(0)).alias("rows"),
         F.sum(F.col("copies") - 1).alias("duplicates"))
-    kept = df.filter(F.col(key).isNotNull()).groupBy(by, key).agg(F.min(value).alias(value))
+    kept = dedup_first(df.filter(F.col(key).isNotNull()).select(by, key, value, *order), [by, key], order)
+    kept = impute_median(kept, value, [by], small_domain=True)
     q = quantiles(kept, value, [0.25, 0.75], [by], small_domain=True).select(
         by, F.get("q", F.lit(0)).alias("q1"), F.get("q", F.lit(1)).alias("q3"))
     bounds = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
               .withColumn("lower", F.col("q1") - fixed.IQR_FACTOR * F.col("iqr"))
               .withColumn("upper", F.col("q3") + fixed.IQR_FACTOR * F.col("iqr")))
-    flagged = same_group_join(kept, bounds, [by])
+    flagged = group_lookup(kept, bounds, [by])
     outliers = flagged.groupBy(by).agg(F.sum(F.when(
         (F.col(value) < F.col("lower")) | (F.col(value) > F.col("upper")), 1).otherwise(0)).alias("n_outliers"))
     out = same_group_join(same_group_join(sizes, bounds, [by]), outliers, [by])
@@ -164,13 +169,13 @@ def batch_metrics_articles(df: DataFrame, value: str = "reading_time_min", key:
 def batch_metrics_posts(df: DataFrame, duplicates: DataFrame, by: str = "bronze_source") -> DataFrame:
     """One row per input file: rows, repeats removed, empty bodies and medians.
 
-    ``df`` is the cleaned batch; ``duplicates`` holds (file, duplicates).
+    ``df`` is the cleaned batch with capped numbers; ``duplicates`` holds (file, duplicates).
     """
     stats = df.groupBy(by).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(F.when(F.col("body_text_missing"), 1).otherwise(0)).alias("empty_bodies"),
-        F.percentile("score", F.lit(0.5)).alias("score_median"),
-        F.percentile("num_comments", F.lit(0.5)).alias("num_comments_median"))
+        F.count(F.lit(1)).alias("rows"), F.sum(F.when(F.col("body_text_missing"), 1).otherwise(0)).alias("empty_bodies"))
+    for name in ("score", "num_comments"):  # free numbers: no hash map of all values
+        middle = median(df, name, [by]).select(by, F.col("median").alias(f"{name}_median"))
+        stats = same_group_join(stats, middle, [by])
     return same_group_join(stats, duplicates, [by])
 
 

@@ -42,7 +42,8 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
         F.count("_v").alias("_n"),
         F.percentile_approx("_v", F.array(*[F.lit(m) for m in marks]), F.lit(accuracy)).alias("_m"),
     )
-    placed = same_group_join(base.filter(F.col("_v").isNotNull()), F.broadcast(sketch) if few_groups else sketch, by)
+    values = base.filter(F.col("_v").isNotNull())
+    placed = same_group_join(values, F.broadcast(sketch), by) if few_groups else group_lookup(values, sketch, by)
 
     narrowed = F.col("_n") > accuracy
 
@@ -76,6 +77,26 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
         F.max("n").alias("n"), F.array(*[F.max(F.when(F.col("i") == i, F.col("x"))) for i in range(len(probs))]).alias("q"))
 
 
+# Up to so many groups their results are put into the plan, from where Spark broadcasts them.
+KNOWN_GROUPS = 50_000
+_SALTS = 32
+
+
+def group_lookup(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add one row per group to every row of a wide table, null equal to null.
+
+    The groups' rows are computed once, here.  If they are as few as
+    ``KNOWN_GROUPS`` they are broadcast and the wide rows stay where they are;
+    more of them are joined under a salted key, so a hot group has many tasks.
+    """
+    found = groups.limit(KNOWN_GROUPS + 1).collect()
+    if len(found) <= KNOWN_GROUPS:
+        return same_group_join(rows, F.broadcast(groups.sparkSession.createDataFrame(found, groups.schema)), by)
+    salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS)).cast("int"))
+    spread = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    return same_group_join(salted, spread, [*by, "_salt"]).drop("_salt")
+
+
 def same_group_join(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
     """Join on the group columns, null equal to null; the right group columns are dropped."""
     renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in by})

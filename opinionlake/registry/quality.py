@@ -138,7 +138,7 @@ def length_histogram(spark, sf):
 # --- quantiles and outliers -------------------------------------------------
 def price_quantiles(spark, sf):
     """Exact quantiles of a free number, by bracketing."""
-    q = quantiles(table(spark, sf, "lineitem"), "l_extendedprice", [0.1, 0.5, 0.9], ["l_returnflag"], accuracy=1000)
+    q = quantiles(table(spark, sf, "lineitem"), "l_extendedprice", [0.1, 0.5, 0.9], ["l_returnflag"])
     return q.select("l_returnflag", "n", *[F.round(F.get("q", F.lit(i)), 4).alias(f"q{i}") for i in range(3)])
 
 
@@ -169,12 +169,14 @@ def outlier_rates(spark, sf):
 
 def batch_metrics(spark, sf):
     rows = records(spark, sf).filter(F.col("source") == fixed.ARTICLES)
-    return Q.batch_metrics_articles(rows)
+    # repeats differ in their value, so it matters which one counts
+    varied = rows.withColumn("reading_time_min", F.when(F.col("doc_id") % 7 != 0, F.col("reading_time_min") + F.col("doc_id") % 5))
+    return Q.batch_metrics_articles(varied, order=["doc_id"])
 
 
 def batch_metrics_posts(spark, sf):
     rows = records(spark, sf).filter(F.col("source") == fixed.POSTS)
-    kept = U.dedup_first(rows, ["bronze_source", "url"], ["doc_id"])
+    kept = O.cap_outliers(U.dedup_first(rows, ["bronze_source", "url"], ["doc_id"]), ["score", "num_comments"], ["bronze_source"])
     return Q.batch_metrics_posts(kept, Q.batch_duplicates(rows)).withColumns(
         {c: F.round(c, 4) for c in ("score_median", "num_comments_median")})
 
@@ -380,12 +382,17 @@ FROM (SELECT bronze_source, count(DISTINCT url) AS rows, count(*) - count(DISTIN
 JOIN q USING (bronze_source) JOIN (SELECT bronze_source, count(*) FILTER (WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS n_outliers
   FROM u JOIN q USING (bronze_source) GROUP BY bronze_source) o USING (bronze_source)""", """
 a AS (SELECT * FROM records WHERE source = 'scraping'),
-u AS (SELECT bronze_source, url, min(reading_time_min) AS v FROM a GROUP BY ALL),
+f AS (SELECT bronze_source, url, CASE WHEN doc_id % 7 <> 0 THEN reading_time_min + doc_id % 5 END AS w FROM a
+  QUALIFY row_number() OVER (PARTITION BY bronze_source, url ORDER BY doc_id) = 1),
+u AS (SELECT bronze_source, url, coalesce(w, quantile_cont(w, 0.5) OVER (PARTITION BY bronze_source)) AS v FROM f),
 q AS (SELECT bronze_source, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM u GROUP BY bronze_source)""")),
     Query("batch_metrics_posts", batch_metrics_posts, records_sql("""
-SELECT bronze_source, count(*) AS rows, count(*) FILTER (WHERE body_text_missing) AS empty_bodies, round(quantile_cont(score, 0.5), 4) AS score_median,
-  round(quantile_cont(num_comments, 0.5), 4) AS num_comments_median, any_value(duplicates) AS duplicates
-FROM (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY bronze_source, url ORDER BY doc_id) = 1)
+SELECT bronze_source, count(*) AS rows, count(*) FILTER (WHERE body_text_missing) AS empty_bodies,
+  round(quantile_cont(greatest(least(score, s3 + 1.5 * (s3 - s1)), s1 - 1.5 * (s3 - s1)), 0.5), 4) AS score_median,
+  round(quantile_cont(greatest(least(num_comments, k3 + 1.5 * (k3 - k1)), k1 - 1.5 * (k3 - k1)), 0.5), 4) AS num_comments_median, any_value(duplicates) AS duplicates
+FROM (SELECT *, quantile_cont(score, 0.25) OVER b AS s1, quantile_cont(score, 0.75) OVER b AS s3, quantile_cont(num_comments, 0.25) OVER b AS k1,
+    quantile_cont(num_comments, 0.75) OVER b AS k3
+  FROM (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY bronze_source, url ORDER BY doc_id) = 1) WINDOW b AS (PARTITION BY bronze_source))
 JOIN (SELECT bronze_source, count(*) - count(DISTINCT url) AS duplicates FROM a GROUP BY bronze_source) USING (bronze_source) GROUP BY bronze_source""",
         "a AS (SELECT * FROM records WHERE source = 'reddit')")),
     Query("governance_row", governance_row, gold_sql(_gov_sql(True), _outlier_ctes())),
