@@ -7,6 +7,7 @@ import re
 import string
 import unicodedata
 from collections.abc import Iterable
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -24,13 +25,33 @@ def _normalise_batch(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: html.unescape(unicodedata.normalize("NFKC", t)), na_action="ignore")
 
 
+@lru_cache(maxsize=1)
+def unstable_characters() -> str:
+    """Inside of a character class: the characters that NFKC changes or joins to what stands before them."""
+    found = set()
+    for code in range(0x80, 0x110000):
+        char = chr(code)
+        parts = unicodedata.decomposition(char).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            found.add(int(parts[1], 16))
+        if unicodedata.combining(char) or not 0xD800 <= code < 0xE000 and not unicodedata.is_normalized("NFKC", char):
+            found.add(code)
+    found |= {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}  # Hangul vowels and finals join by rule
+    codes = sorted(c for c in found if c >= 0x80)
+    runs = [(codes[0], codes[0])]
+    for code in codes[1:]:
+        runs[-1:] = [(runs[-1][0], code)] if code == runs[-1][1] + 1 else [runs[-1], (code, code)]
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs)
+
+
 def nfkc_unescape(col: Column) -> Column:
     """NFKC form, then HTML entities decoded.
 
-    Spark has neither as a built-in.  Only texts that can change (a non-ASCII
-    character or an ampersand) are sent over Arrow; the others stay in the JVM.
+    Spark has neither as a built-in.  Only texts that can change (a character that
+    NFKC changes, or an ampersand) are sent over Arrow; the others stay in the JVM.
     """
-    may_change = col.rlike(r"[^\x00-\x7F]|&")
+    # plain accented letters are below U+0180, where one look at a bit set is enough
+    may_change = F.contains(col, F.lit("&")) | (col.rlike(r"[^\x00-\x7F]") & col.rlike(f"[{unstable_characters()}]"))
     return F.coalesce(_normalise_batch(F.when(may_change, col)), col)
 
 

@@ -62,12 +62,17 @@ def scope_counts(spark, sf):
 
 
 # --- duplicates -------------------------------------------------------------
+def _hashed(spark, sf):
+    """Documents under a 256-bit hash of their text, so no text is a shuffle key."""
+    return table(spark, sf, "documents").select("doc_id", "lang", "source", F.sha2("text", 256).alias("text_key"))
+
+
 def dedup_first(spark, sf):
-    return U.dedup_first(table(spark, sf, "documents"), "text", ["doc_id"]).select("doc_id", "lang", "source")
+    return U.dedup_first(_hashed(spark, sf), "text_key", ["doc_id"]).select("doc_id", "lang", "source")
 
 
 def duplicate_stats(spark, sf):
-    return U.duplicate_rate(table(spark, sf, "documents"), "text")
+    return U.duplicate_rate(_hashed(spark, sf), "text_key")
 
 
 def dedup_stats(spark, sf):
@@ -195,12 +200,12 @@ def _plain_gov(df):
 
 
 def kpi_table(spark, sf):
-    return G.kpi_table(G.governance(stored_gold(spark, sf), RUN, before=records(spark, sf))).drop("KPI")
+    return G.kpi_table(G.governance(stored_gold(spark, sf), RUN, before=records(spark, sf)))
 
 
 def kpi_names(spark, sf):
     """Category, readable name and raw name of every KPI of a scope."""
-    return B.governance_view(stored_gold(spark, sf), RUN, fixed.ARTICLES).select("Category", "RawMetric", "status")
+    return B.governance_view(stored_gold(spark, sf), RUN, fixed.ARTICLES).select("Category", "KPI", "RawMetric", "status")
 
 
 def kpi_matrix(spark, sf):
@@ -270,11 +275,18 @@ def _category(metric: str) -> str:
   WHEN regexp_matches({metric}, '^(sentiment_pct_|compound_)') THEN 'Distribution' ELSE 'Other' END"""
 
 
+def _readable(metric: str) -> str:
+    known = " ".join(f"WHEN {metric} = '{name}' THEN '{text}'" for name, text in fixed.KPI_NAMES.items())
+    return f"""CASE {known} WHEN {metric} LIKE 'null!_rate!_%' ESCAPE '!' THEN 'Null rate - ' || replace(replace({metric}, 'null_rate_', ''), '_', ' ')
+  WHEN {metric} LIKE 'outlier!_rate!_%' ESCAPE '!' THEN 'Outlier rate - ' || replace(replace({metric}, 'outlier_rate_', ''), '_', ' ')
+  ELSE array_to_string(list_transform(string_split({metric}, '_'), lambda w: upper(w[1]) || lower(w[2:])), ' ') END"""
+
+
 def _kpi_sql() -> str:
     names = [c for c in G.governance_columns() if c != "pipeline_run_ts"]
     number = "TRY_CAST(v AS DOUBLE)"
     cells = " UNION ALL ".join(f"SELECT '{n}' AS metric, CAST({n} AS VARCHAR) AS v FROM gov" for n in names)
-    return f"""SELECT {_category('metric')} AS "Category", metric AS "RawMetric", CASE
+    return f"""SELECT {_category('metric')} AS "Category", {_readable('metric')} AS "KPI", metric AS "RawMetric", CASE
   WHEN v IS NULL THEN 'N/A' WHEN {number} IS NULL THEN v
   WHEN regexp_matches(metric, '_rate$|^null_rate_|^outlier_rate_|^ingestion_compliance_') THEN printf('%.2f%%', {number})
   WHEN metric IN ({quoted(fixed.KPI_WHOLE_NUMBERS)}) OR abs({number}) >= 1000 THEN format('{{:,d}}', CAST(round_even({number}, 0) AS BIGINT))
@@ -402,7 +414,7 @@ JOIN (SELECT bronze_source, count(*) - count(DISTINCT url) AS duplicates FROM a
             "AS sp FROM gold)", "AS sp FROM scoped)")),
     Query("kpi_table", kpi_table, gold_sql(_kpi_sql(), _outlier_ctes() + f", gov AS ({_gov_sql(True)})")),
     Query("kpi_names", kpi_names, gold_sql(f"""
-SELECT {_category('metric')} AS "Category", metric AS "RawMetric",
+SELECT {_category('metric')} AS "Category", {_readable('metric')} AS "KPI", metric AS "RawMetric",
   CASE WHEN metric = 'schema_compliance_rate' THEN 'good' WHEN metric NOT IN ('duplicate_rate', 'body_text_missing_rate') THEN 'neutral'
        WHEN v > 0 THEN 'bad' ELSE 'good' END AS status
 FROM (""" + " UNION ALL ".join(

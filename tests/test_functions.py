@@ -126,3 +126,12 @@ def test_kpi_text(spark):
     df = spark.createDataFrame(rows, "m string, t string, n double").coalesce(1)
     got = [r[0] for r in df.select(format_value(F.col("m"), F.col("t"), F.col("n"))).collect()]
     assert got == ["1.50%", "12,345", "1,234", "3.14", "2026-01-01", "N/A"]
+
+
+def test_other_characters_do_not_change_under_nfkc():
+    pattern = re.compile("[" + re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: "\\U%08x" % int(m[1], 16), X.unstable_characters()) + "]")
+    for start in range(0x80, 0x110000, 0x400):
+        plain = [chr(c) for c in range(start, min(start + 0x400, 0x110000)) if not 0xD800 <= c < 0xE000 and not pattern.search(chr(c))]
+        text = "a" + "a".join(plain) + "".join(plain)
+        assert unicodedata.normalize("NFKC", text) == text
+    assert pattern.search("e\u0301") and pattern.search("ﬁ") and not pattern.search("éüñß")
