@@ -11,7 +11,7 @@ from opinionlake.plans import dashboard as B
 from opinionlake.plans import story
 from opinionlake.operators import tokens as K
 from opinionlake.registry.base import Query, table
-from opinionlake.registry.views import ASPECTS, WEEK, gold, gold_sql, matches_cte, quoted, stored_gold, values
+from opinionlake.registry.views import ASPECTS, WEEK, gold, gold_sql, matches_cte, quoted, stored_gold, stored_matches, values
 
 
 def events(spark, sf):
@@ -106,11 +106,6 @@ def source_comparison(spark, sf):
     return D.compare_sources(gold(spark, sf))
 
 
-def matches(spark, sf):
-    """Record-aspect pairs for queries that use them more than once: over the stored gold base."""
-    return A.match_aspects(stored_gold(spark, sf), aspects=ASPECTS)
-
-
 def aspect_matches(spark, sf):
     return A.match_aspects(gold(spark, sf), aspects=ASPECTS).select("url", "aspect")
 
@@ -136,7 +131,7 @@ summary AS (
 
 
 def aspect_cowords(spark, sf):
-    return A.aspect_cowords(matches(spark, sf), ASPECTS, blocklist=_BLOCKED)
+    return A.aspect_cowords(stored_matches(spark, sf), ASPECTS, blocklist=_BLOCKED)
 
 
 # blocks some of the most frequent words
@@ -152,7 +147,7 @@ docs AS (SELECT aspect, sentiment_label AS sentiment, count(*) AS n_docs FROM ma
 
 
 def aspect_snippets(spark, sf):
-    return A.aspect_snippets(matches(spark, sf)).withColumn("rank", F.col("rank").cast("long"))
+    return A.aspect_snippets(stored_matches(spark, sf)).withColumn("rank", F.col("rank").cast("long"))
 
 
 _SNIPPETS = """
@@ -167,22 +162,22 @@ snippets AS (
 
 
 def best_worst_aspect(spark, sf):
-    return A.extremes(A.aspect_summary(matches(spark, sf)))
+    return A.extremes(A.aspect_summary(stored_matches(spark, sf)))
 
 
 def aspect_overview(spark, sf):
-    return B.aspect_view(A.aspect_summary(matches(spark, sf)))
+    return B.aspect_view(A.aspect_summary(stored_matches(spark, sf)))
 
 
 def drilldown_snippets(spark, sf):
-    found = matches(spark, sf).filter(F.col("aspect") == "health")
+    found = stored_matches(spark, sf).filter(F.col("aspect") == "health")
     empty = A.aspect_summary(found)
     parts = B.drilldown_view(empty, A.aspect_cowords(found, ASPECTS), A.aspect_snippets(found), "health")
     return parts["snippets"].select("sentiment_pole", "text_snippet", "score_text", "source")
 
 
 def drilldown_cowords(spark, sf):
-    found = matches(spark, sf).filter(F.col("aspect") == "health")
+    found = stored_matches(spark, sf).filter(F.col("aspect") == "health")
     return A.drilldown(A.aspect_summary(found), A.aspect_cowords(found, ASPECTS, blocklist=_BLOCKED),
                        A.aspect_snippets(found), "health")["cowords"]
 

@@ -7,16 +7,18 @@ handling is exercised; events date the records.
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opinionlake import fixed
 from opinionlake.functions.text import clean_text, is_blank
+from opinionlake.operators.aspects import match_aspects
 from opinionlake.operators.sentiment import Rules, with_sentiment
 from opinionlake.operators.tokens import DEFAULT_STOP
 from opinionlake.plans.gold import dedup_global, enrich
 from opinionlake.registry.base import scratch, table
-from opinionlake.sources.tables import latest, write_table
+from opinionlake.sources.tables import latest, latest_run, write_table
 
 # Words that occur in the test documents take the part of the sentiment words.
 LEXICON = {
@@ -35,6 +37,10 @@ ASPECTS = {
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver-like records: both sources, before the global deduplication."""
+    return _cleaned(_raw_records(spark, sf_dir))
+
+
+def _raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
     events = table(spark, sf_dir, "events").select(
@@ -42,7 +48,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = documents.join(labels, "doc_id", "left").join(events, F.col("event_id") == F.col("doc_id") * 10, "left")
     source = F.when(F.col("lang") == "en", fixed.POSTS).otherwise(fixed.ARTICLES)
     is_post = F.col("lang") == "en"
-    view = joined.select(
+    return joined.select(
         "doc_id",
         F.concat(F.lit("https://posts.example/"), F.md5(F.col("text").cast("binary"))).alias("url"),
         F.substring_index("text", "\n", 1).alias("title"),
@@ -57,6 +63,9 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("subreddit"),
         F.when(~is_post, F.ceil(F.col("n_chars") / 1000).cast("double")).alias("reading_time_min"),
     )
+
+
+def _cleaned(view: DataFrame) -> DataFrame:
     return view.withColumns({
         "body_text_missing": is_blank(F.col("body_text")),
         "body_text_clean": clean_text(F.col("body_text"), social=True),
@@ -64,18 +73,33 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold(spark: SparkSession, sf_dir: str, dedup: bool = True) -> DataFrame:
-    """Gold base of the view."""
-    rows = records(spark, sf_dir)
+    """Gold base of the view; only the survivors of the deduplication are cleaned and scored."""
+    rows = _raw_records(spark, sf_dir)
     if dedup:
         rows = dedup_global(rows, order=["bronze_source", "doc_id"])
-    return enrich(rows, RULES)
+    return enrich(_cleaned(rows), RULES)
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """A table written once per input folder and session and read by all queries that use it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED or latest_run(spark, _STORED[key], name) is None:
+        root = scratch(spark, name)
+        write_table(build(spark, sf_dir), root, name, "20240201_000000")
+        _STORED[key] = root
+    return latest(spark, _STORED[key], name)
 
 
 def stored_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold base written once and read back, for queries that use it more than once."""
-    root = scratch(spark, "gold")
-    write_table(gold(spark, sf_dir), root, "gold_base", "20240201_000000")
-    return latest(spark, root, "gold_base")
+    return _stored(spark, sf_dir, "gold_base", gold)
+
+
+def stored_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record-aspect pairs of the stored gold base."""
+    return _stored(spark, sf_dir, "aspect_matches", lambda s, d: match_aspects(stored_gold(s, d), aspects=ASPECTS))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
