@@ -21,13 +21,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, types as T
 
 # Characters of the White_Space property.
 _SPACES = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 # Characters handled at once, and pieces a worker remembers: memory bounds that change no result.
-BATCH_CHARS = 2_000_000
-CACHED_PIECES = 300_000
+BATCH_CHARS = 1_000_000
+CACHED_PIECES = 150_000
 _NEVER = 1 << 62
 
 # Symbols: letter, number, other, apostrophe before a one- or two-letter ending, blank or white
@@ -181,6 +182,10 @@ class Merger(dict):
         self[piece] = ids
         return ids
 
+    def rest(self) -> None:
+        """Between tasks a worker waits with the pieces of late only."""
+        self.older = {}
+
     def merge(self, piece: bytes) -> list[int]:
         """Ids after merging the pair of lowest rank, leftmost first, as long as there is one."""
         ranks = self.ranks
@@ -252,8 +257,23 @@ def merger(ranks: bytes) -> Merger:
     return Merger(ranks)
 
 
+def runs(column: pa.Array, most: int = BATCH_CHARS) -> Iterator[tuple[int, list[str]]]:
+    """Where a run begins, and its texts (null: empty), of about ``most`` bytes together.
+
+    Only one run at a time is turned into Python texts; a longer text is a run of its own.
+    """
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    begin = held = 0
+    for at, size in enumerate(sizes):
+        if at > begin and held + size > most:
+            yield begin, [x or "" for x in column.slice(begin, at - begin).to_pylist()]
+            begin, held = at, 0
+        held += size
+    if begin < len(sizes):
+        yield begin, [x or "" for x in column.slice(begin).to_pylist()]
+
+
 def slices(texts: list[str], most: int = BATCH_CHARS) -> Iterator[list[str]]:
-    """Runs of texts of about ``most`` characters together; a longer text is a run of its own."""
     held: list[str] = []
     size = 0
     for text in texts:
@@ -272,25 +292,27 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
 
-def encode(docs: DataFrame, ranks: bytes, text: str = "text") -> DataFrame:
-    """Add ``ids`` and ``piece_offsets``, the code point at which each piece begins."""
-    kept = [f for f in docs.schema.fields if f.name not in ("ids", "piece_offsets")]
-    names = [f.name for f in kept]
+def encode(docs: DataFrame, ranks: bytes, text: str = "text", decoded: bool = False) -> DataFrame:
+    """Add ``ids`` and ``piece_offsets``, the code point at which each piece begins.
+
+    With ``decoded`` also the bytes that the ids stand for, by the same task.
+    """
     numbers = T.ArrayType(T.IntegerType())
-    schema = T.StructType([*kept, T.StructField("ids", numbers), T.StructField("piece_offsets", numbers)])
+    added = [T.StructField("ids", numbers), T.StructField("piece_offsets", numbers)] + [T.StructField("decoded", T.BinaryType())] * decoded
+    kept = [f for f in docs.schema.fields if f.name not in {x.name for x in added}]
+    names = [f.name for f in kept]
+    schema = T.StructType([*kept, *added])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = merger(ranks)
         for batch in batches:
-            texts = [x or "" for x in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            at = 0
-            for some in slices(texts):
+            for at, some in runs(batch.column(names.index(text))):
                 found = list(model.encode(some))
-                part = batch.slice(at, len(some))
-                at += len(some)
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i) for i in range(len(names))), _lists([x[0] for x in found]), _lists([x[1] for x in found])],
-                    names=[*names, "ids", "piece_offsets"])
+                more = [_lists([x[0] for x in found]), _lists([x[1] for x in found])]
+                if decoded:
+                    more.append(pa.array([model.decode(x[0]) for x in found], pa.binary()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(at, len(some)).columns, *more], names=schema.names)
+        model.rest()
 
     return docs.select(*names).mapInArrow(run, schema)
 

@@ -30,7 +30,10 @@ _ROW = ["_r1", "_r2"]
 
 
 def _words(text: Column) -> Column:
-    lowered = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    whole = F.coalesce(text, F.lit(""))
+    # lower() would change letters beyond A-Z too, so it is for texts that have none
+    lowered = F.when(F.octet_length(whole) == F.length(whole), F.lower(whole)).otherwise(
+        F.translate(whole, string.ascii_uppercase, string.ascii_lowercase))
     return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
@@ -133,5 +136,6 @@ def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, root: str, key
           item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """The documents without a window of any item, with all their columns."""
     hit = occurrences(spark, docs, items, root, key, text, item_key, item_text).select(*_ROW).distinct()
-    keyed = docs.withColumns(row_keys(key, text))
-    return keyed.join(hit, _ROW, "left_anti").select(*docs.columns)
+    # whole rows travel as one struct, so no column of theirs can clash
+    keyed = docs.select(F.struct(*docs.columns).alias("document"), *[column.alias(name) for name, column in row_keys(key, text).items()])
+    return keyed.join(hit, _ROW, "left_anti").select("document.*")

@@ -19,8 +19,7 @@ def op1_huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         model = file.read()
     manifest = huffman.write_corpus(spark, _table(spark, sf_dir, "documents"), model, scratch_folder(spark, "ids"))
-    read = huffman.read_files(manifest.repartition(spark.sparkContext.defaultParallelism * 4))
-    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return huffman.read_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op2_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,9 +115,8 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    encoded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks)
-    decoded = bpe.decode(encoded.select("doc_id", "ids"), ranks)
-    return decoded.select(
+    coded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, decoded=True)
+    return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -167,20 +167,24 @@ def scan(spark: SparkSession, docs: DataFrame, root: str, rules: Sequence[Rule]
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     trigrams = dictionary(rules)
     own = [c for c in docs.columns if c != "spans"]
-    keyed = docs.select(*own).withColumns(row_keys(key, text))
+    # other columns travel as one struct, so none of theirs can clash
+    others = [c for c in own if c != text]
+    keyed = docs.select(F.struct(F.lit(0).alias("_none"), *others).alias("_others"), F.col(text).alias("_body"),
+                        *[column.alias(name) for name, column in row_keys(key, text).items()])
     asked = [rule for rule in rules if trigram_query(rule)]
     if asked:
         postings(docs, trigrams, key, text).write.mode("overwrite").parquet(f"{root}/postings")
         index = spark.read.schema("trigram string, _r1 long, _r2 long").parquet(f"{root}/postings")
         keyed = keyed.join(candidates(index, rules), _ROW, "left")
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = F.coalesce(F.col("_body"), F.lit(""))
     found = []
     for order, rule in enumerate(rules):
         spans = _spans(body, rule, order)
         if rule in asked:
             spans = F.when(F.col(f"_may_{rule.kind}"), spans)
         found.append(F.coalesce(spans, none))
-    return keyed.select(*own, F.sort_array(F.concat(*found)).alias("spans"))
+    kept = [F.col("_body").alias(c) if c == text else F.col("_others")[c].alias(c) for c in own]
+    return keyed.select(*kept, F.sort_array(F.concat(*found)).alias("spans"))
 
 
 def listing(spans: Column, rules: Sequence[Rule], most: int | None = None) -> Column:

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import public_tokenizers
 import pytest
@@ -34,7 +35,7 @@ def tiktoken_encoding():
 
 def test_pieces_and_merges_are_those_of_the_library():
     model, library = bpe.merger(RANKS), tiktoken_encoding()
-    for some in bpe.slices(ODD, 5000):
+    for _, some in bpe.runs(pa.array(ODD), 5000):
         for text, (ids, starts) in zip(some, model.encode(some)):
             assert ids.tolist() == library.encode_ordinary(text), text[:50]
             assert model.decode(ids) == text.encode("utf-8")
@@ -63,6 +64,8 @@ def test_bpe_edge_rows(spark):
     out = bpe.decode(bpe.encode(spark.createDataFrame(rows, "doc_id long, text string, ids long"), RANKS), RANKS)
     got = sorted((r.text or "", bytes(r.decoded), len(r.piece_offsets)) for r in out.collect())
     assert got == [("", b"", 0), ("", b"", 0), ("a b", b"a b", 2), ("a b", b"a b", 2)]
+    at_once = bpe.encode(spark.createDataFrame(rows, "doc_id long, text string, ids long"), RANKS, decoded=True).collect()
+    assert sorted((r.text or "", bytes(r.decoded)) for r in at_once) == [x[:2] for x in got]
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.decode(bpe.encode(empty, RANKS), RANKS).count() == 0
 
