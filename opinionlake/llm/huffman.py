@@ -12,6 +12,7 @@ that of a hash of their ids.  An empty table gives no files and no rows.
 
 from __future__ import annotations
 
+import itertools
 import os
 import struct
 import zlib
@@ -21,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -32,7 +34,7 @@ RUN = 64
 BLOCK_IDS = 1 << 20
 FILE_IDS = 1 << 24
 MAGIC = b"IDHUF01\n"
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 400_000
 
 
 class ChunkEncoder:
@@ -51,40 +53,74 @@ class ChunkEncoder:
         self.tokenizer.encode_special_tokens = True
         self.chunks: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.line_end = int(np.frombuffer(self._encode("\n"), "<u4")[0])
+        self.marks = {mark: self._encode(mark) for mark in ".,!?;:"}
+        blank = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
+        vocabulary = self.tokenizer.get_vocab()
+        self.blank = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.blank[[number for piece, number in vocabulary.items() if piece.startswith(blank)]] = True
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, chunks: list[str]) -> None:
-        """Encode chunks, each with its blank before it, as one text and cut its ids apart by their offsets."""
-        found = self.tokenizer.encode(" " + " ".join(chunks), add_special_tokens=False)
-        ids = np.array(found.ids, "<u4").tobytes()
-        begins = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
-        ends = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1)
-        cuts = (4 * np.searchsorted(begins, ends)).tolist()
-        self.chunks.update(zip(chunks, (ids[a:b] for a, b in zip([0, *cuts], cuts))))
+        """Encode chunks, each with its blank before it, as one text; only a chunk's first id has a blank at its start."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = [*(4 * np.flatnonzero(self.blank[ids])).tolist(), 4 * len(ids)]
+        if len(cuts) != len(chunks) + 1:
+            raise ValueError("the tokenizer does not cut before blanks")
+        flat = ids.tobytes()
+        self.chunks.update(zip(chunks, [flat[a:b] for a, b in zip(cuts, cuts[1:])]))
+
+    def _heads(self, heads: set[str]) -> dict[str, bytes]:
+        """Encode words that begin a text as lines of one text; a line end is one id and stands alone."""
+        single = [h for h in heads if h and not any(c.isspace() for c in h)]
+        ids = np.frombuffer(self._encode("\n" + "\n".join(single)), "<u4") if single else np.zeros(0, "<u4")
+        cuts = [*(4 * np.flatnonzero(ids == self.line_end)).tolist(), 4 * len(ids)]
+        if len(cuts) != len(single) + 1:
+            raise ValueError("the tokenizer does not cut at line ends")
+        flat = ids.tobytes()
+        return {h: flat[a + 4:b] for h, a, b in zip(single, cuts, cuts[1:])}
+
+    def _learn_all(self, fresh: set[str]) -> None:
+        """Chunks that end in a mark after a letter or digit are their rest and the mark."""
+        chunks, older = self.chunks, self.older
+        marked, plain = [], set()
+        for p in fresh:
+            if p in older:
+                chunks[p] = older[p]
+            elif len(p) > 1 and p[-1] in self.marks and p[-2].isalnum() and not p[0].isspace():
+                marked.append(p)
+                if p[:-1] not in chunks:
+                    plain.add(p[:-1])
+            elif p and not p[0].isspace() and not p[-1].isspace():
+                plain.add(p)
+        for p in plain & older.keys():
+            chunks[p] = older[p]
+            plain.discard(p)
+        if plain:
+            self._learn(list(plain))
+        for p in marked:
+            chunks[p] = chunks[p[:-1]] + self.marks[p[-1]]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.chunks) > CACHED_CHUNKS:  # what is not met again before the next turn is forgotten
             self.older, self.chunks = self.chunks, {}
         parts = [text.split(" ") for text in texts]
-        chunks, older = self.chunks, self.older
-        fresh = {p for some in parts for p in some[1:]}.difference(chunks)
-        chunks.update((p, older[p]) for p in fresh if p in older)
-        fresh = [p for p in fresh if p not in older and p and not p[0].isspace() and not p[-1].isspace()]
-        if fresh:
-            self._learn(fresh)
+        chunks = self.chunks
+        self._learn_all(set(itertools.chain.from_iterable(parts)) - chunks.keys())
+        heads = self._heads({some[0] for some in parts})
         out: list[bytes] = []
         for text, some in zip(texts, parts):
             head = some[0]
             try:
                 if not head or head[-1].isspace():
                     raise KeyError(head)
-                tail = b"".join([chunks[p] for p in some[1:]])
+                tail = b"".join(map(chunks.__getitem__, some[1:]))
             except KeyError:
                 out.append(self._encode(text))
             else:
-                out.append(self._encode(head) + tail)
+                out.append((heads[head] if head in heads else self._encode(head)) + tail)
         return out
 
 
@@ -93,35 +129,62 @@ def _encoder(model: str) -> ChunkEncoder:
     return ChunkEncoder(model)
 
 
+@lru_cache(maxsize=1)
+def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def pack_ids(ids: bytes) -> bytes:
+    """32-bit ids made small for storing and shuffling."""
+    numbers = np.frombuffer(ids, "<u4")
+    wide = len(numbers) > 0 and int(numbers.max()) > 0xFFFF
+    return (b"4" if wide else b"2") + _zstd()[0].compress(ids if wide else numbers.astype("<u2").tobytes())
+
+
+def unpack_ids(packed: bytes) -> np.ndarray:
+    return np.frombuffer(_zstd()[1].decompress(packed[1:]), "<u4" if packed[:1] == b"4" else "<u2")
+
+
 def encode_ids(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", end: int = END) -> DataFrame:
-    """``key`` and ``ids`` (32-bit little-endian, with the end id); ``model`` is the tokenizer's JSON."""
+    """``doc_id``, packed ``ids`` with the end id, and their number ``n``; ``model`` is the tokenizer's JSON.
+
+    Every task ends with a row in which ``tally`` has its count of each id.
+    """
     mark = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(model)
+        encode, total = _encoder(model), np.zeros(0, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 ids = [x + mark for x in encode([t or "" for t in part.column(1).to_pylist()])]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                seen = np.bincount(np.frombuffer(b"".join(ids), "<u4"), minlength=len(total))
+                seen[: len(total)] += total
+                total = seen
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(map(pack_ids, ids), pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                     pa.nulls(len(ids), pa.binary())], names=_ENCODED)
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.binary()), pa.array([None], pa.int64()),
+                                          pa.array([total.astype("<i8").tobytes()], pa.binary())], names=_ENCODED)
+
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text)).mapInArrow(run, ENCODED)
+
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text)).mapInArrow(run, "doc_id long, ids binary")
+ENCODED = "doc_id long, ids binary, n long, tally binary"
+_ENCODED = ["doc_id", "ids", "n", "tally"]
 
 
 def count_ids(encoded: DataFrame) -> DataFrame:
-    """Occurrences of each id; every task sums its own before the shuffle."""
+    """Occurrences of each id over all tasks: one number per id and task is shuffled."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
         for batch in batches:
             for value in batch.column(0):
-                seen = np.bincount(np.frombuffer(value.as_buffer(), "<u4")) if value.is_valid else np.zeros(0, np.int64)
-                if len(seen) > len(total):
-                    total = np.concatenate((total, np.zeros(len(seen) - len(total), np.int64)))
-                total[: len(seen)] += seen
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["id", "n"])
+                total = np.frombuffer(value.as_buffer(), "<i8")
+                found = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["id", "n"])
 
-    return encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    tallies = encoded.filter("tally IS NOT NULL").select("tally")
+    return tallies.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def code_lengths(counts: np.ndarray, most: int = MAX_BITS) -> np.ndarray:
@@ -183,19 +246,25 @@ class Code:
 
     def pack(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bit stream, and the bit length of each run of ids."""
-        sizes = self.lengths[ids].astype(np.int64)
+        sizes = self.lengths[ids]
         if not sizes.all():
             raise ValueError("an id without a code")
+        runs = np.add.reduceat(sizes, np.arange(0, len(ids), RUN), dtype=np.int64) if len(ids) else np.zeros(0, np.int64)
+        # neighbours are joined to words of up to 64 bits, which are then set into the stream
+        words, sizes = self.words[ids].astype(np.uint64), sizes.astype(np.uint64)
+        for _ in range(2 if self.bits <= 16 else 1):
+            if len(words) % 2:
+                words, sizes = np.append(words, np.uint64(0)), np.append(sizes, np.uint64(0))
+            words, sizes = words[::2] << sizes[1::2] | words[1::2], sizes[::2] + sizes[1::2]
         ends = np.cumsum(sizes)
-        starts, words = ends - sizes, self.words[ids]
-        bits = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
-        for j in range(self.bits):
-            some = np.flatnonzero(sizes > j)
-            if not len(some):
-                break
-            bits[starts[some] + j] = words[some] >> (sizes[some] - 1 - j).astype(np.uint32) & 1
-        runs = np.add.reduceat(sizes, np.arange(0, len(ids), RUN)) if len(ids) else np.zeros(0, np.int64)
-        return np.packbits(bits).tobytes(), runs.astype("<u2")
+        starts = ends - sizes
+        stream = np.zeros(int(ends[-1] if len(ends) else 0) // 64 + 2, np.uint64)
+        at, inside = (starts >> np.uint64(6)).astype(np.int64), starts & np.uint64(63)
+        aligned = np.where(sizes > 0, words << (np.uint64(64) - np.maximum(sizes, np.uint64(1))), np.uint64(0))
+        np.bitwise_or.at(stream, at, aligned >> inside)
+        over = inside > 0
+        np.bitwise_or.at(stream, at[over] + 1, aligned[over] << (np.uint64(64) - inside[over]))
+        return stream.astype(">u8").tobytes()[: -(-int(ends[-1] if len(ends) else 0) // 8)], runs.astype("<u2")
 
     def unpack(self, stream: bytes, runs: np.ndarray, n: int) -> np.ndarray:
         """``n`` ids; all runs advance together, one id a step."""
@@ -231,15 +300,15 @@ def write_files(encoded: DataFrame, lengths: np.ndarray, folder: str, n_ids: int
         file: Output | None = None
         rows: list[tuple] = []
         keys: list[int | None] = []
-        ids: list[bytes] = []
+        ids: list[np.ndarray] = []
 
         def flush() -> None:
             nonlocal file
             if file is None:
                 file = Output(new_name(folder, f"ids-{number:06d}", ".huf"))
                 file.write(MAGIC + struct.pack("<I", len(table)) + table)
-            sizes = np.array([len(x) // 4 for x in ids], "<u4")
-            stream, runs = code.pack(np.frombuffer(b"".join(ids), "<u4"))
+            sizes = np.array([len(x) for x in ids], "<u4")
+            stream, runs = code.pack(np.concatenate(ids))
             head = struct.pack("<IQIQ", len(keys), int(sizes.sum()), len(runs), len(stream))
             nulls = np.packbits([k is None for k in keys]).tobytes()
             block = head + np.array([k or 0 for k in keys], "<i8").tobytes() + nulls + sizes.tobytes() + runs.tobytes() + stream
@@ -249,13 +318,14 @@ def write_files(encoded: DataFrame, lengths: np.ndarray, folder: str, n_ids: int
 
         held = 0
         for batch in batches:
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if ids and held + len(value) // 4 > block_ids:
+            for key, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                value = unpack_ids(packed)
+                if ids and held + len(value) > block_ids:
                     flush()
                     held = 0
                 keys.append(key)
                 ids.append(value)
-                held += len(value) // 4
+                held += len(value)
         if ids:
             flush()
         if file is not None:
@@ -263,7 +333,7 @@ def write_files(encoded: DataFrame, lengths: np.ndarray, folder: str, n_ids: int
             yield pa.RecordBatch.from_pylist([dict(zip(_BLOCK, row)) for row in rows], schema=_BLOCK_ARROW)
 
     n_files = max(1, -(-n_ids // file_ids))
-    dealt = (encoded.withColumn("_tie", F.xxhash64("ids")).repartitionByRange(n_files, "doc_id", "_tie")
+    dealt = (encoded.filter("tally IS NULL").select("doc_id", "ids").withColumn("_tie", F.xxhash64("ids")).repartitionByRange(n_files, "doc_id", "_tie")
              .sortWithinPartitions("doc_id", "_tie").select("doc_id", "ids"))
     return dealt.mapInArrow(run, "file_no int, block_no int, path string, offset long, length long, n_docs long, n_ids long")
 
@@ -322,14 +392,16 @@ def read_files(manifest: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids"])
         ranges.close()
 
-    return blocks.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    # a row is a whole block to decode: rows are few, so Spark would put them all in one task
+    dealt = blocks.repartition(max(1, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return dealt.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def write_corpus(spark: SparkSession, docs: DataFrame, model: str, root: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode, count, code and write all texts below ``root``; returns the stored manifest of blocks."""
     stored = f"{root}/encoded"
-    encode_ids(docs, model, key, text).write.option("compression", "zstd").mode("overwrite").parquet(stored)
-    encoded = spark.read.schema("doc_id long, ids binary").parquet(stored)
+    encode_ids(docs, model, key, text).write.mode("overwrite").parquet(stored)
+    encoded = spark.read.schema(ENCODED).parquet(stored)
     # one row per id in use: no more than the vocabulary, whatever the data
     found = count_ids(encoded).collect()
     counts = np.zeros(max((row["id"] for row in found), default=-1) + 1, np.int64)
