@@ -273,19 +273,6 @@ def runs(column: pa.Array, most: int = BATCH_CHARS) -> Iterator[tuple[int, list[
         yield begin, [x or "" for x in column.slice(begin).to_pylist()]
 
 
-def slices(texts: list[str], most: int = BATCH_CHARS) -> Iterator[list[str]]:
-    held: list[str] = []
-    size = 0
-    for text in texts:
-        if held and size + len(text) > most:
-            yield held
-            held, size = [], 0
-        held.append(text)
-        size += len(text)
-    if held:
-        yield held
-
-
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     ends = np.concatenate(([0], np.cumsum([len(a) for a in arrays], dtype=np.int64))).astype(np.int32)
     values = np.concatenate(arrays).astype(np.int32) if arrays else np.zeros(0, np.int32)

@@ -169,7 +169,7 @@ def scan(spark: SparkSession, docs: DataFrame, root: str, rules: Sequence[Rule]
     own = [c for c in docs.columns if c != "spans"]
     # other columns travel as one struct, so none of theirs can clash
     others = [c for c in own if c != text]
-    keyed = docs.select(F.struct(F.lit(0).alias("_none"), *others).alias("_others"), F.col(text).alias("_body"),
+    keyed = docs.select((F.struct(*others) if others else F.lit(0)).alias("_others"), F.col(text).alias("_body"),
                         *[column.alias(name) for name, column in row_keys(key, text).items()])
     asked = [rule for rule in rules if trigram_query(rule)]
     if asked:
