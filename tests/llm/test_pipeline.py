@@ -65,3 +65,12 @@ def test_stages_keep_columns_and_stand_odd_rows(spark):
     texts = [r.text for r in corpus_pipeline.secrets(spark, docs, SF).filter("doc_id = 5").collect()]
     assert texts[0].endswith(" <ACCESS>") and not re.search("AKIA1", texts[0])
     assert last == []
+
+
+def test_one_row_of_each_group_stays(spark):
+    words = [f"word{i}" for i in range(60)]
+    rows = [(1, " ".join(words), "fr"), (1, " ".join(words), "en"), (1, " ".join(words), "en"), (2, " ".join(words + ["end"]), "de"),
+            (1, "another text of its own group", "en"), (3, "", "en"), (3, "", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    kept = sorted((r.doc_id, len(r.text.split()), r.lang) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
+    assert kept == [(1, 6, "en"), (1, 60, "en"), (3, 0, "en"), (3, 0, "en")]
