@@ -197,9 +197,7 @@ def bronze_stream_roundtrip(spark, sf):
 def posts_from_json_array(spark, sf):
     """Posts stored as one JSON array per file."""
     root = scratch(spark, "arrays")
-    posts = _bronze_posts(spark, sf).withColumn("file", F.pmod(F.xxhash64("doc_id"), F.lit(16)))
-    arrays = posts.groupBy("file").agg(F.to_json(F.collect_list(F.struct("url", "selftext", "lang"))).alias("value"))
-    arrays.select("value").repartition(16, "value").write.option("lineSep", "\n").option("maxRecordsPerFile", 1).text(root)
+    S.write_json_arrays(_bronze_posts(spark, sf).select("url", "selftext", "lang"), root)
     return R.read_posts(spark, root, lines=False).groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("selftext")).alias("chars"))
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from opinionlake.functions.timeparts import day_label, week_label
 
+# Most rows and characters of one JSON array; a row that is longer alone is an array of its own.
+ARRAY_ROWS = 10_000
+ARRAY_CHARS = 16_000_000
+
 
 def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
@@ -38,6 +43,36 @@ def write_bronze(df: DataFrame, root: str, table: str, run_ts: str) -> str:
     return path
 
 
+def write_json_arrays(df: DataFrame, path: str) -> str:
+    """All rows as JSON arrays, one per file.
+
+    Tasks write their own rows in arrays of bounded size, so there are more files
+    when there are more rows, and no rows are shuffled.
+    """
+    most_rows, most_chars = ARRAY_ROWS, ARRAY_CHARS
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, chars = [], 0
+
+        def packed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(["[" + ",".join(held) + "]"], pa.string())], names=["value"])
+
+        for batch in batches:
+            for row in batch.column(0):
+                value = row.as_py()
+                if held and (len(held) >= most_rows or chars + len(value) > most_chars):
+                    yield packed()
+                    held, chars = [], 0
+                held.append(value)
+                chars += len(value)
+        if held:
+            yield packed()
+
+    arrays = df.select(F.to_json(F.struct(*df.columns)).alias("value")).mapInArrow(run, "value string")
+    arrays.write.mode("overwrite").option("lineSep", "\n").option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     """CSV with a header; lists and maps are written as JSON text."""
     flat = df.select(*[

@@ -232,3 +232,16 @@ def test_stream_dedup(spark, tmp_path):
     query = stream.writeStream.format("memory").queryName("deduped").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("deduped").count() == 2
+
+
+def test_json_arrays_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    from opinionlake.registry import ingest
+
+    monkeypatch.setattr(ingest, "scratch", lambda _, name: str(tmp_path / name))
+    monkeypatch.setattr(S, "ARRAY_ROWS", 5, raising=False)
+    monkeypatch.setattr(S, "ARRAY_CHARS", 20_000, raising=False)
+    sf = "/root/testdata/sf0.001"
+    assert ingest.posts_from_json_array(spark, sf).agg(F.sum("n")).first()[0] == spark.read.parquet(f"{sf}/documents.parquet").count()
+    files = [path.read_text(encoding="utf-8") for path in (tmp_path / "arrays").glob("part-*")]
+    assert all(1 <= len(json.loads(f)) <= 5 and (len(f) < 20_010 or len(json.loads(f)) == 1) for f in files)
+    assert len(files) >= 40
