@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from opinionlake.llm import bpe, chat, decontam, huffman, jaccard, rules, secret_scan, sharding, warc, wordpiece
+from opinionlake.llm import (
+    alignment, bpe, chat, decontam, huffman, jaccard, ranked, rules, secret_scan, sharding, simhash, warc, wordpiece,
+)
 from opinionlake.registry.base import Query
 from opinionlake.session import scratch_folder
 
@@ -156,6 +158,44 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 """
 
 
+def op11_incidence_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        a_model = file.read()
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        b_model = file.read()
+    found = alignment.align(spark, _table(spark, sf_dir, "documents"), scratch_folder(spark, "alignment"), a_model, b_model)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps")
+
+
+def op12_sliced_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(spark, _table(spark, sf_dir, "documents"), scratch_folder(spark, "simhash"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op13_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_folder(spark, "ranked")
+    ranked.build_index(_table(spark, sf_dir, "documents")).write.parquet(f"{root}/index")
+    return ranked.search(spark, spark.read.parquet(f"{root}/index"), _table(spark, sf_dir, "benchmark"), root)
+
+
+# Every document that shares a term with an item is scored.
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+s AS (SELECT count(*) FILTER (len(ws) > 0) AS docs, sum(len(ws))::BIGINT AS terms FROM d),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d) GROUP BY r, term),
+f AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM t, s GROUP BY term),
+m AS (SELECT r, doc_id, 25 + (75 * len(ws)::BIGINT * docs) // terms AS m FROM d, s WHERE len(ws) > 0),
+i AS (SELECT q, item_id, term, count(*) AS k FROM (SELECT q, item_id, unnest(ws) AS term FROM b) GROUP BY q, item_id, term),
+x AS (SELECT q, item_id, r, doc_id, sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM i JOIN f USING (term) JOIN t USING (term) JOIN m USING (r) GROUP BY q, item_id, r, doc_id),
+o AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o WHERE rank <= 10
+"""
+
+
 QUERIES = (
     Query("op1_huffman_files", op1_huffman_files),
     Query("op2_piece_counts", op2_piece_counts),
@@ -167,6 +207,9 @@ QUERIES = (
     Query("op8_byte_bpe", op8_byte_bpe),
     Query("op9_virtual_slots", op9_virtual_slots),
     Query("op10_decontamination", op10_decontamination, OP10_SQL),
+    Query("op11_incidence_alignment", op11_incidence_alignment),
+    Query("op12_sliced_simhash", op12_sliced_simhash),
+    Query("op13_max_sketch_search", op13_max_sketch_search, OP13_SQL),
     Query("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 )
 
