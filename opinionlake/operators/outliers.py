@@ -12,10 +12,10 @@ from opinionlake.operators.quantiles import group_lookup, median, quantiles
 
 
 def iqr_bounds(df: DataFrame, value: str, by: Sequence[str] = (), k: float = IQR_FACTOR,
-               small_domain: bool = False, few_groups: bool = False) -> DataFrame:
+               small_domain: bool = False) -> DataFrame:
     """Per group: n, q1, q3, iqr, lower, upper."""
     q1, q3 = F.get("q", F.lit(0)), F.get("q", F.lit(1))
-    return (quantiles(df, value, [0.25, 0.75], by, small_domain, few_groups)
+    return (quantiles(df, value, [0.25, 0.75], by, small_domain)
             .select(*by, "n", q1.alias("q1"), q3.alias("q3"))
             .withColumn("iqr", F.col("q3") - F.col("q1"))
             .withColumn("lower", F.col("q1") - k * F.col("iqr"))
@@ -29,7 +29,7 @@ def cap_outliers(df: DataFrame, values: Sequence[str], by: Sequence[str] = (), s
     """
     stacked = df.select(*by, F.inline(F.array(*[
         F.struct(F.lit(v).alias("_column"), F.col(v).cast("double").alias("_value")) for v in values])))
-    bounds = iqr_bounds(stacked, "_value", [*by, "_column"], small_domain=small_domain, few_groups=not by)
+    bounds = iqr_bounds(stacked, "_value", [*by, "_column"], small_domain=small_domain)
     wide = bounds.groupBy(*by).agg(*[
         F.max(F.when(F.col("_column") == v, F.struct("lower", "upper"))).alias(f"_b_{v}") for v in values])
     if by:
@@ -62,7 +62,7 @@ def outlier_stats(df: DataFrame, checks: Mapping[str, Column | None], k: float =
     stacked = df.select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("column_name"), value(name, where).alias("v")) for name, where in checks.items()
     ]))).filter(F.col("v").isNotNull())
-    bounds = iqr_bounds(stacked, "v", ["column_name"], k, few_groups=True)
+    bounds = iqr_bounds(stacked, "v", ["column_name"], k)
     placed = stacked.join(F.broadcast(bounds.drop("n")), "column_name")
     parts = ["q1", "q3", "iqr", "lower", "upper"]
     return (placed.groupBy("column_name")

@@ -2,99 +2,124 @@
 
 The built-in ``percentile`` keeps every distinct value of a group in one hash
 map.  That is fine when the values come from a small domain (text lengths, token
-counts, whole minutes) and is used there (``small_domain=True``).  For free
-numbers the quantile is narrowed first: a fixed-size sketch brackets the wanted
-rank, rows below the bracket are only counted, and the exact value is picked
-among the distinct values inside it.
+counts, whole minutes) and is used there (``small_domain=True``).
+
+Free numbers are selected by their bits.  A double is read as a whole number of 64
+bits in the same order.  A round counts the rows of all groups by the next 16 bits
+behind the prefixes that hold a wanted rank, and each rank moves on to the prefix it
+falls into.  So a group, whatever its size, sends at most 65,536 counts of a prefix,
+and after four rounds, or as soon as a prefix has a single value, the ranks' values
+are known.  All groups take the same steps.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-# The sketch errs by at most 1/ACCURACY of the rows; the bracket is ten times wider.
-# A group of at most ACCURACY rows is not narrowed: its bracket is the whole group.
-ACCURACY = 100_000
+from opinionlake.session import stored
 
+DIGIT = 16
+_SALTS = 16
+_SIGN = -(1 << 63)
 
-def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), small_domain: bool = False,
-              few_groups: bool = False, accuracy: int = ACCURACY) -> DataFrame:
+
+def ordered_bits(value: Column) -> Column:
+    """The 64 bits of a double as a number that, read without sign, is ordered like the doubles; NaN comes last."""
+    size = F.abs(value)
+    near = F.floor(F.log2(size))
+    # the logarithm can be off by one next to a power of two
+    exponent = F.greatest(F.lit(-1022), F.when(F.pow(F.lit(2.0), near) > size, near - 1).when(F.pow(F.lit(2.0), near + 1) <= size, near + 1)
+                          .otherwise(near))
+    fraction = (size / F.pow(F.lit(2.0), exponent) * float(1 << 52)).cast("long")
+    bits = (F.when(F.isnan(value), F.lit((2047 << 52) + 1)).when(size == math.inf, F.lit(2047 << 52)).when(size == 0, F.lit(0))
+            .otherwise((exponent + 1022) * F.lit(1 << 52) + fraction))
+    return F.when(value < 0, F.bitwise_not(bits.bitwiseOR(F.lit(_SIGN)))).otherwise(bits.bitwiseOR(F.lit(_SIGN)))
+
+
+def _prefix(digits: int) -> Column:
+    return F.shiftrightunsigned(ordered_bits(F.col("_v")), 64 - DIGIT * digits)
+
+
+def _cells(rows: DataFrame, by: Sequence[str], digits: int) -> DataFrame:
+    """The prefixes met in each group in order, with their rows and extreme values; at most 65,536 of them."""
+    counted = rows.groupBy(*by, _prefix(digits).alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    # prefixes are compared without sign
+    cell = F.struct(F.col("cell").bitwiseXOR(F.lit(_SIGN)).alias("order"), "cell", "n", "lo", "hi")
+    return counted.groupBy(*by).agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+
+
+def _advance(cells: Column, rank: Column) -> Column:
+    """(before, upto, cell): the prefix that holds a rank, and the rows before it and up to its end."""
+    none = F.struct(F.lit(0).cast("long").alias("before"), F.lit(0).cast("long").alias("upto"), F.get(cells, F.lit(0)).alias("cell"))
+
+    def step(state: Column, cell: Column) -> Column:
+        return F.when(state["upto"] > rank, state).otherwise(
+            F.struct(state["upto"].alias("before"), (state["upto"] + cell["n"]).alias("upto"), cell.alias("cell")))
+
+    return F.aggregate(cells, none, step)
+
+
+def _moved(targets: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Targets with the prefix that their rank falls into."""
+    moved = targets.withColumn("at", _advance(F.col("cells"), F.col("rank")))
+    return moved.select(*keep, (F.col("rank") - F.col("at.before")).alias("rank"), F.col("at.cell.cell").alias("prefix"),
+                        F.col("at.cell.lo").alias("lo"), F.col("at.cell.hi").alias("hi"))
+
+
+def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), small_domain: bool = False) -> DataFrame:
     """One row per group that has values: ``n`` non-null values and ``q``, one quantile per probability.
 
-    ``few_groups`` says that the number of groups is fixed by the code (a list of
-    columns, no grouping at all), so the per-group sketches may be broadcast.
+    The values and, after each round, one row per group and rank are stored below the scratch folder.
     """
     by = list(by)
     base = df.select(*by, F.col(value).cast("double").alias("_v"))
     if small_domain:
         return base.groupBy(*by).agg(
             F.count("_v").alias("n"), F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("q")).filter("n > 0")
-    if not by:
-        # one group, under a key that the optimizer does not fold away
-        keyed = base.select(F.inline(F.array(F.struct(F.lit(0).alias("_g"), "_v"))))
-        return quantiles(keyed, "_v", probs, ["_g"], few_groups=True, accuracy=accuracy).drop("_g")
-
-    margin = 10 / accuracy
-    marks = [m for p in probs for m in (max(p - margin, 0.0), min(p + margin, 1.0))]
-    sketch = base.groupBy(*by).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", F.array(*[F.lit(m) for m in marks]), F.lit(accuracy)).alias("_m"),
-    )
-    values = base.filter(F.col("_v").isNotNull())
-    placed = same_group_join(values, F.broadcast(sketch), by) if few_groups else group_lookup(values, sketch, by)
-
-    narrowed = F.col("_n") > accuracy
-
-    def cell(i: int, p: float) -> Column:
-        low, high = F.get(F.col("_m"), F.lit(2 * i)), F.get(F.col("_m"), F.lit(2 * i + 1))
-        # null key: below the bracket; rows above it only matter to later ranks and are dropped
-        below, above = narrowed & (F.col("_v") < low), narrowed & (F.col("_v") > high)
-        return F.when(~above, F.struct(
-            F.lit(i).alias("i"),
-            F.when(~below, F.col("_v")).alias("key"),
-            F.col("_n").alias("n"),
-        ))
-
-    cells = (placed
-             .select(*by, F.explode(F.array_compact(F.array(*[cell(i, p) for i, p in enumerate(probs)]))).alias("c"))
-             .groupBy(*by, "c.i", "c.key").agg(F.count(F.lit(1)).alias("cnt"), F.max("c.n").alias("n")))
-    at = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1) * (F.col("n") - 1)
-    upto = F.sum("cnt").over(
-        Window.partitionBy(*by, "i").orderBy(F.col("key").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    picked = cells.withColumns({"upto": upto, "pos": at}).groupBy(*by, "i").agg(
-        F.max("n").alias("n"), F.max("pos").alias("pos"),
-        F.max(F.when(F.col("key").isNull(), F.col("upto"))).alias("below"),
-        F.min(F.when(F.col("upto") > F.floor("pos"), F.col("key"))).alias("lo"),
-        F.min(F.when(F.col("upto") > F.ceil("pos"), F.col("key"))).alias("hi"),
-    )
-    held = F.col("hi").isNotNull() & (F.coalesce(F.col("below"), F.lit(0)) <= F.floor("pos"))
-    exact = F.when(held, F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))).otherwise(
-        F.raise_error(F.lit("quantile bracket missed the wanted rank; raise the accuracy")).cast("double"))
-    return picked.withColumn("x", exact).groupBy(*by).agg(
-        F.max("n").alias("n"), F.array(*[F.max(F.when(F.col("i") == i, F.col("x"))) for i in range(len(probs))]).alias("q"))
-
-
-# Up to so many groups their results are put into the plan, from where Spark broadcasts them.
-KNOWN_GROUPS = 50_000
-_SALTS = 32
+    keys = [f"_k{i}" for i in range(max(len(by), 1))]
+    named = [F.col(c).alias(k) for c, k in zip(by, keys)] or [F.lit(0).alias("_k0")]
+    rows = stored(base.filter(F.col("_v").isNotNull()).select(*named, "_v"), "quantiles")
+
+    first = _cells(rows, keys, 1).withColumn("n", F.aggregate("cells", F.lit(0).cast("long"), lambda s, c: s + c["n"]))
+    ranks = [F.struct(F.lit(2 * i + side).alias("i"), turn(F.lit(float(p)) * (F.col("n") - 1)).cast("long").alias("rank"))
+             for i, p in enumerate(probs) for side, turn in enumerate((F.floor, F.ceil))]
+    targets = first.select("*", F.inline(F.array(*ranks)))
+    open_ones = F.col("lo") < F.col("hi")
+    state = stored(_moved(targets, [*keys, "n", "i"]), "quantiles")
+    for digits in range(2, 64 // DIGIT + 1):
+        if not state.filter(open_ones).limit(1).count():
+            break
+        wanted = state.filter(open_ones).select(*keys, "prefix").distinct()
+        met = salted_join(rows.withColumn("prefix", _prefix(digits - 1)), wanted, [*keys, "prefix"], "inner")
+        joined = same_group_join(state.filter(open_ones).drop("lo", "hi"), _cells(met, [*keys, "prefix"], digits), [*keys, "prefix"], "inner")
+        state = stored(_moved(joined, [*keys, "n", "i"]).unionByName(state.filter(~open_ones)), "quantiles")
+
+    at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+    value_of = [F.max(F.when(F.col("i") == i, F.col("lo"))) for i in range(2 * len(probs))]
+    # equal ends are taken as they are, so infinities stay what they are
+    between = [F.when(F.col(f"_{2 * i}") == F.col(f"_{2 * i + 1}"), F.col(f"_{2 * i}")).otherwise(
+        F.col(f"_{2 * i}") + (F.col(f"_{2 * i + 1}") - F.col(f"_{2 * i}")) * (p - F.floor(p))) for i, p in enumerate(at)]
+    picked = state.groupBy(*keys).agg(F.max("n").alias("n"), *[v.alias(f"_{i}") for i, v in enumerate(value_of)])
+    return picked.select(*[F.col(k).alias(c) for c, k in zip(by, keys)], "n", F.array(*between).alias("q"))
+
+
+def salted_join(rows: DataFrame, groups: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
+    """Join every row with the one record of its group, null equal to null; a large group's rows are dealt to many tasks."""
+    salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS)).cast("int"))
+    spread = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    return same_group_join(salted, spread, [*by, "_salt"], how).drop("_salt")
 
 
 def group_lookup(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Add one row per group to every row of a wide table, null equal to null.
+    """Add one record per group to every row of a wide table, null equal to null.
 
-    The groups' rows are computed once, here.  If they are as few as
-    ``KNOWN_GROUPS`` they are broadcast and the wide rows stay where they are;
-    more of them are joined under a salted key, so a hot group has many tasks.
+    The records are stored first, so Spark knows their size and keeps the wide rows
+    where they are if the records can be broadcast.
     """
-    found = groups.limit(KNOWN_GROUPS + 1).collect()
-    if len(found) <= KNOWN_GROUPS:
-        return same_group_join(rows, F.broadcast(groups.sparkSession.createDataFrame(found, groups.schema)), by)
-    salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS)).cast("int"))
-    spread = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    return same_group_join(salted, spread, [*by, "_salt"]).drop("_salt")
+    return salted_join(rows, stored(groups, "groups"), by)
 
 
 def same_group_join(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:

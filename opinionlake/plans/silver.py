@@ -18,6 +18,7 @@ from opinionlake.operators.conform import conform, drop_null_keys, meta_fields,
 from opinionlake.operators.dedup import dedup_first
 from opinionlake.operators.outliers import cap_outliers, impute_median
 from opinionlake.schemas import SILVER_ARTICLE, SILVER_POST
+from opinionlake.session import stored
 
 BATCH = "bronze_source"
 
@@ -36,7 +37,8 @@ def typed_posts(bronze: DataFrame) -> DataFrame:
 
 def silver_posts(bronze: DataFrame, order: Sequence[str], key: str = "url") -> DataFrame:
     """``order`` names the columns that give the row order inside a file."""
-    kept = drop_null_keys(dedup_first(typed_posts(bronze), [BATCH, key], order), key)
+    # kept rows are read for the bounds and for the result
+    kept = stored(drop_null_keys(dedup_first(typed_posts(bronze), [BATCH, key], order), key), "kept_posts")
     capped = cap_outliers(kept, ["score", "num_comments"], [BATCH])
     cleaned = capped.withColumns({
         "body_text_clean": clean_text(F.col("body_text"), social=True),
@@ -62,7 +64,7 @@ def typed_articles(bronze: DataFrame) -> DataFrame:
 
 
 def silver_articles(bronze: DataFrame, order: Sequence[str], key: str = "url") -> DataFrame:
-    kept = drop_null_keys(dedup_first(typed_articles(bronze), [BATCH, key], order), key)
+    kept = stored(drop_null_keys(dedup_first(typed_articles(bronze), [BATCH, key], order), key), "kept_articles")
     # reading times are whole minutes: the built-in percentile sees few distinct values
     filled = impute_median(kept, "reading_time_min", [BATCH], small_domain=True)
     capped = cap_outliers(filled, ["reading_time_min"], [BATCH], small_domain=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(name: str = "opinionlake", cores: int | str | None = None, **conf: str) -> SparkSession:
@@ -49,3 +49,10 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = "file:/tmp/checkpoints"
     return f"{shared.rstrip('/')}/opinionlake/{name}-{uuid.uuid4().hex}"
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """The frame written once below the shared folder, and read from there."""
+    path = scratch_folder(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

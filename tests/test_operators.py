@@ -1,6 +1,8 @@
 """Operators on small fixtures, hot keys included."""
 
+import math
 import random
+import struct
 from collections import Counter
 
 import numpy as np
@@ -16,7 +18,7 @@ from opinionlake.operators import outliers as O
 from opinionlake.operators import quality as Q
 from opinionlake.operators import tokens as K
 from opinionlake.operators.language import detect_language
-from opinionlake.operators.quantiles import quantiles
+from opinionlake.operators.quantiles import ordered_bits, quantiles
 
 
 def plan(df):
@@ -72,20 +74,50 @@ def test_insert_ignore(spark):
 
 
 # --- quantiles and outliers -------------------------------------------------
-@pytest.mark.parametrize("accuracy", [100, 1000, 100_000])
-@pytest.mark.parametrize("kind", ["normal", "heavy", "ties"])
-def test_quantiles_equal_numpy(spark, kind, accuracy):
-    """Groups above the accuracy are narrowed by the sketch, the others are taken whole."""
+@pytest.mark.parametrize("kind", ["normal", "heavy", "ties", "close", "bits"])
+def test_quantiles_equal_numpy(spark, kind):
+    """Values far apart, repeated, and so close that all 64 bits are needed; one group has 90 % of the rows."""
     rng = random.Random(3)
-    make = {"normal": lambda: rng.gauss(0, 1), "heavy": lambda: rng.paretovariate(0.5), "ties": lambda: float(rng.randint(0, 5))}[kind]
-    data = [(("hot" if i % 3 else f"g{i % 7}"), make() if i % 11 else None) for i in range(6000)]
+    make = {"normal": lambda: rng.gauss(0, 1), "heavy": lambda: rng.paretovariate(0.5), "ties": lambda: float(rng.randint(0, 5)),
+            "close": lambda: 1.0 + rng.randint(-9, 9) * 2.0 ** -53, "bits": lambda: rng.choice([-1, 1]) * 2.0 ** rng.randint(-1074, 1023)}[kind]
+    data = [(("hot" if i % 10 else f"g{i % 70}"), make() if i % 11 else None) for i in range(6000)] + [(None, 1.5), (None, 2.5), ("none", None)]
     df = spark.createDataFrame(data, "g string, v double").repartition(8)
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    got = {r.g: r for r in quantiles(df, "v", probs, ["g"], accuracy=accuracy).collect()}
-    for group in {g for g, _ in data}:
-        values = [v for g, v in data if g == group and v is not None]
+    got = {r.g: r for r in quantiles(df, "v", probs, ["g"]).collect()}
+    assert set(got) == {g for g, _ in data} - {"none"}
+    for group in got:
+        values = sorted(v for g, v in data if g == group and v is not None)
         assert got[group].n == len(values)
-        assert got[group].q == pytest.approx(list(np.quantile(values, probs)), rel=1e-12, abs=1e-12)
+        # numpy interpolates in another order of operations
+        at = [p * (len(values) - 1) for p in probs]
+        want = [values[math.floor(x)] + (values[math.ceil(x)] - values[math.floor(x)]) * (x - math.floor(x)) for x in at]
+        assert got[group].q == want
+        assert got[group].q == pytest.approx(list(np.quantile(values, probs)), rel=1e-9, abs=1e-12)
+
+
+def test_ordered_bits_are_those_of_the_double(spark):
+    rng = random.Random(4)
+    values = [struct.unpack("<d", rng.getrandbits(64).to_bytes(8, "little"))[0] for _ in range(3000)]
+    values += [s * math.ldexp(1.0, e) * m for e in range(-1074, 1024, 7) for s in (1, -1) for m in (1.0, 1.0 - 2.0 ** -53, 1.0 + 2.0 ** -52)]
+    values = [v for v in values if v == v] + [0.0, math.inf, -math.inf]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for row in df.select("v", ordered_bits(F.col("v")).alias("b")).collect():
+        bits = struct.unpack("<Q", struct.pack("<d", row.v))[0]
+        assert row.b % (1 << 64) == (bits ^ (1 << 64) - 1 if bits >> 63 else bits | 1 << 63), row.v
+
+
+def test_infinite_and_undefined_values(spark):
+    df = spark.createDataFrame([(v,) for v in (math.nan, math.inf, -math.inf, 0.0, -0.0, 3.0, math.inf)], "v double")
+    q = quantiles(df, "v", [0.0, 1 / 6, 0.5, 2 / 3, 1.0]).first().q
+    assert q[:4] == [-math.inf, 0.0, 3.0, math.inf] and math.isnan(q[4])
+
+
+def test_a_large_group_sends_counts_only(spark):
+    """Rows of one group go to as many tasks as there are salts, and each round shuffles counts, not rows."""
+    df = spark.range(200_000).select(F.lit("hot").alias("g"), F.xxhash64("id").cast("double").alias("v"))
+    row = quantiles(df, "v", [0.5], ["g"]).first()
+    values = sorted(r.v for r in df.collect())
+    assert row.q == [values[99_999] + (values[100_000] - values[99_999]) * 0.5]
 
 
 def test_quantiles_edges(spark):
