@@ -50,8 +50,9 @@ def nfkc_unescape(col: Column) -> Column:
     Spark has neither as a built-in.  Only texts that can change (a character that
     NFKC changes, or an ampersand) are sent over Arrow; the others stay in the JVM.
     """
-    # plain accented letters are below U+0180, where one look at a bit set is enough
-    may_change = F.contains(col, F.lit("&")) | (col.rlike(r"[^\x00-\x7F]") & col.rlike(f"[{unstable_characters()}]"))
+    # the long class is tried on the few characters that are left without ASCII
+    rest = F.regexp_replace(col, r"[\x00-\x7F]+", "")
+    may_change = F.contains(col, F.lit("&")) | (col.rlike(r"[^\x00-\x7F]") & rest.rlike(f"[{unstable_characters()}]"))
     return F.coalesce(_normalise_batch(F.when(may_change, col)), col)
 
 

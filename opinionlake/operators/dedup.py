@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opinionlake.functions.numbers import pct
+from opinionlake.session import stored
 
 Keys = str | Sequence[str]
 
@@ -62,12 +63,13 @@ def dedup_stats(before: DataFrame, after: DataFrame) -> DataFrame:
 def insert_ignore(existing: DataFrame, new: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
     """The rows of ``new`` whose key the table does not hold; the first row of a repeated key wins.
 
-    Only the key column of ``existing`` is read.  It is first cut down to keys
-    that occur in the batch; Spark broadcasts the batch keys when their measured
-    size allows it and shuffles both sides otherwise, so neither side has to be
-    small.  The result of that cut is never larger than the batch.
+    The first rows are stored once.  Only the key column of ``existing`` is read.
+    It is first cut down to keys that occur in the batch; Spark broadcasts the batch
+    keys when their measured size allows it and shuffles both sides otherwise, so
+    neither side has to be small.  The result of that cut is never larger than the
+    batch.  ``sources.keyed`` opens fewer files of a stored table.
     """
-    fresh = dedup_first(new.filter(F.col(key).isNotNull()), key, order)
+    fresh = stored(dedup_first(new.filter(F.col(key).isNotNull()), key, order), "fresh")
     batch_keys = fresh.select(key)
     present = existing.select(key).join(batch_keys, key, "left_semi").distinct()
     return fresh.join(present, key, "left_anti")

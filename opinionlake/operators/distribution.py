@@ -54,20 +54,21 @@ def volume(df: DataFrame, by: Sequence[str], name: str = "n_records") -> DataFra
 def volume_by_period(df: DataFrame, ts: str, by: str, grain: str, groups: Sequence[str] | None = None) -> DataFrame:
     """Rows per period and source plus a total, zero where a source is silent in an observed period.
 
-    The counts of one period are gathered in a map (one entry per source) and
-    spread over the list of sources: no scaffold join.
+    Every source, however many there are, gets a row for each observed period; the
+    counts are joined to those rows by period and source.  Only the observed periods,
+    days at most, are gathered in a list.
     """
     rows = df.filter(F.col(ts).isNotNull()).select(period_label(F.col(ts), grain).alias("period"), F.col(by).alias("source"))
     counts = rows.groupBy("period", "source").agg(F.count(F.lit(1)).alias("n"))
-    per_period = counts.groupBy("period").agg(
-        F.map_from_entries(F.collect_list(F.when(F.col("source").isNotNull(), F.struct("source", "n")))).alias("m"),
-        F.sum("n").alias("total"))
-    names = (F.array(*[F.lit(g) for g in groups]) if groups is not None
-             else df.filter(F.col(ts).isNotNull()).agg(F.sort_array(F.collect_set(by))).scalar())
-    spread = per_period.withColumn("_names", F.array_append(names, "all")).select(
-        "period", F.explode("_names").alias("source"), "m", "total")
-    counted = F.when(F.col("source") == "all", F.col("total")).otherwise(F.try_element_at("m", F.col("source")))
-    return spread.select("period", "source", F.coalesce(counted, F.lit(0)).alias("n_records"))
+    periods = counts.agg(F.collect_set("period")).scalar()
+    if groups is None:
+        sources = counts.filter(F.col("source").isNotNull()).select("source").distinct()
+    else:
+        sources = df.sparkSession.createDataFrame([(g,) for g in groups], "source string")
+    spine = sources.select("source", F.explode(periods).alias("period"))
+    filled = spine.join(counts, ["period", "source"], "left").select("period", "source", F.coalesce("n", F.lit(0)).alias("n_records"))
+    total = counts.groupBy("period").agg(F.sum("n").alias("n_records")).select("period", F.lit("all").alias("source"), "n_records")
+    return filled.unionByName(total)
 
 
 def compare_sources(df: DataFrame, by: str = "source", key: str = "url", score: str = "vader_compound",

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from opinionlake import fixed
-from opinionlake.functions.numbers import pct, share
+from opinionlake.functions.numbers import pct, share, verdict_class
 from opinionlake.operators.dedup import key_counts
 from opinionlake.operators.language import looks_spanish
-from opinionlake.operators.outliers import outlier_stats
+from opinionlake.operators.outliers import iqr_bounds, outlier_stats
+from opinionlake.operators.quantiles import group_lookup, same_group_join
 from opinionlake.operators.quality import TIME_COLUMNS, compliance_columns, null_rate, schema_compliant, time_columns
 
 OUTLIER_CHECKS = {"reading_time_min": fixed.ARTICLES, "score": fixed.POSTS, "num_comments": fixed.POSTS}
@@ -107,6 +108,70 @@ def governance_columns(sources: Sequence[str] = fixed.SOURCES, outliers: dict[st
     ]
 
 
+# --- any sources ------------------------------------------------------------
+def source_records(df: DataFrame, by: str = "source", lineage: str = "bronze_source", expected: int = fixed.EXPECTED_RUNS,
+                   outliers: Sequence[str] = tuple(OUTLIER_CHECKS)) -> DataFrame:
+    """The KPIs of all rows together (``is_total``) and of each source that is found, however many there are.
+
+    Plain aggregates of the whole and of the sources come from one pass with grouping
+    sets over narrow columns; bounds of outliers are the exact quantiles of each
+    source and column.  Rows without a source form a group whose ``source`` is null.
+    """
+    rows, label = F.count(F.lit(1)), F.col("sentiment_label")
+    checked = [c for c in fixed.NULL_CHECKED if c not in ("url", by, lineage)]
+    narrow = df.select(
+        by, lineage, "url", "published_at", "body_text_missing", "token_count", "sentiment_label", "vader_compound",
+        *[F.when(F.col(c).isNotNull(), 1).alias(f"_held_{c}") for c in checked],
+        F.length("body_text_clean").alias("_len"), looks_spanish(F.col("body_text")).alias("_spanish"),
+        schema_compliant(fixed.REQUIRED).alias("_compliant"))
+    spanish, runs = share(F.col("_spanish")), F.count_distinct(lineage)
+    held = {**{c: F.col(f"_held_{c}") for c in checked}, **{c: F.col(c) for c in fixed.NULL_CHECKED if c not in checked}}
+    # the key of rows without one counts once
+    keys = F.count_distinct("url") + F.max(F.when(F.col("url").isNull(), 1).otherwise(0))
+    columns = {
+        "total_records": rows, "body_text_missing_rate": F.round(share(F.col("body_text_missing")), 2),
+        "schema_compliance_rate": F.round(share(F.col("_compliant")), 2), "duplicate_rate": F.round(pct(rows - keys, rows), 2),
+        **time_columns("published_at"),
+        "pct_likely_spanish": F.round(spanish, 2), "pct_likely_english": F.round(100 - spanish, 2),
+        **{f"null_rate_{c}": F.round(share(held[c].isNull()), 2) for c in fixed.NULL_CHECKED},
+        "token_count_mean": F.round(F.avg("token_count"), 2), "token_count_std": F.round(F.stddev_samp("token_count"), 2),
+        "token_count_min": F.min("token_count"), "token_count_max": F.max("token_count"),
+        "text_length_mean": F.round(F.avg("_len"), 2), "text_length_median": F.round(F.percentile("_len", F.lit(0.5)), 2),
+        "text_length_min": F.min("_len"), "text_length_max": F.max("_len"),
+        **{f"n_{v}": F.count(F.when(label == v, 1)) for v in fixed.LABELS}, "n_labelled": F.count(label),
+        "compound_mean": F.round(F.avg("vader_compound"), 4), "compound_std": F.round(F.stddev_samp("vader_compound"), 4),
+        "actual_runs": runs, "expected_runs_weekly": F.lit(expected),
+        "ingestion_compliance": F.round(F.least(runs * F.lit(100.0) / expected, F.lit(100.0)), 2),
+    }
+    grouped = narrow.groupingSets([[], [by]], by).agg((F.grouping(by) == 1).alias("is_total"), *[c.alias(name) for name, c in columns.items()])
+    # on equal counts the alphabetically first label dominates
+    ranked = F.array(*[F.struct(F.col(f"n_{v}").alias("n"), F.lit(-i).alias("o"), F.lit(v).alias("label"))
+                       for i, v in enumerate(sorted(fixed.LABELS))])
+    top, labelled = F.array_max(ranked), F.col("n_labelled")
+    shown = grouped.withColumns({
+        **{f"sentiment_pct_{v}": F.round(pct(F.col(f"n_{v}"), labelled), 2) for v in fixed.LABELS},
+        "dominant": F.when(labelled > 0, top["label"]), "dominant_pct": F.round(pct(top["n"], labelled), 1),
+        "verdict": verdict_class(F.round("compound_mean", 3))}).drop(*[f"n_{v}" for v in fixed.LABELS], "n_labelled")
+    return same_group_join(shown, _outliers_by_source(df, by, outliers), [by, "is_total"]) if outliers else shown
+
+
+def _outliers_by_source(df: DataFrame, by: str, checks: Sequence[str]) -> DataFrame:
+    """Outlier rate and bounds of each checked column, for all rows and for each source."""
+    scopes = F.array(F.struct(F.lit(True).alias("is_total"), F.lit(None).cast(df.schema[by].dataType).alias(by)),
+                     F.struct(F.lit(False).alias("is_total"), F.col(by).alias(by)))
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in checks])
+    values = df.select(F.explode(scopes).alias("scope"), cells.alias("cells")).select("scope.*", F.inline("cells")).filter(F.col("v").isNotNull())
+    group = [by, "is_total", "column_name"]
+    bounds = iqr_bounds(values, "v", group)
+    flagged = group_lookup(values, bounds, group)
+    counted = flagged.groupBy(*group).agg(
+        F.round(share((F.col("v") < F.col("lower")) | (F.col("v") > F.col("upper"))), 2).alias("rate"),
+        F.round(F.max("lower"), 2).alias("lower"), F.round(F.max("upper"), 2).alias("upper"))
+    return counted.groupBy(by, "is_total").agg(*[
+        F.max(F.when(F.col("column_name") == c, F.col(part))).alias(f"outlier_{name}_{c}")
+        for c in checks for part, name in (("rate", "rate"), ("lower", "iqr_lower"), ("upper", "iqr_upper"))])
+
+
 # --- long form --------------------------------------------------------------
 def kpis_long(gov: DataFrame) -> DataFrame:
     """(metric, text, number): one row per KPI of the one-row record."""

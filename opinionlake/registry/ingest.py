@@ -137,9 +137,9 @@ def flatten_payload(spark, sf):
 
 
 def _split(spark, sf):
-    """A stored table and a batch that overlaps it and repeats keys."""
+    """Stored English documents, and all documents as a batch that overlaps them and repeats keys."""
     d = table(spark, sf, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("key"), "lang")
-    return d.filter(F.col("lang") == "en"), d.filter(F.col("lang") != "fr")
+    return d.filter(F.col("lang") == "en"), d
 
 
 def insert_new(spark, sf):
@@ -314,11 +314,11 @@ best AS (SELECT conv_id, role, lang FROM h QUALIFY row_number() OVER (PARTITION
 SELECT conv_id, 'https://site.example/c/' || conv_id || '/' || role AS url, role AS title, CAST(turn AS VARCHAR) AS score, length(text) AS chars
 FROM first JOIN best USING (conv_id, role) WHERE lang = 'en'"""),
     Query("insert_ignore", insert_new, """
-SELECT doc_id, lang FROM (SELECT * FROM documents WHERE lang <> 'fr' QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1)
-WHERE text NOT IN (SELECT text FROM documents WHERE lang = 'en')"""),
+SELECT doc_id, lang FROM (SELECT * FROM documents WHERE text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1) d
+WHERE NOT EXISTS (SELECT 1 FROM documents e WHERE e.lang = 'en' AND e.text = d.text)"""),
     Query("insert_outcome", insert_outcome, """
 SELECT count(*) AS processed, count(DISTINCT text) FILTER (WHERE NOT en) AS inserted, count(*) - count(DISTINCT text) FILTER (WHERE NOT en) AS skipped
-FROM (SELECT text, text IN (SELECT text FROM documents WHERE lang = 'en') AS en FROM documents WHERE lang <> 'fr')"""),
+FROM (SELECT text, EXISTS (SELECT 1 FROM documents e WHERE e.lang = 'en' AND e.text = d.text) AS en FROM documents d)"""),
     Query("stream_weekly_volume", stream_weekly_volume, """
 SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') || '/' || strftime(date_trunc('week', ts) + INTERVAL 6 DAY, '%Y-%m-%d') AS week,
   event_type, count(*) AS n_records, round(round(avg(value), 4), 3) AS mean_value FROM events GROUP BY ALL"""),

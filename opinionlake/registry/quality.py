@@ -195,6 +195,13 @@ def governance_scoped(spark, sf):
     return _plain_gov(G.governance(C.scope(gold(spark, sf, dedup=False), fixed.POSTS), RUN))
 
 
+def governance_by_source(spark, sf):
+    """The KPIs of all records and of every source found; titles with a D are a source of their own, those with an E have none."""
+    rows = stored_gold(spark, sf)
+    named = F.when(F.startswith("title", F.lit("D")), "forum").when(~F.startswith("title", F.lit("E")), F.col("source"))
+    return _plain_gov(G.source_records(rows.withColumn("source", named)))
+
+
 def _plain_gov(df):
     return df.withColumns({f.name: F.col(f.name).cast("long") for f in df.schema.fields if f.dataType.simpleString() == "int"})
 
@@ -267,6 +274,47 @@ out_{c} AS (SELECT any_value(q1 - 1.5 * (q3 - q1)) AS lo, any_value(q3 + 1.5 * (
   FROM (SELECT {c} FROM {src} WHERE source = '{s}') CROSS JOIN b_{c})""" for c, s in G.OUTLIER_CHECKS.items())
 
 
+def _gov_by_source_sql() -> str:
+    """KPIs per scope: every row stands for itself in its source and in the whole."""
+    def rate(condition: str) -> str:
+        return f"round(avg(CASE WHEN {condition} THEN 100.0 ELSE 0 END), 2)"
+
+    hints = " + ".join(f"(length(sp) - length(replace(sp, '{h}', ''))) // {len(h)}" for h in fixed.SPANISH_HINTS)
+    spanish = f"(coalesce(length(body_text), 0) >= 40 AND ({hints}) >= 4)"
+    weeks, days, n = "count(DISTINCT date_trunc('week', published_at))", "count(DISTINCT CAST(published_at AS DATE))", "length(body_text_clean)"
+    keys, runs = "count(DISTINCT url) + max(CASE WHEN url IS NULL THEN 1 ELSE 0 END)", "count(DISTINCT bronze_source)"
+    count = {v: f"count(*) FILTER (WHERE sentiment_label = '{v}')" for v in fixed.LABELS}
+    best = f"greatest({', '.join(count.values())})"
+    parts = ["CASE WHEN NOT is_total THEN any_value(source) END AS source", "is_total", "count(*) AS total_records", f"{rate('body_text_missing')} AS body_text_missing_rate",
+             f"{rate(' AND '.join(f'{c} IS NOT NULL' for c in fixed.REQUIRED))} AS schema_compliance_rate",
+             f"round((count(*) - ({keys})) * 100.0 / count(*), 2) AS duplicate_rate",
+             "strftime(min(published_at), '%Y-%m-%d') AS first_record_date", "strftime(max(published_at), '%Y-%m-%d') AS last_record_date",
+             "CAST(floor((epoch_us(max(published_at)) - epoch_us(min(published_at))) / 86400000000) AS BIGINT) AS span_days",
+             f"{weeks} AS weeks_covered", f"{days} AS days_covered",
+             f"round(count(*) / {weeks}, 2) AS avg_records_per_week", f"round(count(*) / {days}, 2) AS avg_records_per_day",
+             f"{rate(spanish)} AS pct_likely_spanish", f"round(100 - avg(CASE WHEN {spanish} THEN 100.0 ELSE 0 END), 2) AS pct_likely_english",
+             *[f"{rate(f'{c} IS NULL')} AS null_rate_{c}" for c in fixed.NULL_CHECKED],
+             "round(avg(token_count), 2) AS token_count_mean", "round(stddev_samp(token_count), 2) AS token_count_std",
+             "min(token_count) AS token_count_min", "max(token_count) AS token_count_max", f"round(avg({n}), 2) AS text_length_mean",
+             f"round(quantile_cont({n}, 0.5), 2) AS text_length_median", f"min({n}) AS text_length_min", f"max({n}) AS text_length_max",
+             "round(avg(vader_compound), 4) AS compound_mean", "round(stddev_samp(vader_compound), 4) AS compound_std",
+             f"{runs} AS actual_runs", "7 AS expected_runs_weekly", f"round(least({runs} * 100.0 / 7, 100), 2) AS ingestion_compliance",
+             *[f"round({c} * 100.0 / count(sentiment_label), 2) AS sentiment_pct_{v}" for v, c in count.items()],
+             "CASE " + " ".join(f"WHEN {count[v]} = {best} THEN '{v}'" for v in sorted(fixed.LABELS)) + " END AS dominant",
+             f"round({best} * 100.0 / count(sentiment_label), 1) AS dominant_pct",
+             "CASE WHEN round(avg(vader_compound), 3) >= 0.2 THEN 'optimistic' WHEN round(avg(vader_compound), 3) >= 0.05 THEN 'positive_with_criticism' "
+             "WHEN round(avg(vader_compound), 3) >= -0.05 THEN 'divided' ELSE 'critical' END AS verdict"]
+    for c in G.OUTLIER_CHECKS:
+        low, high = f"{c}_1 - 1.5 * ({c}_3 - {c}_1)", f"{c}_3 + 1.5 * ({c}_3 - {c}_1)"
+        parts += [f"round(count(*) FILTER (WHERE {c} < {low} OR {c} > {high}) * 100.0 / nullif(count({c}), 0), 2) AS outlier_rate_{c}",
+                  f"round(any_value({low}), 2) AS outlier_iqr_lower_{c}", f"round(any_value({high}), 2) AS outlier_iqr_upper_{c}"]
+    quartiles = ", ".join(f"quantile_cont({c}, 0.{25 * k}) OVER (PARTITION BY scope) AS {c}_{k}" for c in G.OUTLIER_CHECKS for k in (1, 3))
+    return f"""SELECT {', '.join(parts)} FROM (SELECT *, {quartiles}, ' ' || lower(body_text) || ' ' AS sp FROM (
+  SELECT *, total AS is_total, CASE WHEN total THEN 't' ELSE coalesce('s' || source, 'n') END AS scope
+  FROM (SELECT * REPLACE (CASE WHEN starts_with(title, 'D') THEN 'forum' WHEN NOT starts_with(title, 'E') THEN source END AS source) FROM gold),
+    (VALUES (true), (false)) v(total))) GROUP BY scope, is_total"""
+
+
 def _category(metric: str) -> str:
     return f"""CASE WHEN {metric} IN ({quoted(fixed.KPI_CORE)}) THEN 'Core' WHEN {metric} LIKE 'null\\_rate\\_%' ESCAPE '\\' THEN 'Completeness'
   WHEN {metric} LIKE 'outlier\\_rate\\_%' ESCAPE '\\' THEN 'Quality'
@@ -408,6 +456,7 @@ FROM (SELECT *, quantile_cont(score, 0.25) OVER b AS s1, quantile_cont(score, 0.
 JOIN (SELECT bronze_source, count(*) - count(DISTINCT url) AS duplicates FROM a GROUP BY bronze_source) USING (bronze_source) GROUP BY bronze_source""",
         "a AS (SELECT * FROM records WHERE source = 'reddit')")),
     Query("governance_row", governance_row, gold_sql(_gov_sql(True), _outlier_ctes())),
+    Query("governance_by_source", governance_by_source, gold_sql(_gov_by_source_sql())),
     Query("governance_scoped", governance_scoped, gold_sql(
         _gov_sql(False), "scoped AS (SELECT * FROM gold WHERE source = 'reddit')," + _outlier_ctes("scoped")).replace(
             "FROM records QUALIFY row_number() OVER (PARTITION BY url ORDER BY bronze_source, doc_id) = 1", "FROM records").replace(

@@ -123,9 +123,11 @@ _TOKEN_SCORE = """SELECT h.token AS keyword, count(*) AS n_mentions, round(avg(v
 
 
 def keywords_scored(spark, sf):
+    """The twenty most frequent terms, and one that no document holds."""
     docs = stored_gold(spark, sf)
-    top = K.top_tokens(docs, k=50)
-    return K.top_terms_scored(top, K.term_sentiment(docs, K.top_n(top, "frequency", 10, "keyword")), 20)
+    top = K.top_n(K.top_tokens(docs, k=50), "frequency", 20, "keyword")
+    terms = top.unionByName(spark.createDataFrame([("-absent-", 0)], "keyword string, frequency long"))
+    return K.top_terms_scored(terms, K.term_sentiment(docs, terms), 21)
 
 
 def token_quality(spark, sf):
@@ -213,8 +215,8 @@ SELECT d.doc_id, count(t.token) AS token_count FROM documents d LEFT JOIN toks t
     Query("token_score", token_score, gold_sql(_TOKEN_SCORE, f"{_TOP20},{_HITS},{_MODES}")),
     Query("keywords_scored", keywords_scored, gold_sql(f"""
 SELECT t.keyword, t.frequency, coalesce(s.sentiment_mode, 'neutral') AS sentiment_mode, coalesce(s.compound_mean, 0.0) AS compound_mean
-FROM (SELECT token AS keyword, count(*) AS frequency FROM toks GROUP BY token ORDER BY frequency DESC, keyword LIMIT 20) t
-LEFT JOIN ({_TOKEN_SCORE}) s USING (keyword)""", f"{_TOP20.replace('LIMIT 20', 'LIMIT 10')},{_HITS},{_MODES}")),
+FROM ((SELECT token AS keyword, count(*) AS frequency FROM toks GROUP BY token ORDER BY frequency DESC, keyword LIMIT 20)
+  UNION ALL SELECT '-absent-', 0) t LEFT JOIN ({_TOKEN_SCORE}) s USING (keyword)""", f"{_TOP20},{_HITS},{_MODES}")),
     Query("token_quality", token_quality, gold_sql("""
 SELECT source, count(*) FILTER (WHERE text_processed = '') AS empty, round(avg(token_count), 1) AS avg_tokens FROM gold GROUP BY source""")),
     Query("detect_language", detect_languages, f"WITH {_DETECT}\nSELECT * FROM detected"),

@@ -7,9 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from opinionlake.functions.timeparts import week_label
-from opinionlake.operators.dedup import insert_ignore
 from opinionlake.schemas import BRONZE_PAGE_TEXT, BRONZE_POST
-from opinionlake.sources.tables import complete_runs, write_table
+from opinionlake.sources.keyed import BUCKETS, insert_absent
 
 
 def stream_posts(spark: SparkSession, path: str, max_files: int | None = None, lines: bool = True) -> DataFrame:
@@ -34,27 +33,23 @@ def with_file_block(stream: DataFrame) -> DataFrame:
                          F.col("_metadata.file_block_start").alias("_file_block"))
 
 
-def insert_batch(target: str, key: str, order: Sequence[str],
-                 transform: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
+def insert_batch(target: str, key: str, order: Sequence[str], transform: Callable[[DataFrame], DataFrame] | None = None,
+                 buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that adds the rows whose key the table lacks.
 
     Every batch owns the folder ``run_ts=batch_<id>``, in the layout of any other
-    stored table, so a table of ``write_table`` can be added to.  A batch that is
+    stored table, so a table of ``write_table`` can be added to.  Only files of the
+    table's key index that may hold a key of the batch are opened.  A batch that is
     repeated after a lost executor or driver compares with the other complete runs
     only and overwrites its own, so the table ends up the same.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         if "_file_block" in batch.columns:
             position = F.struct("_file_block", F.monotonically_increasing_id())
             batch = batch.withColumn("row_order", position).drop("_file_block")
         rows = transform(batch) if transform else batch
         root, _, table = target.rstrip("/").rpartition("/")
-        run = f"batch_{batch_id:012d}"
-        others = [f"{target.rstrip('/')}/run_ts={r}" for r in complete_runs(spark, root, table) if r != run]
-        held = T.StructType([rows.schema[key]])
-        existing = spark.read.schema(held).parquet(*others) if others else spark.createDataFrame([], held)
-        write_table(insert_ignore(existing, rows, key, order).drop("row_order"), root, table, run)
+        insert_absent(rows, root, table, f"batch_{batch_id:012d}", key, order, buckets)
 
     return write
 

@@ -12,6 +12,7 @@ from opinionlake.plans import story
 from opinionlake.plans.gold import gold_base, unify
 from opinionlake.plans.governance import governance, governance_columns, kpi_table
 from opinionlake.plans.silver import silver_articles, silver_posts, typed_articles
+from opinionlake.sources import keyed as K
 from opinionlake.sources import readers as R
 from opinionlake.sources import tables as S
 from opinionlake.streaming import ingest as I
@@ -187,6 +188,47 @@ def test_batches_extend_a_stored_table(spark, tmp_path):
     assert R.read_silver(spark, root, "none", schemas.SILVER_POST).count() == 0
 
 
+def test_a_batch_opens_only_files_that_may_hold_its_keys(spark, tmp_path):
+    root = str(tmp_path)
+    for run in range(3):
+        rows = spark.range(run * 1000, run * 1000 + 1000).select(F.concat(F.lit("k"), "id").alias("url"), "id")
+        K.insert_absent(rows, root, "posts", f"2026010{run}_000000", "url", ["id"], buckets=8)
+    runs = S.complete_runs(spark, root, "posts")
+    asked = spark.createDataFrame([("k1500",), ("new",), ("k1500",)], "url string")
+    known = K.known_keys(asked, root, "posts", runs, "url", 8)
+    opened = known.inputFiles()
+    # 24 key files: the one that holds the key, and few others by chance
+    assert 1 <= len(opened) <= 3 and any("run_ts=20260101_000000" in f for f in opened)
+    assert "k1500" in {r.url for r in known.collect()}
+    scan = known._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<url:string>" in scan and all("/_keys/" in f for f in opened)
+    # nothing is missed: all old keys are found, whatever the batch
+    every = spark.range(0, 3000, 7).select(F.concat(F.lit("k"), "id").alias("url"), "id")
+    K.insert_absent(every, root, "posts", "20260109_000000", "url", ["id"], buckets=8)
+    table = S.read_table(spark, root, "posts")
+    assert table.count() == 3000 and table.filter("run_ts = '20260109_000000'").count() == 0
+
+
+def test_filters_and_lots_of_any_size(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    monkeypatch.setattr(K, "MOST_BITS", 1 << 10)  # too small a filter is only asked in vain
+    monkeypatch.setattr(K, "ASKED_AT_ONCE", 16)
+    first = spark.range(5000).select(F.col("id").alias("k"))
+    K.insert_absent(first.unionByName(first.limit(3)).unionByName(spark.createDataFrame([(None,)], "k long")), root, "t", "1", "k", ["k"], 4)
+    K.insert_absent(spark.range(4000, 6000).select(F.col("id").alias("k")), root, "t", "2", "k", ["k"], 4)
+    K.insert_absent(spark.range(0).select(F.col("id").alias("k")), root, "t", "3", "k", ["k"], 4)
+    counts = {r.run_ts: r.n for r in S.read_table(spark, root, "t").groupBy("run_ts").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"1": 5000, "2": 1000}
+
+
+def test_a_failed_run_leaves_no_keys(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.createDataFrame([("a", 1)], "url string, n int")
+    K.index_run(rows, root, "t", "1", "url")  # lost before the rows were written
+    K.insert_absent(rows, root, "t", "2", "url", ["n"])
+    assert S.read_table(spark, root, "t").count() == 1
+
+
 def test_bronze_round_trip_keeps_every_row(spark, tmp_path):
     rows = spark.createDataFrame([(f"u{i}", "t") for i in range(20)], "url string, title string").repartition(2)
     path = S.write_bronze(rows, str(tmp_path), "posts", "20260101_000000")
