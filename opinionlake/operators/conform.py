@@ -80,7 +80,7 @@ def filter_counts(df: DataFrame, predicate: Column, name: str = "filter") -> tup
 
 
 def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
-    """Attach counters that are filled by whatever action reads ``df`` next."""
+    """Attach counters that are filled by the job that reads ``df`` next; ``write_table`` stores them with the run."""
     seen = Observation(name)
     columns = [F.count(F.lit(1)).alias("rows")] + [m.alias(k) for k, m in metrics.items()]
     return df.observe(seen, *columns), seen

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from opinionlake import fixed
-from opinionlake.operators.conform import keep_language
+from opinionlake.functions.text import is_blank
+from opinionlake.operators.conform import keep_language, observed
 from opinionlake.operators.dedup import dedup_first, insert_counts, insert_ignore
 from opinionlake.operators.html import extract_pages
 from opinionlake.plans.silver import silver_articles, silver_posts
 from opinionlake.registry.base import Query, scratch, table
 from opinionlake.registry.views import sql_clean, values
+from opinionlake.session import stored
 from opinionlake.sources import readers as R
+from opinionlake.sources import runlog
 from opinionlake.sources import tables as S
 from opinionlake.streaming import ingest as I
 
@@ -96,8 +99,40 @@ def snapshot_inventory(spark, sf):
     tables = {"by_type": e.groupBy("event_type").count(), "by_user": e.groupBy("user_id").count()}
     for run in ("20240101_000000", "20240108_000000"):
         S.write_tables(tables, root, run)
-    runs = S.read_table(spark, root, "by_user").groupBy("run_ts").agg(F.count(F.lit(1)).alias("rows"))
-    return runs.withColumn("schema_cols", S.schema_table(S.latest(spark, root, "by_user")).agg(F.count(F.lit(1))).scalar())
+    return S.run_counts(spark, root, "by_user").select("run_ts", "rows", F.col("columns").alias("schema_cols"))
+
+
+def logged_dedup(spark, sf):
+    """Row totals before and after the deduplication, from the logs of two stored tables."""
+    root = scratch(spark, "logged")
+    posts = _bronze_posts(spark, sf).select("url", "lang", "doc_id")
+    S.write_table(posts, root, "before", "20240101_000000", "url")
+    S.write_table(dedup_first(posts, "url", ["doc_id"]), root, "after", "20240101_000000", "url")
+    return S.dedup_counts(spark, root, "before", "after")
+
+
+def runs_by_key_range(spark, sf):
+    """Runs of consecutive events; the log tells which of them hold a wanted range of ids, and only those are read."""
+    root = scratch(spark, "ranges")
+    rows = table(spark, sf, "events").select("event_id", "event_type")
+    first, last = rows.agg(F.min("event_id"), F.max("event_id")).first()
+    part = F.floor((F.col("event_id") - first) * 6 / (last - first + 1))
+    for number in range(6):
+        S.write_table(rows.filter(part == number), root, "events", f"2024010{number + 1}_000000", "event_id")
+    low, high = first, first + (last - first) // 3
+    runs = runlog.runs_between(spark, S.table_path(root, "events"), low, high, "long")
+    wanted = S.read_runs(spark, root, "events", runs).filter(F.col("event_id").between(low, high))
+    return wanted.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def run_counters(spark, sf):
+    """Titles, bodies and rows of each language, counted by the job that writes the table and stored with the run."""
+    root = scratch(spark, "counters")
+    posts = _bronze_posts(spark, sf)
+    held, counted = observed(posts, "presence", bodies=F.count(F.when(~is_blank(F.col("selftext")), 1)), titles=F.count("title"))
+    by_lang = {f"rows_{lang}": F.count(F.when(F.col("lang") == lang, 1)) for lang in ("de", "en", "es", "fr")}
+    S.write_table(held, root, "posts", "20240201_000000", "url", by_lang, {"presence": counted})
+    return S.run_counts(spark, root, "posts").select("rows", F.explode("counters").alias("counter", "n"))
 
 
 def file_stamps(spark, sf):
@@ -153,6 +188,34 @@ def insert_outcome(spark, sf):
 
 
 # --- streaming --------------------------------------------------------------
+_BLOCK_DAYS = 6
+
+
+def stream_first_events(spark, sf):
+    """Events arrive in blocks of days with repeats and late ones; a key is forgotten a block after its event.
+
+    Ids divisible by 5 come again one block later (dropped) and those divisible by 7 seven
+    blocks later (a new event by then).  Ids divisible by 11 arrive five blocks late (dropped).
+    """
+    root = scratch(spark, "first_events")
+    e = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    start = e.agg(F.date_trunc("day", F.min("ts"))).scalar()
+    e = e.withColumn("block", F.floor(F.date_diff("ts", start) / _BLOCK_DAYS).cast("int"))
+
+    def again(divisor: int, blocks: int):
+        moved = F.col("ts") + F.make_dt_interval(F.lit(blocks * _BLOCK_DAYS))
+        return e.filter(F.col("event_id") % divisor == 0).withColumns({"ts": moved, "block": F.col("block") + blocks})
+
+    on_time = e.withColumn("block", F.col("block") + F.when(F.col("event_id") % 11 == 0, 5).otherwise(0))
+    arriving = stored(on_time.unionByName(again(5, 1)).unionByName(again(7, 7)), "arriving")
+    for block in range(arriving.agg(F.max("block")).first()[0] + 1):  # files are taken in the order of their arrival
+        arriving.filter(F.col("block") == block).drop("block").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    files = spark.readStream.schema("event_id long, ts timestamp, event_type string").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    I.run_dedup(files, f"{root}/out", f"{root}/checkpoint", "event_id", "ts", f"{_BLOCK_DAYS} days")
+    return spark.read.parquet(f"{root}/out").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("ids"), F.countDistinct("event_id", "ts").alias("events"))
+
+
 _EVENTS = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType()),
                         T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
 
@@ -297,6 +360,22 @@ SELECT url, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS n_hrefs, le
     Query("snapshot_inventory", snapshot_inventory, """
 SELECT r AS run_ts, (SELECT count(DISTINCT user_id) FROM events) AS rows, 2 AS schema_cols
 FROM (VALUES ('20240101_000000'), ('20240108_000000')) v(r)"""),
+    Query("logged_dedup", logged_dedup, """
+SELECT count(*) AS records_before_dedup, count(DISTINCT text) + max(CASE WHEN text IS NULL THEN 1 ELSE 0 END) AS records_after_dedup,
+  count(*) - records_after_dedup AS duplicates_removed, round((count(*) - records_after_dedup) * 100.0 / count(*), 2) AS duplicate_rate FROM documents"""),
+    Query("runs_by_key_range", runs_by_key_range, """
+SELECT event_type, count(*) AS n FROM events, (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events)
+WHERE event_id BETWEEN lo AND lo + CAST(floor((hi - lo) / 3) AS BIGINT) GROUP BY event_type"""),
+    Query("run_counters", run_counters, """
+SELECT (SELECT count(*) FROM documents) AS rows, counter, n FROM (
+  SELECT 'rows_' || v.lang AS counter, count(d.lang) AS n FROM (VALUES ('de'), ('en'), ('es'), ('fr')) v(lang) LEFT JOIN documents d ON d.lang = v.lang GROUP BY v.lang
+  UNION ALL SELECT 'presence.rows', count(*) FROM documents
+  UNION ALL SELECT 'presence.bodies', count(*) FILTER (WHERE regexp_matches(text, '\\S')) FROM documents
+  UNION ALL SELECT 'presence.titles', count(text) FROM documents)"""),
+    Query("stream_first_events", stream_first_events, """
+WITH e AS (SELECT event_type, event_id, event_id % 11 <> 0 OR event_id % 5 = 0 AS seen, event_id % 7 = 0 AS again FROM events)
+SELECT event_type, count(*) FILTER (WHERE seen) + count(*) FILTER (WHERE again) AS n, count(*) FILTER (WHERE seen OR again) AS ids,
+  count(*) FILTER (WHERE seen) + count(*) FILTER (WHERE again) AS events FROM e GROUP BY event_type"""),
     Query("file_stamps", file_stamps, """
 SELECT event_id, CASE WHEN event_type = 'error' THEN '00000000_000000' ELSE strftime(date_trunc('second', ts), '%Y%m%d_%H%M%S') END AS stamp,
   CASE WHEN event_type = 'error' THEN 'error.parquet' ELSE event_type END AS family FROM events"""),

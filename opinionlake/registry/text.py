@@ -12,9 +12,10 @@ from opinionlake.operators import tokens as K
 from opinionlake.operators.conform import filter_counts, keep_language
 from opinionlake.operators.language import detect_language, language_hint_share
 from opinionlake.operators.sentiment import with_sentiment
-from opinionlake.registry.base import Query, table
+from opinionlake.registry.base import Query, scratch, table
 from opinionlake.registry.views import (RULES, MATCH_WORDS, gold_sql, gold, records, records_sql, scores_cte,
                                         scored, sql_clean, stored_gold, tokens_cte, values)
+from opinionlake.sources.tables import run_counts, write_table
 
 
 def clean_text(spark, sf):
@@ -153,10 +154,13 @@ def language_filter(spark, sf):
 
 
 def filter_outcome(spark, sf):
-    """Kept and skipped rows of the same filter, counted while it runs."""
+    """Kept and skipped rows of the same filter, counted by the job that writes the kept ones."""
+    root = scratch(spark, "filtered")
     tagged = table(spark, sf, "documents").withColumn("detected", detect_language(F.col("text")))
-    kept, _ = filter_counts(tagged, F.col("detected") == "en", "language")
-    return kept.agg(F.count(F.lit(1)).alias("kept"))
+    kept, counted = filter_counts(tagged, F.col("detected") == "en", "language")
+    write_table(kept, root, "english", "20240201_000000", seen={"language": counted})
+    return run_counts(spark, root, "english").select("rows", F.col("counters")["language.kept"].alias("kept"),
+                                                     F.col("counters")["language.skipped"].alias("skipped"))
 
 
 def language_share(spark, sf):
@@ -222,7 +226,9 @@ SELECT source, count(*) FILTER (WHERE text_processed = '') AS empty, round(avg(t
     Query("detect_language", detect_languages, f"WITH {_DETECT}\nSELECT * FROM detected"),
     Query("language_filter", language_filter, f"""WITH {_DETECT}
 SELECT lang, count(*) AS kept FROM documents JOIN detected USING (doc_id) WHERE detected = 'en' GROUP BY lang"""),
-    Query("filter_outcome", filter_outcome, f"WITH {_DETECT}\nSELECT count(*) AS kept FROM detected WHERE detected = 'en'"),
+    Query("filter_outcome", filter_outcome, f"""WITH {_DETECT}
+SELECT count(*) FILTER (WHERE detected = 'en') AS rows, count(*) FILTER (WHERE detected = 'en') AS kept,
+  count(*) FILTER (WHERE detected <> 'en') AS skipped FROM detected"""),
     Query("language_share", language_share, f"""
 SELECT round(avg(CASE WHEN es THEN 100.0 ELSE 0 END), 2) AS pct_likely_spanish,
   round(100 - avg(CASE WHEN es THEN 100.0 ELSE 0 END), 2) AS pct_likely_english

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from opinionlake.operators.dedup import dedup_first
 from opinionlake.session import stored
-from opinionlake.sources.tables import complete_runs, table_path, write_table
+from opinionlake.sources import runlog
+from opinionlake.sources.tables import complete_runs, read_runs, table_path, write_table
 
 BUCKETS = 16
 HASHES = 7
@@ -96,16 +97,11 @@ def index_run(rows: DataFrame, root: str, table: str, run: str, key: str, bucket
     _filter_rows(written).write.mode("overwrite").parquet(_filters_path(root, table, run))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def index_missing(spark: SparkSession, root: str, table: str, key: T.StructField, runs: list[str], buckets: int = BUCKETS) -> None:
     """Index the runs that were written without an index; each is read once."""
     for run in runs:
-        if not _exists(spark, _filters_path(root, table, run)):
-            rows = spark.read.schema(T.StructType([key])).parquet(f"{table_path(root, table)}/run_ts={run}")
+        if not runlog.exists(spark, f"{_filters_path(root, table, run)}/_SUCCESS"):
+            rows = read_runs(spark, root, table, [run], T.StructType([key]))
             index_run(rows, root, table, run, key.name, buckets)
 
 
@@ -154,4 +150,4 @@ def insert_absent(rows: DataFrame, root: str, table: str, run: str, key: str, or
     known = known_keys(fresh, root, table, others, key, buckets)
     new = fresh.join(known.join(fresh.select(key), key, "left_semi").distinct(), key, "left_anti")
     index_run(new, root, table, run, key, buckets)
-    write_table(new.drop("row_order"), root, table, run)
+    write_table(new.drop("row_order"), root, table, run, key)

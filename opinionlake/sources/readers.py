@@ -11,7 +11,7 @@ from opinionlake.functions.text import meta_from_text, post_url
 from opinionlake.operators.conform import conform, keep_language
 from opinionlake.operators.dedup import dedup_first
 from opinionlake.operators.language import detect_language
-from opinionlake.sources.tables import complete_runs, table_path
+from opinionlake.sources.tables import complete_runs, read_runs
 
 _STAMP = r"(\d{8}_\d{6})"
 
@@ -83,17 +83,15 @@ def read_silver(spark: SparkSession, path: str, prefix: str, schema=None) -> Dat
     """All silver files of one source; an empty table when there is none.
 
     Only complete runs are read.  A declared schema fills the columns that older
-    runs lack; without one the columns of all files are merged.
+    runs lack; without one the columns of all runs are merged.
     """
     runs = complete_runs(spark, path, prefix)
     if not runs:
         if schema is None:
             raise FileNotFoundError(f"no run of {prefix} under {path}")
         return spark.createDataFrame([], schema)
-    base = table_path(path, prefix)
-    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
-    table = reader.option("basePath", base).parquet(*[f"{base}/run_ts={run}" for run in runs])
-    return conform(table, schema) if schema is not None else table.withColumn("run_ts", F.col("run_ts").cast("string"))
+    table = read_runs(spark, path, prefix, runs, schema)
+    return conform(table, schema) if schema is not None else table
 
 
 def read_silver_files(spark: SparkSession, path: str, prefix: str, schema=None) -> DataFrame:

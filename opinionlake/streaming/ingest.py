@@ -78,3 +78,15 @@ def weekly_counts(stream: DataFrame, ts: str = "published_at", by: str = "source
 def dedup_stream(stream: DataFrame, key: str = "url", ts: str = "published_at", late: str = "7 days") -> DataFrame:
     """One row per key within the lateness bound; use run_insert for keys that may return at any time."""
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
+
+
+def run_dedup(stream: DataFrame, target: str, checkpoint: str, key: str = "url", ts: str = "published_at", late: str = "7 days") -> None:
+    """Append the first row of each key to a folder of Parquet files, process what is there, then stop.
+
+    A key is remembered until the stream's time has passed its row by ``late``; rows
+    that are later than that are dropped.  Keys and files are kept below
+    ``checkpoint``, so a stopped or lost run goes on where it was.
+    """
+    query = (dedup_stream(stream, key, ts, late).writeStream.format("parquet").outputMode("append")
+             .option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()

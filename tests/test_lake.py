@@ -14,6 +14,7 @@ from opinionlake.plans.governance import governance, governance_columns, kpi_tab
 from opinionlake.plans.silver import silver_articles, silver_posts, typed_articles
 from opinionlake.sources import keyed as K
 from opinionlake.sources import readers as R
+from opinionlake.sources import runlog
 from opinionlake.sources import tables as S
 from opinionlake.streaming import ingest as I
 
@@ -130,6 +131,57 @@ def test_snapshots(spark, tmp_path):
     assert R.inventory_totals(inv).first().files == inv.count() > 0
 
 
+def test_a_lost_commit_leaves_the_old_state(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    S.write_table(spark.range(5), root, "t", "1", "id", {"even": F.count(F.when(F.col("id") % 2 == 0, 1))})
+
+    def lost(*_, **__):
+        raise IOError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(runlog, "commit", lost)
+        with pytest.raises(IOError):
+            S.write_table(spark.range(100), root, "t", "1", "id")
+        with pytest.raises(IOError):
+            S.write_table(spark.range(100), root, "t", "2", "id")
+    assert S.complete_runs(spark, root, "t") == ["1"] and S.latest(spark, root, "t").count() == 5
+    assert S.read_table(spark, root, "t").count() == 5
+    row = S.run_counts(spark, root, "t").first()
+    assert (row.rows, row["columns"], row.key_min, row.key_max, row.counters) == (5, 1, "0", "4", {"even": 3})
+    S.write_table(spark.range(7), root, "t", "1")  # repeated: the last entry counts, and what was left is cleaned away
+    assert S.latest(spark, root, "t").count() == 7 and spark.read.parquet(f"{root}/t/run_ts=1").count() == 7
+
+
+def test_the_log_answers_without_listing_runs(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    for run in range(4):
+        S.write_table(spark.range(run * 10, run * 10 + 10), root, "t", f"r{run}", "id")
+    S.write_table(spark.range(0), root, "t", "r4", "id")
+
+    def never(*_):
+        raise AssertionError("runs were listed")
+
+    monkeypatch.setattr(runlog, "folder_names", never)
+    assert S.complete_runs(spark, root, "t") == [f"r{i}" for i in range(5)]
+    assert S.latest(spark, root, "t").count() == 0
+    assert {r.run_ts: r.rows for r in S.run_counts(spark, root, "t").collect()} == {**{f"r{i}": 10 for i in range(4)}, "r4": 0}
+    assert runlog.runs_between(spark, f"{root}/t", 9, 21, "long") == ["r0", "r1", "r2"]
+    found = S.read_runs(spark, root, "t", ["r1"])
+    assert found.count() == 10 and all("run_ts=r1" in f for f in found.inputFiles())
+
+
+def test_tables_without_a_log_are_adopted(spark, tmp_path):
+    root = str(tmp_path)
+    spark.range(3).write.parquet(f"{root}/t/run_ts=001")
+    (tmp_path / "t" / "run_ts=002").mkdir()
+    assert S.complete_runs(spark, root, "t") == ["001"] and S.latest(spark, root, "t").count() == 3
+    S.write_table(spark.range(4).withColumn("x", F.lit("y")), root, "t", "003")
+    assert S.complete_runs(spark, root, "t") == ["001", "003"]
+    assert {(r.run_ts, r.n, r.x) for r in S.read_table(spark, root, "t").groupBy("run_ts").agg(F.count("*").alias("n"), F.count("x").alias("x")).collect()} == {
+        ("001", 3, 0), ("003", 4, 4)}
+    assert S.dedup_counts(spark, root, "t", "t").first().records_before_dedup == 4
+
+
 def test_gold_and_everything_after(spark, bronze, tmp_path):
     posts = silver_posts(R.read_posts(spark, bronze, lines=False), ["row_order"])
     articles = spark.createDataFrame([("https://n/1", "Mourinho signs a deal", "Ann", "z" * 90, "scraping", "n.json", 3.0)],
@@ -276,6 +328,30 @@ def test_stream_dedup(spark, tmp_path):
     assert spark.table("deduped").count() == 2
 
 
+def test_a_stopped_dedup_stream_goes_on_where_it_was(spark, tmp_path):
+    source, target, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+
+    def arrive(*rows):
+        frame = spark.createDataFrame([(key, f"2026-01-{day:02d} 12:00:00", n) for key, day, n in rows], "url string, ts string, n int")
+        frame.select("url", F.col("ts").cast("timestamp").alias("published_at"), "n").coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = spark.readStream.schema("url string, published_at timestamp, n int").option("maxFilesPerTrigger", 1).parquet(source)
+        I.run_dedup(stream, target, state, late="2 days")
+        return sorted((r.url, r.n) for r in spark.read.parquet(target).collect())
+
+    arrive(("a", 1, 1), ("a", 1, 2), ("b", 1, 3))
+    assert [u for u, _ in run()] == ["a", "b"]
+    arrive(("a", 2, 4), ("c", 3, 5))  # the key is remembered over the restart
+    assert [u for u, _ in run()] == ["a", "b", "c"]
+    arrive(("d", 20, 6))
+    arrive(("e", 20, 7))  # the bound is that of the batch before
+    arrive(("old", 5, 8))
+    arrive(("a", 21, 9), ("d", 21, 10))  # the first key is forgotten by now
+    assert [(u, n) for u, n in run() if n > 4] == [("a", 9), ("c", 5), ("d", 6), ("e", 7)]
+    assert len(run()) == 6  # nothing new
+
+
 def test_json_arrays_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
     from opinionlake.registry import ingest
 
