@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import string
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,6 +17,7 @@ from opinionlake import fixed
 from opinionlake.functions.lookup import let, lookup, member
 from opinionlake.functions.numbers import label
 from opinionlake.functions.text import is_blank, scoring_text, squash, strip
+from opinionlake.operators.quantiles import salted_join
 
 # Distance damping of a degree word one, two and three places before.
 DAMPING = (1.0, 0.95, 0.9)
@@ -24,9 +25,9 @@ DAMPING = (1.0, 0.95, 0.9)
 
 @dataclass(frozen=True)
 class Rules:
-    """Word tables of the scorer."""
+    """Word tables of the scorer.  ``lexicon`` gives the valence of words; it may stay empty where a lexicon table is joined."""
 
-    lexicon: Mapping[str, float] = field(default_factory=lambda: dict(fixed.STARTER_LEXICON))
+    lexicon: Mapping[str, float]
     intensifiers: tuple[str, ...] = fixed.INTENSIFIERS
     dampeners: tuple[str, ...] = fixed.DAMPENERS
     negators: tuple[str, ...] = fixed.NEGATORS
@@ -36,33 +37,46 @@ class Rules:
         return {**{w: fixed.BOOST for w in self.intensifiers}, **{w: -fixed.BOOST for w in self.dampeners}}
 
 
-def read_lexicon(spark: SparkSession, path: str) -> Rules:
-    """Rules with a lexicon file: token, mean valence, then ignored columns, tab-separated.
+def starter_rules() -> Rules:
+    """Rules with a lexicon of some fifty words, for a first look."""
+    return Rules(dict(fixed.STARTER_LEXICON))
+
+
+def lexicon_table(spark: SparkSession, path: str) -> DataFrame:
+    """(word, value) of a lexicon file: token, mean valence, then ignored columns, tab-separated.
 
-    The whole lexicon becomes part of the rules; words that differ in case only share their mean.
+    Words that differ in case only share their mean, whatever the order of the lines.
     """
-    # one value per lower-cased word, whatever the order of the lines
-    rows = (spark.read.option("sep", "\t").option("quote", "").csv(path)
+    return (spark.read.option("sep", "\t").option("quote", "").csv(path)
             .select(F.lower("_c0").alias("word"), F.col("_c1").try_cast("double").alias("value"))
-            .dropna().groupBy("word").agg(F.avg("value").alias("value")).collect())
-    return Rules(lexicon={r["word"]: r["value"] for r in rows})
+            .dropna().groupBy("word").agg(F.avg("value").alias("value")))
+
+
+def read_lexicon(spark: SparkSession, path: str) -> Rules:
+    """Rules that hold a whole lexicon file; a lexicon too large for the plan is joined by ``with_joined_sentiment``."""
+    return Rules({r["word"]: r["value"] for r in lexicon_table(spark, path).collect()})
+
+
+def _bare(low: Column) -> Column:
+    return let(F.btrim(low, F.lit(string.punctuation)), lambda b: F.when(F.length(b) > 2, b).otherwise(low))
+
 
+def _pieces(squashed: Column) -> Column:
+    return F.when(squashed == "", F.array().cast("array<string>")).otherwise(F.split(squashed, " "))
 
-def _words(text: Column, rules: Rules) -> Column:
+
+def _words(text: Column, rules: Rules, values: Column | None) -> Column:
     """Struct of parallel arrays: the words as written, their bare lower-case form, their lexicon value.
 
-    The text is lower-cased once and split in parallel with the original.
+    The text is lower-cased once and split in parallel with the original.  ``values``
+    maps the text's lexicon words to their valence; without it the rules' lexicon is asked.
     """
-    def bare(low: Column) -> Column:
-        return let(F.btrim(low, F.lit(string.punctuation)), lambda b: F.when(F.length(b) > 2, b).otherwise(low))
-
-    def pieces(t: Column) -> Column:
-        return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
+    def value_of(word: Column) -> Column:
+        return lookup(word, rules.lexicon, "double") if values is None else F.try_element_at(values, word)
 
     def arrays(t: Column) -> Column:
-        return let(F.transform(pieces(F.lower(t)), bare), lambda lows: F.struct(
-            pieces(t).alias("raw"), lows.alias("low"),
-            F.transform(lows, lambda w: lookup(w, rules.lexicon, "double")).alias("value")))
+        return let(F.transform(_pieces(F.lower(t)), _bare), lambda lows: F.struct(
+            _pieces(t).alias("raw"), lows.alias("low"), F.transform(lows, value_of).alias("value")))
 
     return let(squash(text), arrays)
 
@@ -162,7 +176,7 @@ def _occurrences(text: Column, mark: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
 
 
-def score_text(text: Column, rules: Rules) -> Column:
+def score_text(text: Column, rules: Rules, values: Column | None = None) -> Column:
     """Struct (compound, pos, neg, neu) of one text."""
     marks = _occurrences(text, "?")
     emphasis = (F.least(_occurrences(text, "!"), F.lit(4)) * fixed.EXCLAMATION
@@ -198,7 +212,7 @@ def score_text(text: Column, rules: Rules) -> Column:
             F.transform(where, lambda i: F.struct(i.alias("i"), _valence(words, i, mixed, rules).alias("v"))),
             lambda hits: let(fold(_contrast(hits, words, text), n_words), lambda t: finish(t, emphasis))))
 
-    return let(_words(text, rules), scored)
+    return let(_words(text, rules, values), scored)
 
 
 def _paragraphs(text: Column, max_chars: int | None) -> Column:
@@ -207,14 +221,12 @@ def _paragraphs(text: Column, max_chars: int | None) -> Column:
     return F.when(F.size(parts) > 0, parts).otherwise(F.array(head))
 
 
-def sentiment(text: Column, is_article: Column, rules: Rules | None = None,
-              max_chars: int | None = None) -> Column:
+def sentiment(text: Column, is_article: Column, rules: Rules, max_chars: int | None = None, values: Column | None = None) -> Column:
     """Struct (compound, pos, neg, neu, label) of a record's scoring text.
 
     Articles: the mean over all paragraphs (of the first ``max_chars`` characters
     only if that is given) and the wider label band.  Other records: one score for the whole text.
     """
-    rules = rules or Rules()
     # a row flag of null counts as "not an article"
     article = F.coalesce(is_article, F.lit(False))
     units = F.when(article, _paragraphs(text, max_chars)).otherwise(F.array(text))
@@ -237,16 +249,39 @@ def sentiment(text: Column, is_article: Column, rules: Rules | None = None,
 
     empty = F.struct(F.lit(0.0).alias("compound"), F.lit(0.0).alias("pos"), F.lit(0.0).alias("neg"),
                      F.lit(1.0).alias("neu"), F.lit("neutral").alias("label"))
-    scores = let(F.transform(units, lambda u: score_text(u, rules)), lambda s: let(mean(s), labelled))
+    scores = let(F.transform(units, lambda u: score_text(u, rules, values)), lambda s: let(mean(s), labelled))
     return F.when(is_blank(text), empty).otherwise(scores)
 
 
-def with_sentiment(df: DataFrame, body: str = "body_text", title: str = "title", source: str = "source",
-                   articles: str = fixed.ARTICLES, rules: Rules | None = None, max_chars: int | None = None) -> DataFrame:
-    """Add vader_compound, vader_pos, vader_neg, vader_neu and sentiment_label."""
-    scored = df.withColumn("_s", sentiment(
-        scoring_text(F.col(body), F.col(title)), F.col(source) == articles, rules, max_chars))
+def with_sentiment(df: DataFrame, rules: Rules, body: str = "body_text", title: str = "title", source: str = "source",
+                   articles: str = fixed.ARTICLES, max_chars: int | None = None, values: str | None = None) -> DataFrame:
+    """Add vader_compound, vader_pos, vader_neg, vader_neu and sentiment_label.
+
+    ``values`` names a map column with the valence of a row's words, in place of the rules' lexicon.
+    """
+    scored = df.withColumn("_s", sentiment(scoring_text(F.col(body), F.col(title)), F.col(source) == articles, rules, max_chars,
+                                           F.col(values) if values else None))
     return scored.withColumns({
         "vader_compound": F.col("_s.compound"), "vader_pos": F.col("_s.pos"), "vader_neg": F.col("_s.neg"),
         "vader_neu": F.col("_s.neu"), "sentiment_label": F.col("_s.label"),
     }).drop("_s")
+
+
+def with_joined_sentiment(df: DataFrame, lexicon: DataFrame, rules: Rules, key: str = "url", body: str = "body_text",
+                          title: str = "title", **options) -> DataFrame:
+    """The same scores with a lexicon table (word, value) of any size, which is joined.
+
+    A record's distinct words meet the lexicon once and come back as a map of the words
+    that have a valence, so only the words of one record ever meet in one group.  A
+    word that most records hold is dealt to many tasks.  Words that the table has more than
+    once have their mean.
+    """
+    table = lexicon.dropna(subset=["word", "value"]).groupBy("word").agg(F.avg("value").alias("value"))
+    words = let(squash(scoring_text(F.col(body), F.col(title))), lambda t: F.array_distinct(F.transform(_pieces(F.lower(t)), _bare)))
+    asked = df.select(F.col(key).alias("_key"), F.explode(words).alias("word"))
+    found = salted_join(asked, table, ["word"], "inner").groupBy("_key").agg(
+        F.map_from_entries(F.collect_set(F.struct("word", "value"))).alias("_values"))
+    joined = df.join(found, df[key].eqNullSafe(found["_key"]), "left").drop("_key")
+    none = F.from_json(F.lit("{}"), "map<string,double>")
+    known = joined.withColumn("_values", F.coalesce("_values", none))
+    return with_sentiment(known, rules, body, title, values="_values", **options).drop("_values")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opinionlake.fixed import (DOMAIN_STOPWORDS, ENGLISH_STOPWORDS, LEMMAS, MIN_LEMMA, SPANISH_STOPWORDS)
-from opinionlake.functions.lookup import lookup, member
+from opinionlake.functions.lookup import let, lookup, member
+from opinionlake.operators.quantiles import salted_join
 
 
 def stop_words(*lists: Iterable[str]) -> tuple[str, ...]:
@@ -29,16 +30,23 @@ def _is_word(piece: Column, base_stop: Iterable[str]) -> Column:
 
 def tokenize(col: Column, base_stop: Iterable[str] = ENGLISH_STOPWORDS,
              lemma_stop: Iterable[str] = DEFAULT_STOP, lemmas: Mapping[str, str] = LEMMAS,
-             min_len: int = MIN_LEMMA) -> Column:
+             min_len: int = MIN_LEMMA, endings: Mapping[str, str] | None = None) -> Column:
     """Text to an array of lemmas, all inside the row.
 
-    Words of the base list go first; the rest are replaced by their lemma
-    (unknown forms stay), and lemmas that are too short or in a stop list go.
+    Words of the base list go first; the rest are replaced by their lemma, and
+    lemmas that are too short or in a stop list go.  Forms without an entry stay, or
+    follow the rule of their longest ending if ``endings`` (of ``ending_rules``) are given.
     """
     words = F.filter(raw_tokens(col), lambda w: _is_word(w, base_stop))
+
+    def unknown(word: Column) -> Column:
+        return by_ending(word, endings) if endings else word
+
     if lemmas:
         # the hash-set test keeps the table scan away from words that have no entry
-        words = F.transform(words, lambda w: F.when(member(w, lemmas), lookup(w, lemmas, "string")).otherwise(w))
+        words = F.transform(words, lambda w: F.when(member(w, lemmas), lookup(w, lemmas, "string")).otherwise(unknown(w)))
+    elif endings:
+        words = F.transform(words, unknown)
     return F.filter(words, lambda w: (F.length(w) >= min_len) & ~member(w, lemma_stop))
 
 
@@ -62,6 +70,50 @@ def one_lemma(table: DataFrame) -> DataFrame:
     return table.select("form", "lemma").dropna().groupBy("form").agg(F.min("lemma").alias("lemma"))
 
 
+LONGEST_ENDING = 5
+MIN_STEM = 3
+
+
+def ending_rules(table: DataFrame, longest: int = LONGEST_ENDING, support: int = 3, share: float = 0.5, most: int = 10_000) -> dict[str, str]:
+    """How forms with an ending become lemmas, learned from a table of (form, lemma).
+
+    A form's edit cuts letters off its end and adds others.  Each ending of up to
+    ``longest`` letters that holds the cut votes for the edit; an ending's rule is its most
+    frequent edit (then the shorter cut, then the letters by name) if at least
+    ``support`` forms and ``share`` of those with the ending agree.  The ``most``
+    best supported rules are returned: number of letters to cut, then what to add.
+    """
+    same = "aggregate(sequence(1, least(length(form), length(lemma))), 0, (n, i) -> if(n = i - 1 AND substring(form, i, 1) = substring(lemma, i, 1), i, n))"
+    edits = one_lemma(table).filter("length(form) > 0 AND length(lemma) > 0").withColumn("same", F.expr(same)).select(
+        "form", (F.length("form") - F.col("same")).alias("cut"), F.expr("substring(lemma, same + 1)").alias("add"))
+    first, last = F.greatest(F.col("cut"), F.lit(1)), F.least(F.length("form") - 1, F.lit(longest))
+    votes = edits.filter((first <= last) & (F.col("cut") < 10)).select("cut", "add", F.explode(
+        F.transform(F.sequence(first, last), lambda n: F.right("form", n))).alias("ending"))
+    counted = votes.groupBy("ending", "cut", "add").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("ending").orderBy(F.desc("n"), "cut", "add")  # no more rows than there are edits
+    best = counted.withColumn("all", F.sum("n").over(Window.partitionBy("ending"))).withColumn("rank", F.row_number().over(order)).filter(
+        (F.col("rank") == 1) & (F.col("n") >= support) & (F.col("n") >= F.col("all") * share))
+    kept = best.orderBy(F.desc("n"), "ending").limit(most).collect()
+    return {r["ending"]: f"{r['cut']}{r['add']}" for r in kept}
+
+
+def by_ending(word: Column, endings: Mapping[str, str], min_stem: int = MIN_STEM) -> Column:
+    """The word by the rule of its longest known ending; a word that keeps too few letters stays as it is."""
+    rule = F.lit(None).cast("string")
+    for size in range(1, max(map(len, endings)) + 1):
+        of_size = {e: r for e, r in endings.items() if len(e) == size}
+        end = F.right(word, F.lit(size))
+        if of_size:
+            rule = F.when((F.length(word) > size) & member(end, of_size), lookup(end, of_size, "string")).otherwise(rule)
+
+    def apply(found: Column) -> Column:
+        stem = F.length(word) - F.substring(found, 1, 1).cast("int")
+        return F.when(found.isNull() | (stem < min_stem), word).otherwise(
+            F.concat(F.left(word, stem), F.substr(found, F.lit(2), F.length(found))))
+
+    return let(rule, apply)
+
+
 def _finish(df: DataFrame, body_tokens: Column, title_tokens: Column) -> DataFrame:
     # the count is taken from the stored text, so the token array is built once
     text = df.withColumns({"text_processed": F.array_join(body_tokens, " "),
@@ -81,7 +133,7 @@ def processed_tokens(col: Column) -> Column:
 
 def _with_joined_lemmas(df: DataFrame, body: str, title: str, lemma_table: DataFrame, key: str,
                         base_stop: Iterable[str] = ENGLISH_STOPWORDS, lemma_stop: Iterable[str] = DEFAULT_STOP,
-                        min_len: int = MIN_LEMMA, **_: object) -> DataFrame:
+                        min_len: int = MIN_LEMMA, endings: Mapping[str, str] | None = None, **_: object) -> DataFrame:
     """The same result for a lemma table of any size.
 
     Distinct forms are resolved once and grouped back per record as a form-to-lemma
@@ -90,14 +142,15 @@ def _with_joined_lemmas(df: DataFrame, body: str, title: str, lemma_table: DataF
     forms = F.array_distinct(F.filter(F.concat(raw_tokens(F.col(body)), raw_tokens(F.col(title))),
                                       lambda w: _is_word(w, base_stop)))
     table = lemma_table.select(F.col("form").alias("_form"), F.col("lemma").alias("_lemma"))
-    known = (df.select(F.col(key).alias("_key"), F.explode(forms).alias("_form")).distinct()
-             .join(table, "_form")
-             .groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("_form", "_lemma"))).alias("_map")))
+    asked = df.select(F.col(key).alias("_key"), F.explode(forms).alias("_form"))
+    # a form that most records hold is dealt to many tasks
+    known = salted_join(asked, table, ["_form"], "inner").groupBy("_key").agg(
+        F.map_from_entries(F.collect_set(F.struct("_form", "_lemma"))).alias("_map"))
     joined = df.join(known, df[key].eqNullSafe(known["_key"]), "left").drop("_key")
 
     def tokens(name: str) -> Column:
         words = F.filter(raw_tokens(F.col(name)), lambda w: _is_word(w, base_stop))
-        words = F.transform(words, lambda w: F.coalesce(F.try_element_at(F.col("_map"), w), w))
+        words = F.transform(words, lambda w: F.coalesce(F.try_element_at(F.col("_map"), w), by_ending(w, endings) if endings else w))
         return F.filter(words, lambda w: (F.length(w) >= min_len) & ~member(w, lemma_stop))
 
     return _finish(joined, tokens(body), tokens(title)).drop("_map")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from opinionlake import fixed
@@ -10,10 +12,10 @@ from opinionlake.functions import text as X
 from opinionlake.functions import timeparts as TP
 from opinionlake.operators import tokens as K
 from opinionlake.operators.conform import filter_counts, keep_language
-from opinionlake.operators.language import detect_language, language_hint_share
-from opinionlake.operators.sentiment import with_sentiment
+from opinionlake.operators.language import detect_by_ngrams, detect_language, language_hint_share, learn_profiles
+from opinionlake.operators.sentiment import with_joined_sentiment, with_sentiment
 from opinionlake.registry.base import Query, scratch, table
-from opinionlake.registry.views import (RULES, MATCH_WORDS, gold_sql, gold, records, records_sql, scores_cte,
+from opinionlake.registry.views import (LEXICON, RULES, MATCH_WORDS, gold_sql, gold, quoted, records, records_sql, scores_cte,
                                         scored, sql_clean, stored_gold, tokens_cte, values)
 from opinionlake.sources.tables import run_counts, write_table
 
@@ -79,7 +81,7 @@ def conversation_scores(spark, sf):
     """Whole-text scoring of every turn."""
     turns = table(spark, sf, "conversations").select(
         "conv_id", "turn", F.col("text").alias("body_text"), F.lit(None).cast("string").alias("title"), F.lit("reddit").alias("source"))
-    return with_sentiment(turns, rules=RULES).select("conv_id", "turn", "vader_compound", "sentiment_label")
+    return with_sentiment(turns, RULES).select("conv_id", "turn", "vader_compound", "sentiment_label")
 
 
 def processed_text(spark, sf):
@@ -139,6 +141,64 @@ def detect_languages(spark, sf):
     return table(spark, sf, "documents").select("doc_id", detect_language(F.col("text")).alias("detected"))
 
 
+def tokens_by_ending(spark, sf):
+    """Lemmas of unknown forms by rules learned from the lemma table."""
+    rules = K.ending_rules(spark.createDataFrame(list(fixed.LEMMAS.items()), "form string, lemma string"))
+    docs = table(spark, sf, "documents").select("doc_id", X.clean_text(F.col("text"), social=True).alias("body_text_clean"), F.lit("").alias("title_clean"))
+    return K.with_tokens(docs, endings=rules).select("doc_id", "text_processed", F.col("token_count").cast("long").alias("token_count"))
+
+
+_ENDINGS_SQL = f"""WITH lem(form, lemma) AS (VALUES {values(fixed.LEMMAS.items())}),
+edits AS (SELECT form, lemma, list_max(list_filter(range(0, least(length(form), length(lemma)) + 1), lambda i: form[:i] = lemma[:i])) AS same FROM lem),
+votes AS (SELECT right(form, n::INTEGER) AS ending, length(form) - same AS cut, lemma[same + 1:] AS add
+  FROM (SELECT *, unnest(range(greatest(length(form) - same, 1), least(length(form) - 1, 5) + 1)) AS n FROM edits)),
+counted AS (SELECT ending, cut, add, count(*) AS n FROM votes GROUP BY ALL),
+rules AS (SELECT * FROM (SELECT *, sum(n) OVER (PARTITION BY ending) AS total, row_number() OVER (PARTITION BY ending ORDER BY n DESC, cut, add) AS k FROM counted)
+  WHERE k = 1 AND n >= 3 AND n >= total * 0.5),
+docs AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM (SELECT doc_id, string_split({sql_clean('text')}, ' ') AS ws FROM documents)),
+kept AS (SELECT * FROM docs WHERE regexp_full_match(w, '\\p{{L}}+') AND w NOT IN ({quoted(fixed.ENGLISH_STOPWORDS)})),
+forms AS (SELECT DISTINCT w FROM kept),
+fits AS (SELECT w, cut, add FROM forms JOIN rules ON length(w) > length(ending) AND right(w, length(ending)::INTEGER) = ending
+  QUALIFY row_number() OVER (PARTITION BY w ORDER BY length(ending) DESC) = 1),
+lemmas AS (SELECT w, coalesce(lemma, CASE WHEN length(w) - cut >= 3 THEN left(w, (length(w) - cut)::INTEGER) || add END, w) AS token
+  FROM forms LEFT JOIN lem ON form = w LEFT JOIN fits USING (w)),
+toks AS (SELECT doc_id, pos, token FROM kept JOIN lemmas USING (w) WHERE length(token) >= 3 AND token NOT IN ({quoted(K.DEFAULT_STOP)}))
+SELECT d.doc_id, coalesce(string_agg(token, ' ' ORDER BY pos), '') AS text_processed, count(token) AS token_count FROM documents d LEFT JOIN toks USING (doc_id) GROUP BY d.doc_id"""
+
+
+def joined_lexicon_scores(spark, sf):
+    """Scores with the lexicon as a table that is joined; the rules hold no word of it."""
+    lexicon = spark.createDataFrame(list(LEXICON.items()), "word string, value double")
+    out = with_joined_sentiment(records(spark, sf), lexicon, replace(RULES, lexicon={}))
+    return out.select("doc_id", "vader_compound", "vader_pos", "vader_neg", "vader_neu", "sentiment_label")
+
+
+def detect_language_ngrams(spark, sf):
+    """Profiles of a bounded sample of the labelled documents, applied to the first line of every document."""
+    docs = table(spark, sf, "documents")
+    profiles = learn_profiles(docs, most=100)
+    line = F.substring_index("text", "\n", 1)
+    return docs.select("doc_id", detect_by_ngrams(line, profiles).alias("detected"))
+
+
+_NGRAM_DETECT = """
+WITH t AS (SELECT doc_id, lang, trim(regexp_replace(lower(text), '\\P{L}+', ' ', 'g')) AS whole,
+  trim(regexp_replace(lower(split_part(text, chr(10), 1)), '\\P{L}+', ' ', 'g')) AS line FROM documents),
+c AS (SELECT doc_id, lang, list_transform(string_split(' ' || whole || ' ', ''), lambda x: unicode(x)) AS ws,
+  list_transform(string_split(' ' || line || ' ', ''), lambda x: unicode(x)) AS ls, whole, line FROM t),
+sample AS (SELECT lang, ws FROM c WHERE lang IS NOT NULL AND whole <> ''
+  AND doc_id IN (SELECT doc_id FROM documents WHERE lang IS NOT NULL QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id::VARCHAR), doc_id) <= 100)),
+g AS (SELECT lang, (ws[i] * 961 + ws[i + 1] * 31 + ws[i + 2]) % 4096 AS slot FROM (SELECT lang, ws, unnest(range(1, len(ws) - 1)) AS i FROM sample)),
+n AS (SELECT lang, slot, count(*) AS n FROM g GROUP BY ALL),
+a AS (SELECT lang, sum(n) AS total FROM n GROUP BY lang),
+w AS (SELECT a.lang, s.slot, floor(ln((coalesce(n.n, 0) + 1) / (a.total + 4096)) * 1000000)::BIGINT AS w
+  FROM a CROSS JOIN (SELECT unnest(range(4096)) AS slot) s LEFT JOIN n ON n.lang = a.lang AND n.slot = s.slot),
+q AS (SELECT doc_id, (ls[i] * 961 + ls[i + 1] * 31 + ls[i + 2]) % 4096 AS slot FROM (SELECT doc_id, ls, unnest(range(1, len(ls) - 1)) AS i FROM c WHERE line <> '')),
+l AS (SELECT doc_id, lang, sum(w) AS s FROM q JOIN w USING (slot) GROUP BY ALL),
+best AS (SELECT doc_id, lang FROM l QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, lang) = 1)
+SELECT d.doc_id, coalesce(b.lang, 'unknown') AS detected FROM documents d LEFT JOIN best b USING (doc_id)"""
+
+
 _PROFILES = values([(lang, w) for lang, ws in fixed.LANGUAGE_PROFILES.items() for w in ws])
 _DETECT = f"""
 lw AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS w FROM documents),
@@ -167,6 +227,8 @@ def language_share(spark, sf):
     return language_hint_share(table(spark, sf, "documents"), "text")
 
 
+_SCORES_SQL = f"""WITH {records_sql('', '')[5:].strip()},{scores_cte('records')}
+SELECT * FROM scores"""
 _HINTS = " + ".join(
     f"(length(t) - length(replace(t, '{h}', ''))) // {len(h)}" for h in fixed.SPANISH_HINTS)
 
@@ -201,8 +263,7 @@ SELECT o_orderkey, strftime(d, '%Y-%m-%d') AS day,
   coalesce(strftime(date_trunc('week', d), '%Y-%m-%d') || '/' || strftime(date_trunc('week', d) + INTERVAL 6 DAY, '%Y-%m-%d'), 'NaT') AS week,
   strftime(d, '%Y-%m') AS month
 FROM (SELECT o_orderkey, CASE WHEN o_orderstatus IN ('F', 'O') THEN o_orderdate END AS d FROM orders)"""),
-    Query("sentiment_scores", sentiment_scores, f"""WITH {records_sql('', '')[5:].strip()},{scores_cte('records')}
-SELECT * FROM scores"""),
+    Query("sentiment_scores", sentiment_scores, _SCORES_SQL),
     Query("conversation_scores", conversation_scores, f"""WITH turns AS (
   SELECT conv_id * 1000 + turn AS doc_id, conv_id, turn, text AS body_text, NULL::VARCHAR AS title, 'reddit' AS source FROM conversations),
 {scores_cte('turns')}
@@ -224,6 +285,9 @@ FROM ((SELECT token AS keyword, count(*) AS frequency FROM toks GROUP BY token O
     Query("token_quality", token_quality, gold_sql("""
 SELECT source, count(*) FILTER (WHERE text_processed = '') AS empty, round(avg(token_count), 1) AS avg_tokens FROM gold GROUP BY source""")),
     Query("detect_language", detect_languages, f"WITH {_DETECT}\nSELECT * FROM detected"),
+    Query("detect_language_ngrams", detect_language_ngrams, _NGRAM_DETECT),
+    Query("tokens_by_ending", tokens_by_ending, _ENDINGS_SQL),
+    Query("joined_lexicon_scores", joined_lexicon_scores, _SCORES_SQL),
     Query("language_filter", language_filter, f"""WITH {_DETECT}
 SELECT lang, count(*) AS kept FROM documents JOIN detected USING (doc_id) WHERE detected = 'en' GROUP BY lang"""),
     Query("filter_outcome", filter_outcome, f"""WITH {_DETECT}

@@ -104,7 +104,7 @@ def stored_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its sentiment, keyed by doc_id."""
-    return with_sentiment(records(spark, sf_dir), rules=RULES)
+    return with_sentiment(records(spark, sf_dir), RULES)
 
 
 # --- the same views in SQL --------------------------------------------------

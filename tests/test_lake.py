@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinionlake import fixed, schemas
+from opinionlake.operators.sentiment import starter_rules
 from opinionlake.operators.quality import batch_duplicates, batch_metrics_articles, batch_metrics_posts
 from opinionlake.plans import dashboard as B
 from opinionlake.plans import story
@@ -187,7 +188,7 @@ def test_gold_and_everything_after(spark, bronze, tmp_path):
     articles = spark.createDataFrame([("https://n/1", "Mourinho signs a deal", "Ann", "z" * 90, "scraping", "n.json", 3.0)],
                                      "url string, title string, author string, body_text string, source string, bronze_source string, reading_time_min double")
     root = str(tmp_path / "gold")
-    S.write_table(gold_base([posts, articles]), root, "gold_base", "20260601_000000")
+    S.write_table(gold_base([posts, articles], starter_rules()), root, "gold_base", "20260601_000000")
     gold = S.latest(spark, root, "gold_base")
     assert gold.schema.names == schemas.GOLD_BASE.names and gold.count() == 31
     assert gold.filter("url = 'https://p/20'").first().bronze_source == "posts_20260524_211808.json"  # earliest file wins

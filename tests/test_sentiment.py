@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinionlake import fixed
-from opinionlake.operators.sentiment import Rules, read_lexicon, score_text, with_sentiment
+from opinionlake.operators.sentiment import Rules, read_lexicon, score_text, starter_rules, with_joined_sentiment, with_sentiment
 
-RULES = Rules()
+RULES = starter_rules()
 
 
 def plain_score(text, rules=RULES):
@@ -107,4 +107,4 @@ def test_read_lexicon(spark, tmp_path):
     (tmp_path / "lex.txt").write_text("superb\t3.1\t0.7\t[3, 3]\nMeh\t-0.5\t0.1\t[0]\nbroken\tx\n")
     rules = read_lexicon(spark, str(tmp_path / "lex.txt"))
     assert rules.lexicon == {"superb": 3.1, "meh": -0.5}
-    assert fixed.STARTER_LEXICON["good"] == Rules().lexicon["good"]
+    assert fixed.STARTER_LEXICON["good"] == starter_rules().lexicon["good"]
