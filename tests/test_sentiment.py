@@ -91,7 +91,7 @@ def test_record_scores(spark):
         (5, "good\n\nbad\n  \nnothing", "x", "scraping"), (6, "good", None, None), (7, "x" * 1000 + " good", None, "scraping"),
     ]
     df = spark.createDataFrame(rows, "id int, body_text string, title string, source string")
-    got = {r.id: r for r in with_sentiment(df).collect()}
+    got = {r.id: r for r in with_sentiment(df, RULES).collect()}
     assert got[1].sentiment_label == "positive" and got[2].sentiment_label == "negative"
     for blank in (3, 4):
         assert (got[blank].vader_compound, got[blank].vader_neu, got[blank].sentiment_label) == (0.0, 1.0, "neutral")
@@ -99,7 +99,7 @@ def test_record_scores(spark):
     assert got[5].vader_compound == pytest.approx(sum(parts) / 3, abs=1e-4)
     assert got[6].sentiment_label == "positive"
     assert got[7].sentiment_label == "positive"  # the whole article counts
-    cut = with_sentiment(df.filter("id = 7"), max_chars=1000).first()
+    cut = with_sentiment(df.filter("id = 7"), RULES, max_chars=1000).first()
     assert cut.sentiment_label == "neutral"
 
 
