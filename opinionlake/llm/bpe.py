@@ -7,8 +7,10 @@ over all texts of a batch at once; the state before a character says whether a
 piece begins there.  Pieces go through a cached pair merging by rank.
 
 A null text is empty and gives no ids.  Rows are encoded one by one, so repeated
-rows and ids give equal results.  Columns of the result replace input columns of
-the same name.
+rows and ids give equal results, and an empty table gives no rows.  Texts are encoded
+whole, in runs of about a million characters; a longer text is a run of its own and needs
+memory for its characters, pieces and ids.  Columns of the result replace input columns of
+the same name, all others are kept.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ and every text can be read back.
 
 One row per turn, so a conversation of any length is never held in one value.  A null
 role, text or list of parts is empty; an unknown part type is a document part.  Turns
-of one conversation are ordered by turn, then formatted text; nulls first.
+of one conversation are ordered by turn, then formatted text; nulls first.  Rows that
+repeat are turns of their own, and an empty table gives no rows.  Texts of any length are
+formatted in their row.  Columns other than those of a turn are not read.
 """
 
 from __future__ import annotations

@@ -10,7 +10,10 @@ places, which is exact containment of the window.
 Words are runs of [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F] after lower-casing A-Z; a null text
 has none.  Rows are told apart by document id and text: equal rows get equal
 results, rows that share only the id are judged alone.  Without items, or with
-items that have no words, nothing is hit.
+items that have no words, nothing is hit; an empty documents table gives no rows.  The
+words of an item without an id are hit like any other's, but it is neither counted nor
+listed.  Texts are read whole, however long; an array of a text's words is held in its
+row.  ``clean`` carries columns of any name and type, ``decontaminate`` reads id and text.
 """
 
 from __future__ import annotations
@@ -121,7 +124,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, root:
                .groupBy(*_ROW).agg(F.sum("_new").alias("n_hit")))
     pairs = found.select(*_ROW, "window").distinct().join(windows.select("window", "item"), "window").select(*_ROW, "item").distinct()
     named = F.sort_array(F.collect_list(F.col("item").cast("string")))
-    listed = pairs.groupBy(*_ROW).agg(F.count(F.lit(1)).alias("n_items"), F.sha2(F.array_join(named, ","), 256).alias("items_sha256"))
+    listed = pairs.groupBy(*_ROW).agg(F.count("item").alias("n_items"), F.sha2(F.array_join(named, ","), 256).alias("items_sha256"))
     rows = docs.select(F.col(key), *[column.alias(name) for name, column in row_keys(key, text).items()],
                        F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(_WORD_ANY_CASE)).cast("long").alias("n_words"))
     joined = rows.join(covered.join(listed, _ROW), _ROW, "left")

@@ -53,7 +53,7 @@ SELECT page_id, payload_bytes, payload_digest,
 def op4_count_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = jaccard.similar(spark, docs, scratch_folder(spark, "jaccard"), jaccard.Match(3, 90, 100))
-    return found.select("doc_id", "n_shingles", "component_id")
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,9 +125,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_folder(spark, "shards")
-    placed, current = sharding.shard(_table(spark, sf_dir, "documents"), 40)
-    sharding.save_map(spark, current, f"{root}/slot_map")
+    placed, _ = sharding.shard(spark, _table(spark, sf_dir, "documents"), 40, scratch_folder(spark, "slot_map"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
@@ -150,7 +148,7 @@ p AS (SELECT r, n, i, array_to_string(ws[i:i + n - 1], ' ') AS window_text
       FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, s WHERE len(ws) >= n)),
 f AS (SELECT p.r, p.i, w.n, w.item_id FROM p JOIN w ON p.n = w.n AND p.window_text = w.window_text),
 h AS (SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS pos FROM (SELECT DISTINCT r, i, n FROM f)) GROUP BY r),
-t AS (SELECT r, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
+t AS (SELECT r, count(id) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
       FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM f) GROUP BY r)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated

@@ -7,7 +7,9 @@ counted from the ledger alone, so texts are never read again.
 
 A null text has no words; null and blank texts fail ``few_words``.  Repeated rows
 are judged one by one, rows with equal ids too.  Columns of the ledger replace
-input columns of the same name.
+input columns of the same name, all others are kept.  An empty table gives an empty
+ledger.  Texts are measured whole, however long; a row holds the words and windows
+of its text.  Windows of three words are compared by 64-bit hashes.
 """
 
 from __future__ import annotations

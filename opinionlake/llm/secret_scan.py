@@ -6,7 +6,10 @@ them leaves candidates, and only those are matched.  A rule without mandatory
 trigrams is matched against every text.
 
 Offsets are code points, ends exclusive.  A null text is empty and has no spans.
-Rows are told apart by id and text, so rows that share an id are judged alone.
+Rows are told apart by id and text, so rows that share an id are judged alone and rows
+that repeat get equal results.  An empty table gives no rows.  Texts are scanned whole,
+however long; what was found in a text is held in its row and copied at each match.  A
+column ``spans`` is replaced, all others are kept.
 """
 
 from __future__ import annotations

@@ -6,7 +6,11 @@ map: it moves slots between shards and never rehashes records.
 
 A null text weighs only the fixed bytes per record; a null id is a key like any
 other.  Rows with equal ids share a slot; their order in the shard is by checksum
-and size, and rows equal in all of these may take each other's place.
+and size, and rows equal in all of these may take each other's place.  Groups of equal
+texts are split, since their ids differ; rows of one id are never split, so an id that
+holds more than a shard's share makes its shard larger.  Texts of any length only
+count by their bytes.  An empty table gives a map and no rows.  Columns other than id and
+text are not read, and are written whole by ``write_shards``.
 """
 
 from __future__ import annotations
@@ -48,6 +52,11 @@ def load_map(spark: SparkSession, root: str, version: int) -> SlotMap:
     return SlotMap(version, rows[0]["shards"], tuple(row["shard"] for row in rows))
 
 
+def read_map(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """(virtual_slot, shard) of a stored version: a fixed number of rows."""
+    return spark.read.schema("version int, shards int, virtual_slot int, shard int").parquet(f"{root}/version={version:06d}").select("virtual_slot", "shard")
+
+
 def with_slots(docs: DataFrame, key: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
     """``key``, size, checksum and slot of each record."""
     return docs.select(
@@ -101,36 +110,45 @@ def rebalance(current: SlotMap, load: Mapping[int, int], shards: int | None = No
     return SlotMap(current.version + 1, shards, tuple(owner))
 
 
-def place(records: DataFrame, current: SlotMap, key: str = "doc_id") -> DataFrame:
-    """Add ``shard`` and ``slot``, the record's gapless number in its shard.
+def place(records: DataFrame, shard_of: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Add ``shard`` and ``slot``, the record's gapless number in its shard, by a stored map (``read_map``).
 
     Numbers are counted inside a virtual slot, then moved by the count of the
     shard's earlier slots.  So a window holds one slot's narrow rows, not a shard's.
     """
-    moved = F.element_at(F.array(*[F.lit(s) for s in current.shard_of]), F.col("virtual_slot") + 1)
-    counted = records.groupBy("virtual_slot").agg(F.count(F.lit(1)).alias("_n")).withColumn("shard", moved)
+    # the map and the counts have one row per slot: a fixed number, whatever the data
+    counted = records.groupBy("virtual_slot").agg(F.count(F.lit(1)).alias("_n")).join(F.broadcast(shard_of), "virtual_slot")
     before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
     starts = counted.select("virtual_slot", "shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     inside = Window.partitionBy("virtual_slot").orderBy(F.col(key), "text_crc32", "size")
     numbered = records.withColumn("_at", F.row_number().over(inside) - 1)
-    # one row per slot: at most SLOTS rows, whatever the data
     return numbered.join(F.broadcast(starts), "virtual_slot").withColumn(
         "slot", (F.col("_start") + F.col("_at")).cast("long")).drop("_start", "_at")
 
 
-def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text", slots: int = SLOTS) -> tuple[DataFrame, SlotMap]:
-    """Place all records in ``shards`` shards of nearly equal bytes; also the map used."""
+def shard(spark: SparkSession, docs: DataFrame, shards: int, root: str, key: str = "doc_id", text: str = "text",
+          slots: int = SLOTS) -> tuple[DataFrame, SlotMap]:
+    """Place all records in ``shards`` shards of nearly equal bytes; also the map used.
+
+    Version 1 of the map, the slots in turn, is stored below ``root``, read back, edited by the
+    bytes of the slots and stored as version 2, by which records are placed.
+    """
     records = with_slots(docs, key, text, slots)
+    save_map(spark, SlotMap.first(shards, slots), root)
     # one row per slot reaches the driver: a fixed number
     load = {row["virtual_slot"]: row["bytes"] for row in slot_loads(records).collect()}
-    current = rebalance(SlotMap.first(shards, slots), load)
-    return place(records, current, key), current
+    current = rebalance(load_map(spark, root, 1), load)
+    save_map(spark, current, root)
+    return place(records, read_map(spark, root, current.version), key), current
+
 
+def write_shards(docs: DataFrame, shard_of: DataFrame, slots: int, path: str, key: str = "doc_id", folder: str = "shard") -> None:
+    """Write whole rows, one folder per shard, by a stored map; tasks split a shard by virtual slot.
 
-def write_shards(docs: DataFrame, current: SlotMap, root: str, key: str = "doc_id") -> None:
-    """Write whole rows, one folder per shard and map version; tasks split a shard by virtual slot."""
-    slots = len(current.shard_of)
-    moved = F.element_at(F.array(*[F.lit(s) for s in current.shard_of]),
-                         F.pmod(F.xxhash64(F.col(key)), F.lit(slots)).cast("int") + 1)
-    (docs.withColumn("shard", moved).repartition(F.pmod(F.xxhash64(F.col(key)), F.lit(slots)))
-         .write.mode("overwrite").partitionBy("shard").parquet(f"{root}/map={current.version:06d}"))
+    ``folder`` names the folders' column, which the rows must not have.
+    """
+    if folder in docs.columns:
+        raise ValueError(f"rows have a column {folder}; name the folders otherwise")
+    at = F.pmod(F.xxhash64(F.col(key)), F.lit(slots)).cast("int")
+    rows = docs.withColumn("_slot", at).join(F.broadcast(shard_of.select(F.col("virtual_slot").alias("_slot"), F.col("shard").alias(folder))), "_slot")
+    rows.repartition("_slot").drop("_slot").write.mode("overwrite").partitionBy(folder).parquet(path)

@@ -8,7 +8,9 @@ finds the shard and then the block by binary search, and then reads byte ranges.
 
 A null payload is empty, a null url has the key ``-``.  Rows that share the smallest
 id of a payload are all responses; a null id is never the smallest.  All rows are
-kept, repeated ones too.  Shard and archive files are named by the stored tables.
+kept, repeated ones too.  Shard and archive files are named by the stored tables.  A
+record is held in memory one at a time, so a long payload needs its own size.  An empty
+table gives no files and no rows.  Columns other than id, url and html are not read.
 """
 
 from __future__ import annotations
@@ -95,16 +97,18 @@ def write_archives(spark: SparkSession, pages: DataFrame, root: str, page: str =
                    html: str = "html") -> DataFrame:
     """Write a record per page; returns the stored captures (key, page_id, digest, kind, path, offset, length).
 
-    Who revisits whom is decided on digests alone.  The payloads are shuffled once,
-    by digest; a digest of very many pages is split by the skewed join.
+    Who revisits whom is decided on digests alone.  Payloads that can be revisits are
+    shuffled once, by digest, where Spark's skewed join splits a digest of very many
+    pages; shorter ones, however many are equal, stay where they are.
     """
     body = F.coalesce(F.col(html), F.lit("")).cast("binary")
     rows = pages.select(F.col(page).cast("long").alias("page_id"), F.col(url).alias("url"), body.alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
-    first = (rows.filter(F.octet_length("payload") >= LEAST_REVISIT).groupBy("digest")
-             .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"))
+    long, short = (rows.filter((F.octet_length("payload") >= LEAST_REVISIT) == known) for known in (True, False))
+    first = long.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
     refers = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    decided = rows.join(first, "digest", "left").select(
+    placed = long.join(first, "digest", "left").unionByName(short.withColumn("first", F.lit(None).cast("long")))
+    decided = placed.select(
         capture_key(F.col("url"), F.col("page_id")).alias("key"), "page_id", "url", "payload", "digest", refers.alias("refers"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,6 +205,10 @@ class Shard:
             number += 1
 
 
+def _tasks(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def look_up(shards: DataFrame, wanted: DataFrame, key: str = "key") -> DataFrame:
     """Captures of the wanted keys: a url key finds all its captures, a capture key that one.
 
@@ -234,8 +242,8 @@ def look_up(shards: DataFrame, wanted: DataFrame, key: str = "key") -> DataFrame
 
     keys = wanted.select(F.col(key).alias("prefix")).filter(F.col("prefix").isNotNull()).distinct()
     routed = keys.mapInArrow(route, "prefix string, shard int")
-    # a hash of the key spreads one shard's searches over tasks
-    dealt = routed.repartition("shard", F.pmod(F.xxhash64("prefix"), F.lit(16))).sortWithinPartitions("shard", "prefix")
+    # a hash of the key spreads one shard's searches over tasks; rows are few and work is much, so tasks are not merged
+    dealt = routed.repartition(_tasks(wanted.sparkSession), "shard", F.pmod(F.xxhash64("prefix"), F.lit(16))).sortWithinPartitions("shard", "prefix")
     return dealt.mapInArrow(search, "page_id long, digest string, kind string, path string, offset long, length long")
 
 
@@ -252,6 +260,7 @@ def read_records(captures: DataFrame, payload: bool = True) -> DataFrame:
             yield pa.RecordBatch.from_pylist([{name: row[name] for name in columns} for row in rows], schema=schema)
         ranges.close()
 
-    dealt = captures.select("path", "offset", "length").repartition("path", F.floor(F.col("offset") / (1 << 20)))
+    # a narrow row stands for a record to read and unpack, so tasks are not merged
+    dealt = captures.select("path", "offset", "length").repartition(_tasks(captures.sparkSession), "path", F.floor(F.col("offset") / (1 << 20)))
     text = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
     return dealt.sortWithinPartitions("path", "offset").mapInArrow(run, text + ", payload binary" * payload)

@@ -6,7 +6,10 @@ pieces that pops is known beforehand.  Every character is looked at once, apart
 from failure links, and no piece is ever built.
 
 Words are split at [\\x20\\x09-\\x0D].  A null text has no words.  A word that the
-vocabulary cannot spell counts as one piece and as unknown.
+vocabulary cannot spell counts as one piece and as unknown.  Rows that repeat are counted
+one by one, and an empty table gives no rows.  Words of any length go through the same
+table, one character at a time.  Columns of the counts replace input columns of the same name;
+all others are kept.
 """
 
 from __future__ import annotations

@@ -74,3 +74,15 @@ def test_one_row_of_each_group_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
     kept = sorted((r.doc_id, len(r.text.split()), r.lang) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
     assert kept == [(1, 6, "en"), (1, 60, "en"), (3, 0, "en"), (3, 0, "en")]
+
+
+def test_stages_need_id_and_text_only(spark):
+    words = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, words, {"a": 1}), (1, words, {"a": 2}), (2, words + " x", None), (3, " ".join(f"v{i}" for i in range(60)), {})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,int>")
+    for frame in (docs, docs.select("doc_id", "text")):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            frame, columns = stage(spark, frame, SF), frame.columns
+            assert frame.columns == columns
+        last = corpus_pipeline.STAGES[-1][1](spark, frame, SF).collect()
+        assert sorted(r.doc_id for r in last) == [1, 3] and all(r.round_trip for r in last)
