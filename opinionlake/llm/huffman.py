@@ -7,16 +7,20 @@ of 64 ids; so all runs of a block are decoded side by side by table look-up.
 
 A null text is an empty one: only the end id is written.  A null document id is
 kept and comes first.  Rows with equal document ids are all kept; their order is
-that of a hash of their ids.  An empty table gives no files and no rows.
+that of a hash of their ids.  An empty table gives no files and no rows.  Texts are
+encoded in runs of a few million bytes; a longer text is a run and a block of its own.
+The string of a special token in a text becomes that token, as the library does by
+default.  Columns other than id and text are not read.
 """
 
 from __future__ import annotations
 
 import itertools
 import os
+import string
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -26,23 +30,29 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from opinionlake.llm.bpe import runs
 from opinionlake.llm.files import Output, Ranges, new_name
 
 END = 2
 MAX_BITS = 16
 RUN = 64
+RUN_CHARS = 4_000_000
 BLOCK_IDS = 1 << 20
 FILE_IDS = 1 << 24
 MAGIC = b"IDHUF01\n"
 CACHED_CHUNKS = 400_000
+KEPT_TAILS = 10_000
+MARKS = string.punctuation
 
 
 class ChunkEncoder:
     """Ids of whole texts, as little-endian 32-bit numbers, by a byte-level tokenizer.
 
-    A piece never goes across a blank that stands between two visible characters,
-    so texts are cut there and chunks met before are not encoded again.  A text with
-    a blank at its ends or beside other white space is encoded in one go.
+    A piece never goes across a blank that stands between two visible characters, across
+    a single line end between them, or from a letter to a mark, so texts are cut there
+    and chunks met before are not encoded again.  A text with a blank at its ends or
+    beside other white space is encoded in one go, and so is a text that holds the
+    string of an added token, which the library looks for first.
     """
 
     def __init__(self, model: str):
@@ -50,11 +60,12 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.chunks: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.starts: dict[str, bytes] = {"": b""}  # words after a line end
+        self.tails: dict[str, bytes] = {}
         self.line_end = int(np.frombuffer(self._encode("\n"), "<u4")[0])
-        self.marks = {mark: self._encode(mark) for mark in ".,!?;:"}
         blank = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
         vocabulary = self.tokenizer.get_vocab()
         self.blank = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -63,64 +74,87 @@ class ChunkEncoder:
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode chunks, each with its blank before it, as one text; only a chunk's first id has a blank at its start."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
-        cuts = [*(4 * np.flatnonzero(self.blank[ids])).tolist(), 4 * len(ids)]
-        if len(cuts) != len(chunks) + 1:
-            raise ValueError("the tokenizer does not cut before blanks")
+    def _cut(self, text: str, of: list[str], begins: Callable[[np.ndarray], np.ndarray], skip: int) -> dict[str, bytes]:
+        """The ids of each word of a text that joins them; ``begins`` marks ids at which one begins, ``skip`` of them are not its own."""
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        cuts = [*(4 * np.flatnonzero(begins(ids))).tolist(), 4 * len(ids)]
+        if len(cuts) != len(of) + 1:
+            raise ValueError("the tokenizer does not cut there")
         flat = ids.tobytes()
-        self.chunks.update(zip(chunks, [flat[a:b] for a, b in zip(cuts, cuts[1:])]))
-
-    def _heads(self, heads: set[str]) -> dict[str, bytes]:
-        """Encode words that begin a text as lines of one text; a line end is one id and stands alone."""
-        single = [h for h in heads if h and not any(c.isspace() for c in h)]
-        ids = np.frombuffer(self._encode("\n" + "\n".join(single)), "<u4") if single else np.zeros(0, "<u4")
-        cuts = [*(4 * np.flatnonzero(ids == self.line_end)).tolist(), 4 * len(ids)]
-        if len(cuts) != len(single) + 1:
-            raise ValueError("the tokenizer does not cut at line ends")
-        flat = ids.tobytes()
-        return {h: flat[a + 4:b] for h, a, b in zip(single, cuts, cuts[1:])}
+        return {word: flat[a + 4 * skip:b] for word, a, b in zip(of, cuts, cuts[1:])}
 
-    def _learn_all(self, fresh: set[str]) -> None:
-        """Chunks that end in a mark after a letter or digit are their rest and the mark."""
-        chunks, older = self.chunks, self.older
+    def _tail(self, marks: str) -> bytes:
+        if marks not in self.tails:
+            if len(self.tails) > KEPT_TAILS:
+                self.tails.clear()
+            self.tails[marks] = self._encode(marks)
+        return self.tails[marks]
+
+    def _learn(self, book: dict[str, bytes], words: set[str], learn: Callable[[list[str]], dict[str, bytes]]) -> None:
+        """Encode words; those with marks after a letter or digit are their rest and the marks."""
         marked, plain = [], set()
-        for p in fresh:
-            if p in older:
-                chunks[p] = older[p]
-            elif len(p) > 1 and p[-1] in self.marks and p[-2].isalnum() and not p[0].isspace():
-                marked.append(p)
-                if p[:-1] not in chunks:
-                    plain.add(p[:-1])
-            elif p and not p[0].isspace() and not p[-1].isspace():
-                plain.add(p)
-        for p in plain & older.keys():
-            chunks[p] = older[p]
-            plain.discard(p)
+        for word in words:
+            stem = word.rstrip(MARKS)
+            if len(stem) < len(word) and stem and stem[-1].isalnum():
+                marked.append((word, stem))
+                if stem not in book:
+                    plain.add(stem)
+            else:
+                plain.add(word)
         if plain:
-            self._learn(list(plain))
-        for p in marked:
-            chunks[p] = chunks[p[:-1]] + self.marks[p[-1]]
+            book.update(learn(list(plain)))
+        for word, stem in marked:
+            book[word] = book[stem] + self._tail(word[len(stem):])
+
+    def _learn_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        # each with its blank before it: only a chunk's first id has a blank at its start
+        return self._cut(" " + " ".join(chunks), chunks, lambda ids: self.blank[ids], 0)
+
+    def _learn_starts(self, words: list[str]) -> dict[str, bytes]:
+        # a line end is one id and stands alone
+        return self._cut("\n" + "\n".join(words), words, lambda ids: ids == self.line_end, 1)
+
+    def _learn_all(self, fresh: set[str]) -> None:
+        chunks, older = self.chunks, self.older
+        known = older.keys() & fresh
+        chunks.update((p, older[p]) for p in known)
+        wanted, starts, lines = set(), set(), []
+        for p in fresh - known:
+            if not p or p[0].isspace() or p[-1].isspace():
+                continue
+            if "\n" in p:
+                parts = p.split("\n")
+                if all(x.split() == [x] for x in parts):
+                    lines.append((p, parts))
+                    wanted.add(parts[0])
+                    starts.update(parts[1:])
+                    continue
+            wanted.add(p)
+        self._learn(chunks, wanted - chunks.keys(), self._learn_chunks)
+        self._learn(self.starts, starts - self.starts.keys(), self._learn_starts)
+        end = np.array([self.line_end], "<u4").tobytes()
+        for p, parts in lines:
+            chunks[p] = chunks[parts[0]] + b"".join([end + self.starts[x] for x in parts[1:]])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.chunks) > CACHED_CHUNKS:  # what is not met again before the next turn is forgotten
-            self.older, self.chunks = self.chunks, {}
-        parts = [text.split(" ") for text in texts]
-        chunks = self.chunks
+            self.older, self.chunks, self.starts = self.chunks, {}, {"": b""}
+        whole = {i for i, text in enumerate(texts) if any(mark in text for mark in self.added)}
+        parts = [[] if i in whole else text.split(" ") for i, text in enumerate(texts)]
+        chunks, starts = self.chunks, self.starts
         self._learn_all(set(itertools.chain.from_iterable(parts)) - chunks.keys())
-        heads = self._heads({some[0] for some in parts})
+        heads = {some[0] for some in parts if some} - starts.keys()
+        self._learn(starts, {h for h in heads if h.split() == [h]}, self._learn_starts)
         out: list[bytes] = []
         for text, some in zip(texts, parts):
-            head = some[0]
             try:
-                if not head or head[-1].isspace():
-                    raise KeyError(head)
-                tail = b"".join(map(chunks.__getitem__, some[1:]))
+                if not some or not some[0] or some[0][-1].isspace():
+                    raise KeyError
+                tail = b"".join([chunks[x] for x in some[1:]])
             except KeyError:
                 out.append(self._encode(text))
             else:
-                out.append((heads[head] if head in heads else self._encode(head)) + tail)
+                out.append((starts[some[0]] if some[0] in starts else self._encode(some[0])) + tail)
         return out
 
 
@@ -155,9 +189,9 @@ def encode_ids(docs: DataFrame, model: str, key: str = "doc_id", text: str = "te
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, total = _encoder(model), np.zeros(0, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                ids = [x + mark for x in encode([t or "" for t in part.column(1).to_pylist()])]
+            for begin, texts in runs(batch.column(1), RUN_CHARS):
+                part = batch.slice(begin, len(texts))
+                ids = [x + mark for x in encode(texts)]
                 seen = np.bincount(np.frombuffer(b"".join(ids), "<u4"), minlength=len(total))
                 seen[: len(total)] += total
                 total = seen

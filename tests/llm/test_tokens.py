@@ -72,7 +72,6 @@ def test_bpe_edge_rows(spark):
 
 def test_chunks_give_the_ids_of_whole_texts():
     library = Tokenizer.from_str(MODEL)
-    library.encode_special_tokens = True
     encode = huffman.ChunkEncoder(MODEL)
     for _ in range(2):  # the second time from memory
         for text, ids in zip(ODD, encode(ODD)):
@@ -81,7 +80,6 @@ def test_chunks_give_the_ids_of_whole_texts():
 
 def want_files(rows):
     library = Tokenizer.from_str(MODEL)
-    library.encode_special_tokens = True
     start, out = 0, []
     for key, text in sorted(rows):
         ids = library.encode(text or "", add_special_tokens=False).ids + [2]
