@@ -36,7 +36,7 @@ from opinionlake.llm.files import Output, Ranges, new_name
 END = 2
 MAX_BITS = 16
 RUN = 64
-RUN_CHARS = 4_000_000
+RUN_CHARS = 2_000_000
 BLOCK_IDS = 1 << 20
 FILE_IDS = 1 << 24
 MAGIC = b"IDHUF01\n"
