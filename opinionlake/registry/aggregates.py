@@ -12,6 +12,7 @@ from opinionlake.plans import story
 from opinionlake.operators import tokens as K
 from opinionlake.registry.base import Query, table
 from opinionlake.registry.views import ASPECTS, WEEK, gold, gold_sql, matches_cte, quoted, stored_gold, stored_matches, values
+from opinionlake.sources.tables import with_day_and_week
 
 
 def events(spark, sf):
@@ -23,6 +24,11 @@ def volume_by_week(spark, sf):
     return D.volume(D.with_week(events(spark, sf), "ts"), ["week", "event_type"])
 
 
+def gold_by_day(spark, sf):
+    """The gold base as the trend queries read it, with its day and week."""
+    return with_day_and_week(stored_gold(spark, sf)).groupBy("day", "week").agg(F.count(F.lit(1)).alias("n"))
+
+
 def trend_by_week(spark, sf):
     return D.trend(events(spark, sf), "ts", "event_type", "value", "week", digits=3)
 
@@ -240,6 +246,9 @@ QUERIES = [
     Query("score_trend", score_trend,
           f"SELECT {WEEK.format('ts')} AS week, event_type, round(avg(value), 3) AS compound_mean, count(value) AS n_records FROM events GROUP BY ALL"),
     *[Query(f"volume_zero_filled_{g}", _volume(g), _volume_sql(g)) for g in ("day", "week", "month")],
+    Query("gold_by_day", gold_by_day, gold_sql("""
+SELECT strftime(published_at, '%Y-%m-%d') AS day, coalesce(strftime(date_trunc('week', published_at), '%Y-%m-%d') || '/' ||
+  strftime(date_trunc('week', published_at) + INTERVAL 6 DAY, '%Y-%m-%d'), 'NaT') AS week, count(*) AS n FROM gold GROUP BY ALL""", tokens=False)),
     Query("count_by_source", count_by, "SELECT source, count(*) AS n FROM documents GROUP BY source"),
     Query("label_distribution", label_distribution, """
 SELECT source, quality, count(*) AS count, round(count(*) * 100.0 / sum(count(*)) OVER (), 2) AS pct

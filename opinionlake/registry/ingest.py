@@ -43,6 +43,16 @@ def bronze_roundtrip(spark, sf):
         F.count(F.col("score").try_cast("double")).alias("scores"), F.count("author").alias("authors"))
 
 
+def lineage_positions(spark, sf):
+    """Every row read back has a file name and a position of its own in that file."""
+    root = scratch(spark, "lineage")
+    S.write_bronze(_bronze_posts(spark, sf).select("url", "lang", "title").repartition(3), root, "posts", "20240201_000000")
+    back = R.read_posts(spark, f"{root}/posts")
+    named = F.when(F.endswith("bronze_source", F.lit(".json")) & ~F.contains("bronze_source", F.lit("/")), 1)
+    return back.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count(named).alias("named"),
+                                    F.countDistinct("bronze_source", "row_order").alias("positions"))
+
+
 def silver_posts_table(spark, sf):
     """Bronze posts to silver: dedup per batch, capping per batch, cleaning."""
     bronze = _bronze_posts(spark, sf).withColumns({"bronze_source": F.concat("lang", F.lit(".json")), "row_order": F.col("doc_id")})
@@ -333,6 +343,7 @@ QUERIES = [
     Query("bronze_roundtrip", bronze_roundtrip, f"""WITH {_POSTS}
 SELECT lang, count(*) AS n, count(DISTINCT url) AS urls, sum(length(text)) AS chars, count(score) AS scores,
   count(CASE WHEN event_type <> 'click' THEN 1 END) AS authors FROM raw GROUP BY lang"""),
+    Query("lineage_positions", lineage_positions, "SELECT lang, count(*) AS n, count(*) AS named, count(*) AS positions FROM documents GROUP BY lang"),
     Query("silver_posts", silver_posts_table, f"""WITH {_POSTS},
 kept AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY lang, url ORDER BY doc_id) = 1),
 q AS (SELECT lang, quantile_cont(score, 0.25) AS s1, quantile_cont(score, 0.75) AS s3, quantile_cont(k, 0.25) AS k1, quantile_cont(k, 0.75) AS k3

@@ -84,6 +84,14 @@ def page_records(spark, sf):
                                 ("h1_all_texts", "p_all_texts", "li_all_texts", "all_hrefs", "all_src", "all_meta")], "error", "status")
 
 
+def page_errors(spark, sf):
+    """Records of pages that are missing or cannot be parsed: each says so, and none ends the job."""
+    page = F.when(F.col("page_id") % 5 == 0, F.lit("<p>x<![foo[bar]]></p>")).when(F.col("page_id") % 7 != 0, F.col("html"))
+    rows = H.extract_pages(_pages(spark, sf).withColumn("html", page))
+    kind = F.when(F.col("error") == "no content", F.col("error")).when(F.col("error").isNotNull(), F.lit("malformed"))
+    return rows.groupBy("status", kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.count("p_all_texts").alias("with_texts"))
+
+
 _DEC = "replace(replace(replace(replace({0}, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"
 
 QUERIES = [
@@ -114,4 +122,8 @@ SELECT page_id, url FROM (
   FROM (SELECT page_id, {_DEC.format("regexp_extract(html, '<ul><li><a href=\"([^\"]*)\"', 1)")} AS h FROM pages) WHERE h <> '')
 QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id) = 1"""),
     Query("page_records", page_records),
+    Query("page_errors", page_errors, """
+SELECT CASE WHEN page_id % 5 = 0 OR page_id % 7 = 0 OR html IS NULL THEN 'error' END AS status,
+  CASE WHEN page_id % 5 = 0 THEN 'malformed' WHEN page_id % 7 = 0 OR html IS NULL THEN 'no content' END AS kind,
+  count(*) AS n, count(*) FILTER (WHERE NOT (page_id % 5 = 0 OR page_id % 7 = 0 OR html IS NULL)) AS with_texts FROM pages GROUP BY ALL"""),
 ]

@@ -364,3 +364,32 @@ def test_json_arrays_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
     files = [path.read_text(encoding="utf-8") for path in (tmp_path / "arrays").glob("part-*")]
     assert all(1 <= len(json.loads(f)) <= 5 and (len(f) < 20_010 or len(json.loads(f)) == 1) for f in files)
     assert len(files) >= 40
+
+
+def test_views_and_readers_of_flat_files(spark, tmp_path):
+    rows = [("u1", "2026-01-05 10:00:00", "a", 0.4), ("u2", "2026-01-06 10:00:00", "b", -0.2), ("u3", "2026-01-14 10:00:00", "a", 0.1)]
+    gold = spark.createDataFrame(rows, "url string, ts string, source string, vader_compound double").withColumn(
+        "published_at", F.col("ts").cast("timestamp"))
+    volume = {(r.period, r.source): r.n_records for r in B.volume_view(gold).collect()}
+    assert volume == {("2026-01-05", "a"): 1, ("2026-01-05", "b"): 1, ("2026-01-05", "all"): 2,
+                      ("2026-01-12", "a"): 1, ("2026-01-12", "b"): 0, ("2026-01-12", "all"): 1}
+    assert B.volume_view(gold, source="b").count() == 2
+    trend = B.trend_view(gold.withColumn("source", F.when(F.col("source") == "a", fixed.ARTICLES).otherwise(fixed.POSTS)))
+    assert trend["trend"].count() == 3 and trend["delta"].first().delta == pytest.approx(-0.3) and trend["coverage"].count() == 1
+    for stamp, n in (("20260101_000000", 2), ("20260108_000000", 3)):
+        spark.range(n).select(F.concat(F.lit(f"{stamp}-"), "id").alias("url")).coalesce(1).write.parquet(str(tmp_path / stamp))
+        next((tmp_path / stamp).glob("part-*")).rename(tmp_path / f"posts_{stamp}.parquet")
+    (tmp_path / "flat").mkdir()
+    for file in tmp_path.glob("posts_*"):
+        file.rename(tmp_path / "flat" / file.name)
+    assert R.read_silver_files(spark, str(tmp_path / "flat"), "posts").count() == 5
+    full = R.read_silver_files(spark, str(tmp_path / "flat"), "posts", schemas.SILVER_POST)
+    assert full.schema.names == schemas.SILVER_POST.names and full.count() == 5
+
+
+def test_pages_arrive_as_a_stream(spark, tmp_path):
+    write_json(tmp_path / "in", "pages_20260101_000000.json", [{"url": "https://n/1", "all_meta": "{}"}, {"url": "https://n/1"}])
+    pages = I.stream_pages(spark, str(tmp_path / "in"), lines=False)
+    I.run_insert(pages, str(tmp_path / "out"), str(tmp_path / "state"), transform=R.parse_pages)
+    rows = S.read_table(spark, str(tmp_path), "out").collect()
+    assert [(r.url, r.all_meta) for r in rows] == [("https://n/1", {})]
