@@ -26,21 +26,27 @@ _SALTS = 16
 _SIGN = -(1 << 63)
 
 
-def ordered_bits(value: Column) -> Column:
-    """The 64 bits of a double as a number that, read without sign, is ordered like the doubles; NaN comes last."""
-    size = F.abs(value)
-    near = F.floor(F.log2(size))
+def with_ordered_bits(df: DataFrame, value: str, name: str) -> DataFrame:
+    """Add the 64 bits of a double as a number that, read without sign, is ordered like the doubles; NaN comes last.
+
+    Each step is a column of its own, so no logarithm or power is taken twice.
+    """
+    v, two = F.col(value), F.lit(2.0)
+    size, near, exponent, bits = (F.col(f"_{part}") for part in ("size", "near", "exponent", "bits"))
     # the logarithm can be off by one next to a power of two
-    exponent = F.greatest(F.lit(-1022), F.when(F.pow(F.lit(2.0), near) > size, near - 1).when(F.pow(F.lit(2.0), near + 1) <= size, near + 1)
-                          .otherwise(near))
-    fraction = (size / F.pow(F.lit(2.0), exponent) * float(1 << 52)).cast("long")
-    bits = (F.when(F.isnan(value), F.lit((2047 << 52) + 1)).when(size == math.inf, F.lit(2047 << 52)).when(size == 0, F.lit(0))
-            .otherwise((exponent + 1022) * F.lit(1 << 52) + fraction))
-    return F.when(value < 0, F.bitwise_not(bits.bitwiseOR(F.lit(_SIGN)))).otherwise(bits.bitwiseOR(F.lit(_SIGN)))
+    right = F.when(F.pow(two, near) > size, near - 1).when(F.pow(two, near + 1) <= size, near + 1).otherwise(near)
+    whole = (exponent + 1022) * F.lit(1 << 52) + (size / F.pow(two, exponent) * float(1 << 52)).cast("long")
+    steps = {
+        "_size": F.when(F.isnan(v) | (F.abs(v) == math.inf), 1.0).otherwise(F.abs(v)), "_near": F.floor(F.log2(size)), "_exponent": F.greatest(F.lit(-1022), right),
+        "_bits": F.when(F.isnan(v), F.lit((2047 << 52) + 1)).when(F.abs(v) == math.inf, F.lit(2047 << 52)).when(size == 0, F.lit(0)).otherwise(whole),
+        name: F.when(v < 0, F.bitwise_not(bits.bitwiseOR(F.lit(_SIGN)))).otherwise(bits.bitwiseOR(F.lit(_SIGN)))}
+    for step, column in steps.items():
+        df = df.withColumn(step, column)
+    return df.drop("_size", "_near", "_exponent", "_bits")
 
 
 def _prefix(digits: int) -> Column:
-    return F.shiftrightunsigned(ordered_bits(F.col("_v")), 64 - DIGIT * digits)
+    return F.shiftrightunsigned("_b", 64 - DIGIT * digits)
 
 
 def _cells(rows: DataFrame, by: Sequence[str], digits: int) -> DataFrame:
@@ -81,7 +87,7 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
             F.count("_v").alias("n"), F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("q")).filter("n > 0")
     keys = [f"_k{i}" for i in range(max(len(by), 1))]
     named = [F.col(c).alias(k) for c, k in zip(by, keys)] or [F.lit(0).alias("_k0")]
-    rows = stored(base.filter(F.col("_v").isNotNull()).select(*named, "_v"), "quantiles")
+    rows = stored(with_ordered_bits(base.filter(F.col("_v").isNotNull()).select(*named, "_v"), "_v", "_b"), "quantiles")
 
     first = _cells(rows, keys, 1).withColumn("n", F.aggregate("cells", F.lit(0).cast("long"), lambda s, c: s + c["n"]))
     ranks = [F.struct(F.lit(2 * i + side).alias("i"), turn(F.lit(float(p)) * (F.col("n") - 1)).cast("long").alias("rank"))

@@ -18,7 +18,7 @@ from opinionlake.operators import outliers as O
 from opinionlake.operators import quality as Q
 from opinionlake.operators import tokens as K
 from opinionlake.operators.language import detect_language
-from opinionlake.operators.quantiles import ordered_bits, quantiles
+from opinionlake.operators.quantiles import quantiles, with_ordered_bits
 
 
 def plan(df):
@@ -101,7 +101,7 @@ def test_ordered_bits_are_those_of_the_double(spark):
     values += [s * math.ldexp(1.0, e) * m for e in range(-1074, 1024, 7) for s in (1, -1) for m in (1.0, 1.0 - 2.0 ** -53, 1.0 + 2.0 ** -52)]
     values = [v for v in values if v == v] + [0.0, math.inf, -math.inf]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    for row in df.select("v", ordered_bits(F.col("v")).alias("b")).collect():
+    for row in with_ordered_bits(df, "v", "b").collect():
         bits = struct.unpack("<Q", struct.pack("<d", row.v))[0]
         assert row.b % (1 << 64) == (bits ^ (1 << 64) - 1 if bits >> 63 else bits | 1 << 63), row.v
 
