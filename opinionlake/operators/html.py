@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from opinionlake import fixed
@@ -206,21 +207,29 @@ _TEXTS_TYPE = T.StructType(
     + [T.StructField("author", T.StringType()), T.StructField("byline_date", T.StringType()), T.StructField("error", T.StringType())])
 
 
-@F.pandas_udf(_TEXTS_TYPE)
-def page_texts(pages: pd.Series) -> pd.DataFrame:
+_TEXTS_ARROW = pa.struct([(f"{tag}_all_texts", pa.list_(pa.string())) for tag in fixed.PAGE_TAGS]
+                         + [("author", pa.string()), ("byline_date", pa.string()), ("error", pa.string())])
+# a batch of Spark's may hold many large pages; only so many are Python objects at a time
+_PAGES_AT_ONCE = 64
+
+
+def _page_row(page: str | None) -> dict:
+    if page is None:
+        return {}
+    try:
+        parsed = outline(page)
+    except (AssertionError, ValueError) as broken:  # what the parser raises on malformed declarations
+        return {"error": str(broken) or type(broken).__name__}
+    author, date = _byline(parsed)
+    return {**{f"{tag}_all_texts": texts for tag, texts in _element_texts(parsed).items()}, "author": author, "byline_date": date}
+
+
+@F.arrow_udf(_TEXTS_TYPE)
+def page_texts(pages: pa.Array) -> pa.Array:
     """Texts of the tracked elements and the byline of each page; a page that cannot be parsed gives its error only."""
-    rows = []
-    for page in pages:
-        if page is None:
-            rows.append([None] * len(_TEXTS_TYPE))
-            continue
-        try:
-            parsed = outline(page)
-        except (AssertionError, ValueError) as broken:  # what the parser raises on malformed declarations
-            rows.append([*[None] * (len(_TEXTS_TYPE) - 1), str(broken) or type(broken).__name__])
-            continue
-        rows.append([*_element_texts(parsed).values(), *_byline(parsed), None])
-    return pd.DataFrame(rows, columns=_TEXTS_TYPE.names)
+    parts = [pa.array([_page_row(page.as_py()) for page in pages.slice(at, _PAGES_AT_ONCE)], _TEXTS_ARROW)
+             for at in range(0, len(pages), _PAGES_AT_ONCE)]
+    return pa.concat_arrays(parts) if parts else pa.array([], _TEXTS_ARROW)
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

@@ -1,5 +1,8 @@
 """Page extraction against hand-read pages."""
 
+import tracemalloc
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from opinionlake.operators import html as H
@@ -82,3 +85,20 @@ def test_text_function_is_left_out_when_unused(spark):
     df = spark.createDataFrame([("u1", PAGE)], "url string, html string")
     plan = H.extract_pages(df).select("url", "all_classes")._jdf.queryExecution().executedPlan().toString()
     assert "page_texts" not in plan
+
+
+def test_a_large_batch_of_pages_is_not_held_as_python_objects():
+    def run(n):
+        pages = pa.array([f"<div><p>{i} {'x' * 50}</p></div>" * 20 for i in range(n)])
+        tracemalloc.start()
+        try:
+            got = H.page_texts.func(pages)
+            return got, tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    run(64)
+    few, peak = run(128)
+    many, larger = run(1024)
+    assert len(many) == 1024 and many[:128] == few and len(many[1023]["p_all_texts"]) == 20
+    assert larger < 2 * peak
