@@ -18,6 +18,7 @@ from opinionlake.plans import governance as G
 from opinionlake.registry.base import Query, table
 from opinionlake.registry.views import gold, gold_sql, quoted, records, records_sql, stored_gold
 from opinionlake.schemas import GOLD_INPUT, SILVER_ARTICLE, SILVER_POST
+from opinionlake.session import stored
 
 RUN = "20240201_000000"
 
@@ -180,7 +181,9 @@ def batch_metrics(spark, sf):
 
 
 def batch_metrics_posts(spark, sf):
-    rows = records(spark, sf).filter(F.col("source") == fixed.POSTS)
+    # the narrow columns are stored once: bounds, medians and counts each read them
+    rows = stored(records(spark, sf).filter(F.col("source") == fixed.POSTS).select(
+        "bronze_source", "url", "doc_id", "body_text_missing", "score", "num_comments"), "posts")
     kept = O.cap_outliers(U.dedup_first(rows, ["bronze_source", "url"], ["doc_id"]), ["score", "num_comments"], ["bronze_source"])
     return Q.batch_metrics_posts(kept, Q.batch_duplicates(rows)).withColumns(
         {c: F.round(c, 4) for c in ("score_median", "num_comments_median")})
