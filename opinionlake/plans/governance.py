@@ -115,7 +115,8 @@ def source_records(df: DataFrame, by: str = "source", lineage: str = "bronze_sou
 
     Plain aggregates of the whole and of the sources come from one pass with grouping
     sets over narrow columns; bounds of outliers are the exact quantiles of each
-    source and column.  Rows without a source form a group whose ``source`` is null.
+    source and column.  Distinct keys and files are counted by passes of their own: beside
+    them, every plain aggregate would be shuffled once per key.  Rows without a source form a group whose ``source`` is null.
     """
     rows, label = F.count(F.lit(1)), F.col("sentiment_label")
     checked = [c for c in fixed.NULL_CHECKED if c not in ("url", by, lineage)]
@@ -124,13 +125,13 @@ def source_records(df: DataFrame, by: str = "source", lineage: str = "bronze_sou
         *[F.when(F.col(c).isNotNull(), 1).alias(f"_held_{c}") for c in checked],
         F.length("body_text_clean").alias("_len"), looks_spanish(F.col("body_text")).alias("_spanish"),
         schema_compliant(fixed.REQUIRED).alias("_compliant"))
-    spanish, runs = share(F.col("_spanish")), F.count_distinct(lineage)
+    spanish, total, runs = share(F.col("_spanish")), F.col("total_records"), F.col("_runs")
     held = {**{c: F.col(f"_held_{c}") for c in checked}, **{c: F.col(c) for c in fixed.NULL_CHECKED if c not in checked}}
-    # the key of rows without one counts once
-    keys = F.count_distinct("url") + F.max(F.when(F.col("url").isNull(), 1).otherwise(0))
-    columns = {
+    plain = {
         "total_records": rows, "body_text_missing_rate": F.round(share(F.col("body_text_missing")), 2),
-        "schema_compliance_rate": F.round(share(F.col("_compliant")), 2), "duplicate_rate": F.round(pct(rows - keys, rows), 2),
+        "schema_compliance_rate": F.round(share(F.col("_compliant")), 2),
+        # the key of rows without one counts once
+        "_unkeyed": F.max(F.when(F.col("url").isNull(), 1).otherwise(0)),
         **time_columns("published_at"),
         "pct_likely_spanish": F.round(spanish, 2), "pct_likely_english": F.round(100 - spanish, 2),
         **{f"null_rate_{c}": F.round(share(held[c].isNull()), 2) for c in fixed.NULL_CHECKED},
@@ -140,10 +141,19 @@ def source_records(df: DataFrame, by: str = "source", lineage: str = "bronze_sou
         "text_length_min": F.min("_len"), "text_length_max": F.max("_len"),
         **{f"n_{v}": F.count(F.when(label == v, 1)) for v in fixed.LABELS}, "n_labelled": F.count(label),
         "compound_mean": F.round(F.avg("vader_compound"), 4), "compound_std": F.round(F.stddev_samp("vader_compound"), 4),
-        "actual_runs": runs, "expected_runs_weekly": F.lit(expected),
-        "ingestion_compliance": F.round(F.least(runs * F.lit(100.0) / expected, F.lit(100.0)), 2),
     }
-    grouped = narrow.groupingSets([[], [by]], by).agg((F.grouping(by) == 1).alias("is_total"), *[c.alias(name) for name, c in columns.items()])
+
+    def counted(**aggregates: Column) -> DataFrame:
+        return narrow.groupingSets([[], [by]], by).agg((F.grouping(by) == 1).alias("is_total"), *[c.alias(name) for name, c in aggregates.items()])
+
+    grouped = counted(**plain)
+    for distinct in (counted(_keys=F.count_distinct("url")), counted(_runs=F.count_distinct(lineage))):
+        grouped = same_group_join(grouped, distinct, [by, "is_total"])
+    in_place = {"_unkeyed": F.round(pct(total - (F.col("_keys") + F.col("_unkeyed")), total), 2).alias("duplicate_rate")}
+    grouped = grouped.select(
+        by, "is_total", *[in_place.get(name, F.col(name)) for name in plain],
+        runs.alias("actual_runs"), F.lit(expected).alias("expected_runs_weekly"),
+        F.round(F.least(runs * F.lit(100.0) / expected, F.lit(100.0)), 2).alias("ingestion_compliance"))
     # on equal counts the alphabetically first label dominates
     ranked = F.array(*[F.struct(F.col(f"n_{v}").alias("n"), F.lit(-i).alias("o"), F.lit(v).alias("label"))
                        for i, v in enumerate(sorted(fixed.LABELS))])

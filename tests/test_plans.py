@@ -6,8 +6,11 @@ import re
 
 import pytest
 
+from opinionlake.operators.conform import conform
+from opinionlake.plans.governance import source_records
 from opinionlake.registry.base import DEAL
 from opinionlake.registry.views import records
+from opinionlake.schemas import GOLD_BASE
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,3 +37,15 @@ def test_records_without_text_shuffle_no_text(spark, capsys, no_broadcast):
 
 def test_both_joins_share_one_shuffle_of_the_texts(spark, capsys, no_broadcast):
     assert _shuffles_of_text(capsys, records(spark, SF).select("doc_id", "body_text", "score")) == 1
+
+
+def test_source_kpis_shuffle_no_aggregate_once_per_key(spark, capsys):
+    rows = spark.createDataFrame([("a", "f1", "u1", 1.0), ("a", "f2", "u1", 2.0), (None, "f1", None, 3.0), (None, "f1", None, 4.0)],
+                                 "source string, bronze_source string, url string, score double")
+    gold = conform(rows, GOLD_BASE)
+    got = {(r.source, r.is_total): (r.total_records, r.duplicate_rate, r.actual_runs) for r in source_records(gold, outliers=()).collect()}
+    assert got == {(None, True): (4, 50.0, 2), ("a", False): (2, 50.0, 2), (None, False): (2, 50.0, 1)}
+    source_records(gold, outliers=()).explain("formatted")
+    keyed = re.findall(r"Exchange\nInput \[(\d+)\]: \[[^\]]*\burl#", capsys.readouterr().out)
+    # a row per key holds the key, its group and no other column
+    assert keyed and max(map(int, keyed)) <= 3
