@@ -16,8 +16,12 @@ _KEYS_PER_BUCKET = 4
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once per row and hand it to ``body``."""
-    return F.get(F.transform(F.array(value), body), 0)
+    """Evaluate ``value`` once per row and hand it to ``body``.
+
+    The start value of a fold over nothing: unlike the elements of a transform, neither
+    it nor the result is copied, however long the arrays they hold.
+    """
+    return F.aggregate(F.array(), value, lambda bound, _: bound, body)
 
 
 def member(word: Column, words: Iterable[str]) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from opinionlake import fixed
 from opinionlake.functions.lookup import let, lookup, member
 from opinionlake.functions.numbers import label
-from opinionlake.functions.text import is_blank, scoring_text, squash, strip
+from opinionlake.functions.text import is_blank, scoring_text, squash
 from opinionlake.operators.quantiles import salted_join
 
 # Distance damping of a degree word one, two and three places before.
@@ -65,20 +65,21 @@ def _pieces(squashed: Column) -> Column:
     return F.when(squashed == "", F.array().cast("array<string>")).otherwise(F.split(squashed, " "))
 
 
-def _words(text: Column, rules: Rules, values: Column | None) -> Column:
-    """Struct of parallel arrays: the words as written, their bare lower-case form, their lexicon value.
+def _words(text: Column) -> Column:
+    """Struct of parallel arrays: the words as written and their bare lower-case form.
 
-    The text is lower-cased once and split in parallel with the original.  ``values``
-    maps the text's lexicon words to their valence; without it the rules' lexicon is asked.
+    The text is lower-cased once and split in parallel with the original.
     """
-    def value_of(word: Column) -> Column:
-        return lookup(word, rules.lexicon, "double") if values is None else F.try_element_at(values, word)
+    return let(squash(text), lambda t: F.struct(
+        _pieces(t).alias("raw"), F.transform(_pieces(F.lower(t)), _bare).alias("low")))
 
-    def arrays(t: Column) -> Column:
-        return let(F.transform(_pieces(F.lower(t)), _bare), lambda lows: F.struct(
-            _pieces(t).alias("raw"), lows.alias("low"), F.transform(lows, value_of).alias("value")))
 
-    return let(squash(text), arrays)
+def _value(word: Column, rules: Rules, values: Column | None) -> Column:
+    """Valence of a bare word or null, from the map of the text's lexicon words or else from the rules' lexicon."""
+    if values is not None:
+        return F.try_element_at(values, word)
+    # the hash-set test keeps the table scan away from words that have no entry
+    return F.when(member(word, rules.lexicon), lookup(word, rules.lexicon, "double"))
 
 
 def _is_caps(raw: Column) -> Column:
@@ -86,20 +87,24 @@ def _is_caps(raw: Column) -> Column:
     return (F.lower(raw) != raw) & (F.upper(raw) == raw)
 
 
-def _valence(words: Column, i: Column, mixed_case: Column, rules: Rules) -> Column:
+def _valence(words: Column, i: Column, own: Column, rules: Rules, values: Column | None) -> Column:
     """Valence in its context of a word that is in the lexicon.
 
     Degree words, negators and capitals are only looked up here, for the three
     words before a hit.
     """
+    def mixed_case() -> Column:
+        # asked only once a word in capitals is found: another word ends the search, mostly the first
+        return F.exists(words["raw"], lambda w: ~_is_caps(w))
+
     def low(offset: int) -> Column:
         return F.get(words["low"], i + F.lit(offset))
 
     def value_of(offset: int) -> Column:
-        return F.get(words["value"], i + F.lit(offset))
+        return _value(low(offset), rules, values)
 
     def caps(offset: int) -> Column:
-        return mixed_case & _is_caps(F.get(words["raw"], i + F.lit(offset)))
+        return _is_caps(F.get(words["raw"], i + F.lit(offset))) & mixed_case()
 
     def degree(offset: int) -> Column:
         return F.when(member(low(offset), rules.degrees), lookup(low(offset), rules.degrees, "double"))
@@ -113,7 +118,6 @@ def _valence(words: Column, i: Column, mixed_case: Column, rules: Rules) -> Colu
     def toward(value: Column, amount: float) -> Column:
         return F.when(value > 0, value + amount).otherwise(value - amount)
 
-    own = value_of(0)
     standing_no = (low(0) == "no") & value_of(1).isNotNull()
     after_no = is_no(-1) | is_no(-2) | (is_no(-3) & low(-1).isin("or", "nor"))
     start = F.when(after_no, own * fixed.NEGATION).when(standing_no, F.lit(0.0)).otherwise(own)
@@ -160,7 +164,7 @@ def _valence(words: Column, i: Column, mixed_case: Column, rules: Rules) -> Colu
     return F.when(member(low(0), rules.degrees) | kind_of, F.lit(0.0)).otherwise(in_context)
 
 
-def _contrast(hits: Column, words: Column, text: Column) -> Column:
+def _contrast(hits: Column, words: Column) -> Column:
     """Halve what stands before the first "but", raise what follows by half."""
     def weigh(turn: Column) -> Column:
         def weighed(h: Column) -> Column:
@@ -169,7 +173,7 @@ def _contrast(hits: Column, words: Column, text: Column) -> Column:
 
         return F.when(turn > 0, F.transform(hits, weighed)).otherwise(hits)
 
-    return F.when(F.contains(F.lower(text), F.lit("but")), let(F.array_position(words["low"], "but"), weigh)).otherwise(hits)
+    return let(F.array_position(words["low"], "but"), weigh)
 
 
 def _occurrences(text: Column, mark: str) -> Column:
@@ -178,9 +182,8 @@ def _occurrences(text: Column, mark: str) -> Column:
 
 def score_text(text: Column, rules: Rules, values: Column | None = None) -> Column:
     """Struct (compound, pos, neg, neu) of one text."""
-    marks = _occurrences(text, "?")
-    emphasis = (F.least(_occurrences(text, "!"), F.lit(4)) * fixed.EXCLAMATION
-                + F.when(marks <= 1, 0.0).when(marks <= 3, marks * fixed.QUESTION).otherwise(fixed.QUESTION_MAX))
+    emphasis = F.least(_occurrences(text, "!"), F.lit(4)) * fixed.EXCLAMATION + let(_occurrences(text, "?"), lambda marks: F.when(
+        marks <= 1, 0.0).when(marks <= 3, marks * fixed.QUESTION).otherwise(fixed.QUESTION_MAX))
 
     def fold(hits: Column, n_words: Column) -> Column:
         # most words are neutral: they are counted, and only the others are summed
@@ -205,19 +208,21 @@ def score_text(text: Column, rules: Rules, values: Column | None = None) -> Colu
         ))
 
     def scored(words: Column) -> Column:
-        n_words = F.size(words["raw"])
-        shouted = F.size(F.filter(words["raw"], _is_caps))
-        where = F.filter(F.transform(words["value"], lambda v, i: F.when(v.isNotNull(), i)), lambda i: i.isNotNull())
-        return let((shouted > 0) & (shouted < n_words), lambda mixed: let(
-            F.transform(where, lambda i: F.struct(i.alias("i"), _valence(words, i, mixed, rules).alias("v"))),
-            lambda hits: let(fold(_contrast(hits, words, text), n_words), lambda t: finish(t, emphasis))))
+        def found(word: Column, i: Column) -> Column:
+            return let(_value(word, rules, values), lambda v: F.when(v.isNotNull(), F.struct(i.alias("i"), v.alias("v"))))
+
+        hits = F.transform(F.array_compact(F.transform(words["low"], found)), lambda h: F.struct(
+            h["i"].alias("i"), _valence(words, h["i"], h["v"], rules, values).alias("v")))
+        return let(hits, lambda h: let(fold(_contrast(h, words), F.size(words["raw"])),
+                                     lambda t: let(emphasis, lambda amp: finish(t, amp))))
 
-    return let(_words(text, rules, values), scored)
+    return let(_words(text), scored)
 
 
 def _paragraphs(text: Column, max_chars: int | None) -> Column:
     head = text if max_chars is None else F.substring(text, 1, max_chars)
-    parts = F.filter(F.transform(F.split(head, "\n"), strip), lambda p: ~is_blank(p))
+    # white space at the ends has no part in a score
+    parts = F.filter(F.split(head, "\n"), lambda p: ~is_blank(p))
     return F.when(F.size(parts) > 0, parts).otherwise(F.array(head))
 
 

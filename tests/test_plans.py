@@ -1,11 +1,13 @@
-"""What plans must not do, whatever their results: shuffle whole texts without need."""
+"""What plans must not do, whatever their results: shuffle whole texts without need, copy bound values."""
 
 from __future__ import annotations
 
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from opinionlake.functions.lookup import let
 from opinionlake.operators.conform import conform
 from opinionlake.plans.governance import source_records
 from opinionlake.registry.base import DEAL
@@ -49,3 +51,11 @@ def test_source_kpis_shuffle_no_aggregate_once_per_key(spark, capsys):
     keyed = re.findall(r"Exchange\nInput \[(\d+)\]: \[[^\]]*\burl#", capsys.readouterr().out)
     # a row per key holds the key, its group and no other column
     assert keyed and max(map(int, keyed)) <= 3
+
+
+def test_bound_value_is_taken_once_and_not_copied(spark):
+    rows = spark.createDataFrame([(["a", "b"],), ([],), (None,)], "w array<string>")
+    got = rows.select(let(F.col("w"), lambda w: F.struct(w.alias("w"), F.size(w).alias("n"))).alias("s"))
+    assert [tuple(r.s) for r in got.collect()][:2] == [(["a", "b"], 2), ([], 0)]
+    # a transform copies what its lambda returns, arrays with all their strings
+    assert "transform(" not in got._jdf.queryExecution().optimizedPlan().toString()
