@@ -82,20 +82,26 @@ def write_json_arrays(df: DataFrame, path: str) -> str:
     most_rows, most_chars = ARRAY_ROWS, ARRAY_CHARS
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, chars = [], 0
+        # an array grows as UTF-8 in the one buffer that Arrow then takes over: no row is held twice
+        held, rows, chars = bytearray(b"["), 0, 0
 
         def packed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(["[" + ",".join(held) + "]"], pa.string())], names=["value"])
+            held.extend(b"]")
+            ends = pa.array([0, len(held)], pa.int32()).buffers()[1]
+            return pa.RecordBatch.from_arrays([pa.StringArray.from_buffers(1, ends, pa.py_buffer(held))], names=["value"])
 
         for batch in batches:
             for row in batch.column(0):
                 value = row.as_py()
-                if held and (len(held) >= most_rows or chars + len(value) > most_chars):
+                if rows and (rows >= most_rows or chars + len(value) > most_chars):
                     yield packed()
-                    held, chars = [], 0
-                held.append(value)
+                    held, rows, chars = bytearray(b"["), 0, 0
+                if rows:
+                    held.extend(b",")
+                held.extend(value.encode())
+                rows += 1
                 chars += len(value)
-        if held:
+        if rows:
             yield packed()
 
     arrays = df.select(F.to_json(F.struct(*df.columns)).alias("value")).mapInArrow(run, "value string")
