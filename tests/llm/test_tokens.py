@@ -78,6 +78,35 @@ def test_chunks_give_the_ids_of_whole_texts():
             assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text[:50]
 
 
+def test_a_run_goes_through_its_own_words_only():
+    seen = []
+
+    class Key(str):
+        def __hash__(self):
+            seen.append(self)
+            return str.__hash__(self)
+
+    class Recorder:
+        def __init__(self, library):
+            self.library, self.longest, self.encode = library, 0, library.encode
+
+        def encode_batch_fast(self, texts, **options):
+            self.longest = max(self.longest, *(len(t.split()) for t in texts))
+            return self.library.encode_batch_fast(texts, **options)
+
+    library = Tokenizer.from_str(MODEL)
+    encode = huffman.ChunkEncoder(MODEL)
+    for book in (encode.chunks, encode.starts):
+        book.update((Key(f"metbefore{i}"), b"") for i in range(9000))
+    seen.clear()
+    encode.tokenizer = Recorder(encode.tokenizer)
+    texts = [" ".join(f"word{i}{'.' * (i % 3)}" for i in range(3000)), "\n".join(f"line{i}" for i in range(3000))]
+    for text, ids in zip(texts, encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert not seen  # words met before are looked up, not gone through
+    assert encode.tokenizer.longest <= huffman.JOINED  # the library takes longer over a word in a long text
+
+
 def want_files(rows):
     library = Tokenizer.from_str(MODEL)
     start, out = 0, []
