@@ -44,15 +44,21 @@ def unstable_characters() -> str:
     return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs)
 
 
+def rare_characters(col: Column) -> Column:
+    """The text without ASCII and the letters of Latin-1, which never change.
+
+    The long class of the others takes its time for each character it is tried on.
+    """
+    return F.regexp_replace(F.regexp_replace(col, r"[\x00-\x7F]+", ""), r"[\xC0-\xFF]+", "")
+
+
 def nfkc_unescape(col: Column) -> Column:
     """NFKC form, then HTML entities decoded.
 
     Spark has neither as a built-in.  Only texts that can change (a character that
     NFKC changes, or an ampersand) are sent over Arrow; the others stay in the JVM.
     """
-    # the long class is tried on the few characters that are left without ASCII
-    rest = F.regexp_replace(col, r"[\x00-\x7F]+", "")
-    may_change = F.contains(col, F.lit("&")) | (col.rlike(r"[^\x00-\x7F]") & rest.rlike(f"[{unstable_characters()}]"))
+    may_change = F.contains(col, F.lit("&")) | (col.rlike(r"[^\x00-\x7F]") & rare_characters(col).rlike(f"[{unstable_characters()}]"))
     return F.coalesce(_normalise_batch(F.when(may_change, col)), col)
 
 

@@ -135,3 +135,11 @@ def test_other_characters_do_not_change_under_nfkc():
         text = "a" + "a".join(plain) + "".join(plain)
         assert unicodedata.normalize("NFKC", text) == text
     assert pattern.search("e\u0301") and pattern.search("ﬁ") and not pattern.search("éüñß")
+
+
+def test_long_class_is_not_tried_on_the_letters_of_latin_1(spark):
+    pattern = re.compile("[" + re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: "\\U%08x" % int(m[1], 16), X.unstable_characters()) + "]")
+    assert not pattern.search("".join(map(chr, [*range(0x80), *range(0xC0, 0x100)])))
+    texts = ["Él está über Àÿ × ÷", "naïve\u0301 ½ ﬁ é", "日 \xa0 à"]
+    assert one(spark, texts, X.rare_characters(F.col("x"))) == ["", "\u0301½ﬁ", "日\xa0"]
+    assert one(spark, texts, X.nfkc_unescape(F.col("x"))) == [unicodedata.normalize("NFKC", t) for t in texts]
